@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patronlens.operators.orphans import rows_with_key_in
 from patronlens.schema import raw_schema
 
 
@@ -64,13 +65,12 @@ def read_database(
 def existing_keys(parent: DataFrame, key: str) -> DataFrame:
     """Distinct keys of a parent table for loads that refer to it; an empty parent is
     an error. The keys stay distributed."""
-    keys = parent.select(key).where(F.col(key).isNotNull()).distinct()
-    if parent.select(key).where(F.col(key).isNotNull()).isEmpty():
+    keys = parent.select(key).where(F.col(key).isNotNull())
+    if keys.isEmpty():
         raise RuntimeError(f"the parent table has no {key}: load it first")
-    return keys
+    return keys.distinct()
 
 
-def with_known_parent(child: DataFrame, key: str, parent: DataFrame) -> DataFrame:
-    """Child rows whose parent exists. ``key`` may be skewed on the child side; the
-    parent side is one narrow row per key."""
-    return child.join(existing_keys(parent, key), key, "left_semi")
+def with_known_parent(child: DataFrame, child_id: str, key: str, parent: DataFrame) -> DataFrame:
+    """Child rows whose parent exists."""
+    return rows_with_key_in(child, F.col(child_id), key, existing_keys(parent, key), key)
