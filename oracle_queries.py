@@ -35,7 +35,7 @@ SCORED = "TIMESTAMP '2024-01-31 06:00:00'"
 def _scores(source: str, date: str, keep: str = "", ltv: str = "{x}", tier: str = "{x}") -> str:
     """Sample score rows over a feature CTE."""
     spend = ltv.format(x="cast(total_spend_365d_usd as decimal(12,2))")
-    churn = half_up("recency_days*1", "999", "decimal(5,4)", 4)
+    churn = half_up("recency_days*10000", "999", "decimal(5,4)", 4)
     label = tier.format(x="case when c < 0.33 then 'Low' when c < 0.67 then 'Medium' else 'High' end")
     return f"""
 select customer_id, {date} score_date, 'sample' model_run_id, cast({spend} as decimal(12,2)) ltv_score, c churn_score,
@@ -98,12 +98,12 @@ union all select cast(occurred_at as date), 'event_count', cast(count(*) as deci
 union all select cast(created_at as date), 'ticket_count', cast(count(*) as decimal(18,4)) from stg_tickets group by 1""",
     "daily_sums": """
 select *, count(*) over w n, cast(sum(v) over w as decimal(18,4)) total,
- cast(sum(cast(v*v as decimal(34,8))) over w as decimal(34,8)) squares
+ cast(sum(cast(cast(v as decimal(20,4)) * v as decimal(34,8))) over w as decimal(34,8)) squares
 from daily window w as (partition by metric_name order by run_date - DATE '1970-01-01' range between 30 preceding and 1 preceding)""",
     "daily_stats": """
 select run_date, metric_name, v, n,
  case when n >= 30 then cast(cast(total as double) / n as decimal(18,4)) end m,
- case when n >= 30 then cast(sqrt(cast(squares * cast(n as decimal(3,0)) - total * total as double)) / n as decimal(18,4)) end s
+ case when n >= 30 then cast(sqrt(cast(squares * cast(n as decimal(3,0)) - cast(total as decimal(20,4)) * total as double)) / n as decimal(18,4)) end s
 from daily_sums""",
     "daily_scored": """
 select *, cast((cast(v as double) - cast(m as double)) / nullif(cast(s as double), 0) as decimal(18,4)) z,

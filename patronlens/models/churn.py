@@ -115,6 +115,7 @@ def _train_and_score(features: DataFrame, day: date, trees: int) -> Churn:
         featureSubsetStrategy="sqrt",
         seed=SEED,
     ).fit(training.withColumn("weight", weight))
+    model = model.copy()  # without the training summary, which cannot be shipped to tasks
     probability = F.element_at(vector_to_array("probability"), 2)
     predicted = model.transform(vectors).withColumn("churn_score", rounded_score(probability))
     held_out = predicted.where(F.col("is_validation") | F.lit(in_sample))

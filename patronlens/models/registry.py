@@ -84,10 +84,12 @@ def production_versions(runs: DataFrame) -> DataFrame:
     """One row per model with a production version: segmentation by highest
     silhouette (unknown is lowest, ties to the first version); LTV and churn by the
     newest registered version."""
+    is_segmentation = F.col("model_name") == SEGMENTATION
     silhouette = F.coalesce("silhouette_score", F.lit(float("-inf")))
-    preference = F.when(
-        F.col("model_name") == SEGMENTATION, F.struct(silhouette, -F.col("version"))
-    ).otherwise(F.struct(F.lit(0.0).cast("double"), F.col("version")))
+    preference = F.struct(
+        F.when(is_segmentation, silhouette).otherwise(0.0).alias("first"),
+        F.when(is_segmentation, -F.col("version")).otherwise(F.col("version")).alias("second"),
+    )
     return (
         registered_runs(runs)
         .groupBy("model_name")

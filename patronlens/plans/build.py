@@ -96,15 +96,21 @@ class Layers:
 
     @cached_property
     def active_campaign_count(self) -> DataFrame:
-        return marts.active_campaign_count(self.stg_campaigns, self.run_date)
+        narrow = staging.stg_campaigns(self.raw.campaigns, wide=False)
+        return marts.active_campaign_count(narrow, self.run_date)
 
     @cached_property
     def mart_customer_360(self) -> DataFrame:
         return marts.mart_customer_360(
-            self.int_customers,
+            self.customer_metrics, self.active_campaign_count, self.run_date
+        )
+
+    @cached_property
+    def customer_metrics(self) -> DataFrame:
+        narrow = staging.stg_customers(self.raw.customers, wide=False)
+        return marts.customer_metrics(
+            intermediate.int_customers(narrow, self.run_date),
             self.int_customer_orders,
             self.int_customer_events,
             self.int_customer_tickets,
-            self.stg_campaigns,
-            self.run_date,
         )

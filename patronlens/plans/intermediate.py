@@ -93,15 +93,11 @@ def int_customer_tickets(tickets: DataFrame, run_date: date) -> DataFrame:
 
 
 def int_customers(customers: DataFrame, run_date: date) -> DataFrame:
+    """Customers with their tenure; name and email only if ``customers`` has them."""
+    tenure = whole_days_until(run_date, F.col("account_created_at"))
+    columns = [c for c in customers.columns if c not in ("ingested_at", "_run_date")]
     return customers.select(
-        "customer_id",
-        "name",
-        "email",
-        "acquisition_channel",
-        "country_code",
-        "account_created_at",
-        whole_days_until(run_date, F.col("account_created_at")).alias("customer_tenure_days"),
-        _run_date_column(run_date),
+        *columns, tenure.alias("customer_tenure_days"), _run_date_column(run_date)
     )
 
 

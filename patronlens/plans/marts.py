@@ -94,8 +94,12 @@ def mart_support_tickets(tickets: DataFrame, run_date: date) -> DataFrame:
 def active_campaign_count(campaigns: DataFrame, run_date: date) -> DataFrame:
     """One row: campaign days with spend in the trailing window."""
     recent = F.col("campaign_date") >= days_before(run_date, CAMPAIGN_WINDOW_DAYS)
-    spent = F.col("daily_spend_usd") > 0
-    return campaigns.agg(F.count_if(recent & spent).alias("active_campaign_count"))
+    # The date is part of the campaign key, so this filter moves below the dedup to the scan.
+    return (
+        campaigns.where(recent)
+        .where("daily_spend_usd > 0")
+        .agg(F.count(F.lit(1)).alias("active_campaign_count"))
+    )
 
 
 def customer_metrics(
@@ -163,23 +167,16 @@ def with_rfm_scores(metrics: DataFrame) -> DataFrame:
 
 
 def mart_customer_360(
-    customers: DataFrame,
-    order_metrics: DataFrame,
-    event_metrics: DataFrame,
-    ticket_metrics: DataFrame,
-    campaigns: DataFrame,
-    run_date: date,
+    metrics: DataFrame, campaign_count: DataFrame, run_date: date
 ) -> DataFrame:
-    """One feature row per customer.
+    """One feature row per customer, from ``customer_metrics`` and the one-row
+    ``active_campaign_count``.
 
     The joined customer-grain table is written once; the quintile search then
     reads only its id, flag and three value columns. Active means an order within
     365 days; events do not count here.
     """
-    metrics = stage(
-        customer_metrics(customers, order_metrics, event_metrics, ticket_metrics),
-        "customer-metrics",
-    )
+    metrics = stage(metrics, "customer-metrics")
     recency = F.least(
         F.coalesce("days_since_last_order", F.lit(RECENCY_CAP_DAYS)), F.lit(RECENCY_CAP_DAYS)
     )
@@ -187,7 +184,7 @@ def mart_customer_360(
     return (
         with_rfm_scores(metrics)
         .withColumns({"recency_days": recency, "order_frequency_trend": trend})
-        .crossJoin(F.broadcast(active_campaign_count(campaigns, run_date)))
+        .crossJoin(F.broadcast(campaign_count))
         .select(*FEATURE_COLUMNS, F.lit(run_date).alias("_run_date"))
     )
 

@@ -20,12 +20,14 @@ def _ingested() -> Column:
     return F.col("_ingested_at").alias("ingested_at")
 
 
-def stg_customers(raw: DataFrame) -> DataFrame:
-    latest = latest_version(raw, ["customer_id"])
+def stg_customers(raw: DataFrame, wide: bool = True) -> DataFrame:
+    narrow = ["_run_date", "acquisition_channel", "country_code", "account_created_at"]
+    detail = ["name", "email"] if wide else []
+    needed = raw.select("customer_id", "_ingested_at", *narrow, *detail)
+    latest = latest_version(needed, ["customer_id"], tie_break=narrow + detail)
     return latest.select(
         "customer_id",
-        "name",
-        "email",
+        *detail,
         "acquisition_channel",
         "country_code",
         F.col("account_created_at").cast("date").alias("account_created_at"),
@@ -96,16 +98,18 @@ def stg_tickets(raw: DataFrame, wide: bool = True) -> DataFrame:
     )
 
 
-def stg_campaigns(raw: DataFrame) -> DataFrame:
-    latest = latest_version(raw, ["campaign_id", "campaign_date"])
+def stg_campaigns(raw: DataFrame, wide: bool = True) -> DataFrame:
+    narrow = ["_run_date", "daily_spend_usd", "impressions", "clicks"]
+    detail = ["platform", "campaign_name"] if wide else []
+    keys = ["campaign_id", "campaign_date"]
+    needed = raw.select(*keys, "_ingested_at", *narrow, *detail)
+    latest = latest_version(needed, keys, tie_break=narrow + detail)
     impressions = F.col("impressions").cast("int")
     clicks = F.col("clicks").cast("int")
     rate = clicks.cast("double") / F.nullif(impressions, F.lit(0)).cast("double")
     return latest.select(
-        "campaign_id",
-        "campaign_date",
-        "platform",
-        "campaign_name",
+        *keys,
+        *detail,
         F.col("daily_spend_usd").cast("decimal(12,2)").alias("daily_spend_usd"),
         impressions.alias("impressions"),
         clicks.alias("clicks"),

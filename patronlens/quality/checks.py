@@ -189,3 +189,15 @@ def check_tables(
         check_table(table, tables[table], checks, as_of, tables) for table, checks in suites.items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def columns_needed(table: str, suites: Mapping[str, Sequence[Check]]) -> list[str]:
+    """Columns of ``table`` that its own checks or relationship checks of others read."""
+    own = [c for check in suites.get(table, []) for c in check.columns]
+    as_parent = [
+        check.parent[1]
+        for checks in suites.values()
+        for check in checks
+        if check.parent and check.parent[0] == table
+    ]
+    return list(dict.fromkeys(own + as_parent))

@@ -26,7 +26,7 @@ from patronlens.plans.build import Layers
 from patronlens.plans.ingest import load_all
 from patronlens.plans.pipeline import build_layers
 from patronlens.quality import assertions
-from patronlens.quality.checks import check_tables
+from patronlens.quality.checks import check_tables, columns_needed
 from patronlens.quality.gate import failure_rows
 from patronlens.quality.suites import model_suites, raw_suites, staging_suites
 from patronlens.runlog import run_states
@@ -160,13 +160,7 @@ def customer_360(spark, sf_dir):
 @query
 def rfm_quintiles(spark, sf_dir):
     """The three tiles on their own, from the customer metrics."""
-    built = layers(spark, sf_dir)
-    joined = marts.customer_metrics(
-        built.int_customers,
-        built.int_customer_orders,
-        built.int_customer_events,
-        built.int_customer_tickets,
-    )
+    joined = layers(spark, sf_dir).customer_metrics
     scored = marts.with_rfm_scores(stage(joined, "customer-metrics"))
     return scored.select(
         "customer_id", "recency_score", "frequency_score", "monetary_score", "rfm_score"
@@ -321,7 +315,9 @@ def stored_models(spark, sf_dir) -> dict[str, DataFrame]:
     scores = sample_scores(tables["mart_customer_360"], RUN_DATE)
     tables["mart_ml_scores"] = marts.mart_ml_scores(scores, RUN_DATE)
     for name in staging_suites():
-        tables[name] = getattr(lazy, name)
+        # Only the checked columns, written once: several checks read them.
+        checked = getattr(lazy, name).select(*columns_needed(name, model_suites()))
+        tables[name] = stage(checked, name)
     return tables
 
 
@@ -436,7 +432,7 @@ def features(spark, sf_dir) -> DataFrame:
 def sample_scores(customer_360: DataFrame, score_date: date, keep: str = "customer_id"):
     """Score rows by a plain rule, where a query needs scores but no model: spend, and
     the share of the recency cap that has passed."""
-    churn_score = (F.col("recency_days").cast("decimal(5,0)") / 999).cast("decimal(5,4)")
+    churn_score = (F.col("recency_days").cast("decimal(18,10)") / 999).cast("decimal(5,4)")
     label = F.when(F.col("is_active"), F.col("rfm_score")).otherwise("Inactive")
     detail = struct(ML_SCORES_DDL)["anomaly_detail"].dataType
     return customer_360.select(
