@@ -324,7 +324,7 @@ select customer_id, cast(coalesce(days_since_last_order, 999) as double) days_si
 select customer_id, channel, row_number() over (partition by channel order by {_MD5_ORDER}, customer_id)
  <= floor(count(*) over (partition by channel) * 0.2 + 0.5) is_validation from history""",
         "cohort_mean_ltv": "select * from means",
-        "cold_start_ltv": "select customer_id, coalesce(case when channel <> 'direct' then cohort_mean end, 0) ltv_score from customer_360 left join means on acquisition_channel = channel",
+        "cold_start_ltv": "select customer_id, cast(coalesce(case when channel <> 'direct' then cohort_mean end, 0) as double) ltv_score from customer_360 left join means on acquisition_channel = channel",
         "regression_metrics": """
 select cast(sqrt(avg((cast(cohort_mean as double) - target) * (cast(cohort_mean as double) - target))) as decimal(18,2)) rmse,
  cast(avg(abs(cast(cohort_mean as double) - target)) as decimal(18,2)) mae from history join means using (channel)""",

@@ -15,6 +15,7 @@ from patronlens.functions.dates import as_run_date
 from patronlens.functions.numbers import number_or, require_columns
 from patronlens.models.features import assembled, average_order_value, category, encoded
 from patronlens.models.metrics import regression_metrics
+from patronlens.operators.encode import MAX_CATEGORIES
 from patronlens.operators.split import with_split
 from patronlens.workspace import scratch_root, stage
 
@@ -62,6 +63,24 @@ def cohort_means(training: DataFrame) -> DataFrame:
     return training.groupBy("channel").agg(F.avg(spend).alias("cohort_mean"))
 
 
+def cold_start(customers: DataFrame, means: DataFrame) -> DataFrame:
+    """Customers without orders valued at their channel's mean, else 0.
+
+    The means are one row per channel. Their number is checked before they are
+    broadcast, so the few channels' many customers need no shuffle.
+    """
+    rows = means.limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} channels")
+    lookup = F.broadcast(customers.sparkSession.createDataFrame(rows, means.schema))
+    value = F.coalesce(F.col("cohort_mean").cast("double"), F.lit(0.0))
+    return (
+        customers.select("customer_id", category(CHANNEL).alias("channel"))
+        .join(lookup, "channel", "left")
+        .select("customer_id", value.alias("ltv_score"))
+    )
+
+
 def train_and_score(
     features: DataFrame, run_date: str | date | datetime, trees: int = TREES
 ) -> Ltv:
@@ -103,16 +122,7 @@ def train_and_score(
     held_out = predicted.where(F.col("is_validation") | F.lit(in_sample))
     measured = regression_metrics(held_out, "target", "ltv_score").first()
 
-    # At most one row per channel; the number of channels was checked when they
-    # were turned into columns.
-    means = F.broadcast(cohort_means(training))
-    cold = (
-        features.where(~has_history())
-        .select("customer_id", category(CHANNEL).alias("channel"))
-        .join(means, "channel", "left")
-        .select("customer_id", F.coalesce(F.col("cohort_mean").cast("double"), F.lit(0.0)))
-        .toDF("customer_id", "ltv_score")
-    )
+    cold = cold_start(features.where(~has_history()), cohort_means(training))
     return Ltv(
         predicted.select("customer_id", "ltv_score").unionByName(cold),
         {

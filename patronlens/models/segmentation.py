@@ -11,10 +11,9 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 from datetime import date, datetime
-from multiprocessing.pool import ThreadPool
+from functools import partial
 
 import numpy as np
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 
 from patronlens.functions.dates import as_run_date
 from patronlens.functions.numbers import number_or, require_columns
+from patronlens.workspace import in_parallel
 
 log = logging.getLogger(__name__)
 
@@ -141,19 +141,17 @@ def _fit_all(grid: DataFrame, ks: list[int], restarts: int) -> dict[int, object]
     """The model with the lowest cost per k. The fits are small Spark jobs, run side by
     side from driver threads."""
 
-    def fit(task: tuple[int, int]):
-        k, restart = task
+    def fit(k: int, restart: int):
         means = KMeans(
             k=k, seed=SEED + restart, weightCol="customers", featuresCol="features", maxIter=100
         )
         model = means.fit(grid)
         return k, model.summary.trainingCost, restart, model
 
-    tasks = [(k, restart) for k in ks for restart in range(restarts)]
-    with ThreadPool(PARALLEL_FITS) as pool:
-        fitted = pool.map(inheritable_thread_target(grid.sparkSession)(fit), tasks)
+    tasks = {(k, n): partial(fit, k, n) for k in ks for n in range(restarts)}
+    fitted = in_parallel(grid.sparkSession, tasks, PARALLEL_FITS)
     best = {}
-    for k, cost, restart, model in sorted(fitted, key=lambda f: f[:3]):
+    for k, cost, restart, model in sorted(fitted.values(), key=lambda f: f[:3]):
         best.setdefault(k, (cost, model))
     return best
 

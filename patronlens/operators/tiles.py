@@ -99,12 +99,14 @@ def _rows_per_range(
     df: DataFrame, orderings: Mapping[str, Column], row_id: Column, ranges: Sequence[_Range], fields
 ) -> DataFrame:
     """One row per (range, member row), carrying ``fields(range, value)``."""
-    entries = []
+    members, entries = [], []
     for index, r in enumerate(ranges):
         value = orderings[r.name]
+        members.append(_member(r, value, row_id))
         entry = F.struct(F.lit(index).alias("range"), *fields(r, value))
-        entries.append(F.when(_member(r, value, row_id), entry))
-    return df.select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*")
+        entries.append(F.when(members[-1], entry))
+    inside = df.where(reduce(lambda a, b: a | b, members))
+    return inside.select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*")
 
 
 def _slot(key: Column, r: _Range, slots: int) -> Column:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.operators.orphans import rows_with_key_in
+from patronlens.operators.orphans import with_parent_flag
 from patronlens.schema import raw_schema
 
 
@@ -62,15 +62,14 @@ def read_database(
     return reader.load()
 
 
-def existing_keys(parent: DataFrame, key: str) -> DataFrame:
-    """Distinct keys of a parent table for loads that refer to it; an empty parent is
-    an error. The keys stay distributed."""
-    keys = parent.select(key).where(F.col(key).isNotNull())
-    if keys.isEmpty():
+def require_parent(parent: DataFrame, key: str) -> None:
+    """An empty parent table is an error for every load that refers to it."""
+    if parent.where(F.col(key).isNotNull()).isEmpty():
         raise RuntimeError(f"the parent table has no {key}: load it first")
-    return keys.distinct()
 
 
 def with_known_parent(child: DataFrame, child_id: str, key: str, parent: DataFrame) -> DataFrame:
-    """Child rows whose parent exists."""
-    return rows_with_key_in(child, F.col(child_id), key, existing_keys(parent, key), key)
+    """Child rows whose parent exists. The parent keys stay distributed."""
+    require_parent(parent, key)
+    flagged = with_parent_flag(child, F.col(child_id), key, parent, key)
+    return flagged.where("has_parent").drop("has_parent")

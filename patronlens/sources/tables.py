@@ -11,10 +11,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patronlens.workspace import path_exists
+
 PUBLICATION_DDL = "publication long, table_name string, path string, ddl string"
 
 # Layer by table-name prefix.
@@ -34,19 +35,11 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _publications(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(PUBLICATION_DDL).json(f"{self.root}/_published")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
     def _current(self) -> tuple[int, dict[str, tuple[str, str]]]:
         """Newest publication number, and path and schema per table: a row per table."""
-        log = self._publications()
-        if log is None:
+        if not path_exists(self.spark, f"{self.root}/_published"):
             return 0, {}
+        log = self.spark.read.schema(PUBLICATION_DDL).json(f"{self.root}/_published")
         newest = log.groupBy("table_name").agg(
             F.max_by(F.struct("publication", "path", "ddl"), "publication").alias("p")
         )
@@ -58,11 +51,17 @@ class TableStore:
         return table in self._current()[1]
 
     def read(self, table: str) -> DataFrame:
-        path, ddl = self._current()[1][table]
-        return self.spark.read.schema(ddl).parquet(f"{self.root}/{path}")
+        df = self.read_if_exists(table)
+        if df is None:
+            raise KeyError(f"no published table {table!r}")
+        return df
 
     def read_if_exists(self, table: str) -> DataFrame | None:
-        return self.read(table) if self.exists(table) else None
+        current = self._current()[1]
+        if table not in current:
+            return None
+        path, ddl = current[table]
+        return self.spark.read.schema(ddl).parquet(f"{self.root}/{path}")
 
     def write(self, table: str, df: DataFrame) -> tuple[str, DataFrame]:
         """Write a new, unpublished version; return its path and a scan of it."""
@@ -80,12 +79,6 @@ class TableStore:
         log = self.spark.createDataFrame(rows, PUBLICATION_DDL)
         log.coalesce(1).write.mode("append").json(f"{self.root}/_published")
 
-    def replace(self, table: str, df: DataFrame) -> DataFrame:
-        """Full refresh of one table."""
-        written = self.write(table, df)
-        self.publish({table: written})
-        return written[1]
-
     def write_partition(self, table: str, df: DataFrame, partition: str) -> None:
         """Replace the partitions that ``df`` holds and keep all others. Running it
         again for the same run date gives the same table."""
@@ -107,9 +100,7 @@ class TableStore:
         df.write.mode("append").parquet(f"{self.root}/observability/{table}")
 
     def read_log(self, table: str, ddl: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(ddl).parquet(f"{self.root}/observability/{table}")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], ddl)
-            raise
+        path = f"{self.root}/observability/{table}"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).parquet(path)

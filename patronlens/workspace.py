@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+PARALLEL_ACTIONS = 4
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
@@ -28,7 +33,29 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the scratch folder that nobody else uses."""
-    return f"{scratch_root(spark)}/patronlens/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/patronlens/{spark.sparkContext.applicationId}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path as it knows it."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _hadoop_path(spark, path)
+    return files.exists(target)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application staged, once no DataFrame needs it any more."""
+    files, target = _hadoop_path(spark, _application_folder(spark))
+    files.delete(target, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -41,3 +68,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def in_parallel[K, T](
+    spark: SparkSession, tasks: Mapping[K, Callable[[], T]], threads: int = PARALLEL_ACTIONS
+) -> dict[K, T]:
+    """Run independent Spark actions side by side, so that one table's last few tasks do
+    not leave the cluster idle. The first error is raised."""
+    run = inheritable_thread_target(spark)(lambda task: task())
+    with ThreadPool(max(1, min(len(tasks), threads))) as pool:
+        return dict(zip(tasks, pool.map(run, tasks.values(), chunksize=1)))

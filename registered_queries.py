@@ -553,20 +553,19 @@ def cohort_mean_ltv(spark, sf_dir):
 
 @query
 def cold_start_ltv(spark, sf_dir):
-    """Every customer of a channel valued at the mean of its paid customers."""
-    chosen = features(spark, sf_dir)
+    """Every customer valued at its channel's mean; one channel has none."""
     means = ltv.cohort_means(_history(spark, sf_dir).where("channel <> 'direct'"))
-    return chosen.join(
-        F.broadcast(means), chosen["acquisition_channel"] == means["channel"], "left"
-    ).select("customer_id", F.coalesce("cohort_mean", F.lit(0)).alias("ltv_score"))
+    return ltv.cold_start(features(spark, sf_dir), means)
 
 
 @query
 def regression_metrics(spark, sf_dir):
     """How far cohort means are from the actual spend."""
     history = stage(_history(spark, sf_dir), "history")
-    predicted = history.join(F.broadcast(ltv.cohort_means(history)), "channel")
-    measured = metrics.regression_metrics(predicted, "target", "cohort_mean")
+    customers = history.withColumnRenamed("channel", ltv.CHANNEL)
+    predicted = ltv.cold_start(customers, ltv.cohort_means(history))
+    both = history.join(predicted, "customer_id")
+    measured = metrics.regression_metrics(both, "target", "ltv_score")
     return measured.select(*[F.col(c).cast("decimal(18,2)").alias(c) for c in measured.columns])
 
 

@@ -15,7 +15,7 @@ from patronlens.schema import RAW_DDL, RUN_EVENT_DDL, raw_schema
 from patronlens.sources.raw import RawTables, read_database, read_raw, with_known_parent
 from patronlens.sources.seeds import SEED_DDL, read_seed
 from patronlens.sources.tables import TableStore, layer_of
-from patronlens.workspace import scratch_root
+from patronlens.workspace import clear_scratch, scratch_path, scratch_root, stage
 from tests.conftest import LOADED_AT, RUN_DATE
 
 TABLE = "k string, v int, _ingested_at timestamp"
@@ -162,3 +162,28 @@ def test_seed_from_a_shared_folder(spark, tmp_path):
 
 def test_store_log_of_an_unused_table_is_empty(spark, tmp_path):
     assert TableStore(spark, str(tmp_path)).read_log("none", "a int").isEmpty()
+
+
+def test_scratch_is_cleared_for_this_application_only(spark):
+    staged = stage(spark.range(3), "x")
+    assert staged.count() == 3
+    application = spark.sparkContext.applicationId
+    assert application in scratch_path(spark, "y") and scratch_root(spark) in scratch_path(spark, "y")
+    clear_scratch(spark)
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        staged.count()
+
+
+def test_frequent_keys_are_looked_up_without_a_join(spark, monkeypatch):
+    from patronlens.operators import orphans
+
+    rows = [(f"o{i}", "hot" if i % 3 else "gone-hot" if i % 2 else f"c{i}") for i in range(60)]
+    rows += [(f"n{i}", None) for i in range(9)] + [("c6x", "c6x"), ("o3x", "c12")]
+    child = spark.createDataFrame(rows, "id string, key string")
+    parent = spark.createDataFrame([("hot",), ("c6",), ("c12",), ("o1",)], "key string")
+    known = {"hot", "c6", "c12", "o1"}
+    for share in (1, 5, 50_000):
+        monkeypatch.setattr(orphans, "HOT_SHARE", share)
+        flagged = orphans.with_parent_flag(child, F.col("id"), "key", parent, "key").collect()
+        assert sorted(r.id for r in flagged) == sorted(r[0] for r in rows)
+        assert all(r.has_parent == (r.key in known) for r in flagged)
