@@ -18,10 +18,13 @@ def daily_insight(customer_360: DataFrame, mart_orders: DataFrame, run_date: dat
         F.sum("open_ticket_count").alias("open_tickets"),
     )
     orders = mart_orders.agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.sum("total_amount_usd").cast("decimal(20,2)").alias("order_value_usd"),
+        F.struct(
+            F.count(F.lit(1)).alias("orders"),
+            F.sum("total_amount_usd").cast("decimal(20,2)").alias("order_value_usd"),
+        ).alias("o")
     )
-    figures = people.crossJoin(F.broadcast(orders))
+    figures = people.withColumn("o", orders.scalar()).select(*people.columns, "o.*")
     return figures.select(
-        F.lit(run_date).alias("run_date"), F.to_json(F.struct(*figures.columns)).alias("insight_json")
+        F.lit(run_date).alias("run_date"),
+        F.to_json(F.struct(*figures.columns)).alias("insight_json"),
     )

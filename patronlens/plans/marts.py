@@ -183,8 +183,13 @@ def mart_customer_360(
     trend = F.col("order_count_last_30d") - F.col("order_count_prior_30d")
     return (
         with_rfm_scores(metrics)
-        .withColumns({"recency_days": recency, "order_frequency_trend": trend})
-        .crossJoin(F.broadcast(campaign_count))
+        .withColumns(
+            {
+                "recency_days": recency,
+                "order_frequency_trend": trend,
+                "active_campaign_count": F.coalesce(campaign_count.scalar(), F.lit(0)),
+            }
+        )
         .select(*FEATURE_COLUMNS, F.lit(run_date).alias("_run_date"))
     )
 

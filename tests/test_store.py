@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from patronlens.operators.upsert import replace_by_key, upsert
 from patronlens.plans.ingest import ingest_domain, load_all
 from patronlens.plans.pipeline import build_layers
-from patronlens.runlog import EVENT_TABLE, record_deadline_miss, run_states
+from patronlens.runlog import EVENT_TABLE, mark_failed, record, record_deadline_miss, run_states
 from patronlens.schema import RAW_DDL, RUN_EVENT_DDL, raw_schema
 from patronlens.sources.raw import RawTables, read_database, read_raw, with_known_parent
 from patronlens.sources.seeds import SEED_DDL, read_seed
@@ -187,3 +187,19 @@ def test_frequent_keys_are_looked_up_without_a_join(spark, monkeypatch):
         flagged = orphans.with_parent_flag(child, F.col("id"), "key", parent, "key").collect()
         assert sorted(r.id for r in flagged) == sorted(r[0] for r in rows)
         assert all(r.has_parent == (r.key in known) for r in flagged)
+
+
+def test_runs_in_flight_are_marked_failed(spark, store):
+    record(store, "r1", RUN_DATE, "job", "running", LOADED_AT)
+    record(store, "r2", RUN_DATE, "job", "running", LOADED_AT)
+    record(store, "r2", RUN_DATE, "job", "success", LATER, 5, 60)
+    record(store, "r3", RUN_DATE, "other", "running", LOADED_AT)
+    mark_failed(store, RUN_DATE, "job", LATER)
+    found = {r.run_id: (r.status, r.completed_at, r.rows_ingested) for r in states(store)}
+    assert found == {
+        "r1": ("failed", LATER, None),
+        "r2": ("success", LATER, 5),
+        "r3": ("running", None, None),
+    }
+    mark_failed(store, RUN_DATE, "job", LATER)
+    assert sorted(r.status for r in states(store)) == ["failed", "failed", "running", "success"]
