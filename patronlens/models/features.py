@@ -42,11 +42,12 @@ def load_features(
     return contract_projection(features) if enforce_contract else features
 
 
-def average_order_value(spend: str = "total_spend_usd", orders: str = "total_order_count") -> Column:
+def average_order_value() -> Column:
     """All-time spend per order; 0 without orders. All-time on purpose: the 365-day
     ratio would give the training target away."""
-    count = number_or(F.col(orders), 0)
-    return F.when(count > 0, number_or(F.col(spend), 0) / F.nullif(count, F.lit(0.0))).otherwise(0.0)
+    orders = number_or(F.col("total_order_count"), 0)
+    spend = number_or(F.col("total_spend_usd"), 0)
+    return F.when(orders > 0, spend / F.nullif(orders, F.lit(0.0))).otherwise(0.0)
 
 
 def category(column: str) -> Column:

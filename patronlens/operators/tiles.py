@@ -14,11 +14,11 @@ value held by most rows is no special case.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,7 +96,11 @@ def _member(r: _Range, value: Column, row_id: Column) -> Column:
 
 
 def _rows_per_range(
-    df: DataFrame, orderings: Mapping[str, Column], row_id: Column, ranges: Sequence[_Range], fields
+    df: DataFrame,
+    orderings: Mapping[str, Column],
+    row_id: Column,
+    ranges: Sequence[_Range],
+    fields: Callable[[_Range, Column], tuple[Column, Column]],
 ) -> DataFrame:
     """One row per (range, member row), carrying ``fields(range, value)``."""
     members, entries = [], []
@@ -106,7 +110,8 @@ def _rows_per_range(
         entry = F.struct(F.lit(index).alias("range"), *fields(r, value))
         entries.append(F.when(members[-1], entry))
     inside = df.where(reduce(lambda a, b: a | b, members))
-    return inside.select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*")
+    found = inside.select(F.explode(F.array(*entries)).alias("e"))
+    return found.where("e is not null").select("e.*")
 
 
 def _slot(key: Column, r: _Range, slots: int) -> Column:
@@ -117,7 +122,7 @@ def _slot(key: Column, r: _Range, slots: int) -> Column:
     return F.round((offset - F.pmod(offset, width)) / width).cast("long")
 
 
-def _count(df, orderings, row_id, ranges: Sequence[_Range], slots: int) -> list:
+def _count(df, orderings, row_id, ranges: Sequence[_Range], slots: int) -> list[Row]:
     """Rows and key bounds per slot of each range; at most ``slots`` slots a range."""
 
     def fields(r: _Range, value: Column):
@@ -171,7 +176,10 @@ def _name_rows(df, orderings, row_id, ranges: Sequence[_Range]) -> dict[str, dic
 
 
 def rows_at_ranks(
-    df: DataFrame, row_id: str, orderings: Mapping[str, Column], ranks_of
+    df: DataFrame,
+    row_id: str,
+    orderings: Mapping[str, Column],
+    ranks_of: Callable[[str, int], list[int]],
 ) -> dict[str, list[Cut]]:
     """Keys of the rows at the ranks ``ranks_of(name, rows)`` of each ordering.
 

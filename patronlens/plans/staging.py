@@ -72,7 +72,10 @@ def stg_events(raw: DataFrame, wide: bool = True) -> DataFrame:
     if wide:
         columns += ["event_type", "page_url", "device_type"]
     return latest.select(
-        *columns, F.col("occurred_at").cast("timestamp").alias("occurred_at"), _ingested(), "_run_date"
+        *columns,
+        F.col("occurred_at").cast("timestamp").alias("occurred_at"),
+        _ingested(),
+        "_run_date",
     )
 
 

@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from patronlens.workspace import path_exists
 
@@ -30,6 +31,10 @@ def layer_of(table: str, default: str = "public") -> str:
     return default
 
 
+def ddl_of(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -73,8 +78,7 @@ class TableStore:
         """Make all given versions current at once: one task writes one file."""
         number = self._current()[0] + 1
         rows = [
-            (number, table, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema))
-            for table, (path, df) in written.items()
+            (number, table, path, ddl_of(df.schema)) for table, (path, df) in written.items()
         ]
         log = self.spark.createDataFrame(rows, PUBLICATION_DDL)
         log.coalesce(1).write.mode("append").json(f"{self.root}/_published")

@@ -35,7 +35,7 @@ from patronlens.sources import sample_tables, seeds
 from patronlens.sources.raw import RawTables, with_known_parent
 from patronlens.sources.sample_tables import LOADED_AT, RUN_DATE, raw_tables
 from patronlens.sources.seeds import read_seed, with_seed_labels
-from patronlens.sources.tables import TableStore
+from patronlens.sources.tables import TableStore, ddl_of
 from patronlens.workspace import scratch_path, stage
 
 SCORED_AT = LOADED_AT + timedelta(hours=4)
@@ -221,8 +221,7 @@ def incremental_replace_partition(spark, sf_dir):
     for run_date in (RUN_DATE - timedelta(days=1), RUN_DATE, RUN_DATE):
         daily = Layers(raw, run_date).int_customer_orders
         store.write_partition(table, daily, "_run_date")
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in daily.schema)
-    return store.read_partitioned(table, ddl)
+    return store.read_partitioned(table, ddl_of(daily.schema))
 
 
 @query
