@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from patronlens.llm import bpe
+from patronlens.llm import bpe, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SHARDS = 40
+SEED = 20240131
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -24,8 +27,31 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 40 shards of equal row counts, in shuffled order. Size and
+    checksum are those of the text that was moved."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    moved = sharding.external_shuffle(docs, SHARDS, seed=SEED)
+    return moved.select(
+        "doc_id",
+        sharding.row_size(moved.text).alias("size"),
+        sharding.text_crc32(moved.text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    classes = simhash.near_duplicate_classes(docs)
+    return classes.select("doc_id", simhash.as_hex(classes.fingerprint).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe,)}
+    return {f.__name__: f for f in (op1_byte_bpe, op4_sharding, op5_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
