@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, sharding, simhash
+from patronlens.llm import bpe, quality, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,8 +50,25 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", simhash.as_hex(classes.fingerprint).alias("fingerprint"), "component_id")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and toxic spans of every document; one fifth of the ids is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % 5
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold != 0)
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs.withColumn("held_out", fold == 0), model)
+    return scored.select("doc_id", "held_out", "score", "predicted", "toxic_spans")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, probability of the best grade and the decision for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op4_sharding, op5_simhash)}
+    return {f.__name__: f for f in (op1_byte_bpe, op4_sharding, op5_simhash, op7_toxicity, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -51,14 +51,19 @@ def powers(n: int, base: np.uint64) -> np.ndarray:
     return np.multiply.accumulate(out, dtype=np.uint64)
 
 
-def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of ``values[start:end]`` for each pair, independent of its place."""
-    n = len(values) + 1
-    prefix = np.zeros(n, np.uint64)
-    weighted = (values.astype(np.uint64) + np.uint64(1)) * powers(n - 1, _MULTIPLIER)
-    np.cumsum(weighted, dtype=np.uint64, out=prefix[1:])
-    length = (ends - starts).astype(np.uint64) * _MULTIPLIER
-    return mix((prefix[ends] - prefix[starts]) * powers(n, _INVERSE)[starts] + length)
+class SliceHashes:
+    """Hashes of slices of one array of integers, independent of where a slice lies."""
+
+    def __init__(self, values: np.ndarray):
+        n = len(values)
+        self._prefix = np.zeros(n + 1, np.uint64)
+        weighted = (values.astype(np.uint64) + np.uint64(1)) * powers(n, _MULTIPLIER)
+        np.cumsum(weighted, dtype=np.uint64, out=self._prefix[1:])
+        self._inverse = powers(n + 1, _INVERSE)
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """64-bit hashes of ``values[start:end]``; multiply by an odd number to mix further."""
+        return (self._prefix[ends] - self._prefix[starts]) * self._inverse[starts]
 
 
 @dataclass
