@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, quality, sharding, simhash, toxicity
+from patronlens.llm import bpe, pii, quality, sharding, simhash, toxicity
+from patronlens.workspace import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document: the sure ones as counts and digest, and all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    proposed = stage(pii.with_candidates(docs).drop("text"), "pii-candidates")
+    found = pii.with_spans(proposed, pii.fit(proposed))
+    return pii.digests(found)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards of equal row counts, in shuffled order. Size and
     checksum are those of the text that was moved."""
@@ -68,7 +77,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op4_sharding, op5_simhash, op7_toxicity, op10_quality)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_pii, op4_sharding, op5_simhash, op7_toxicity, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
