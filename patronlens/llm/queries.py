@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, pii, quality, sharding, simhash, toxicity
+from patronlens.llm import bpe, decontaminate, pii, quality, sharding, simhash, toxicity
 from patronlens.workspace import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,15 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", simhash.as_hex(classes.fingerprint).alias("fingerprint"), "component_id")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a leaked benchmark item, and the item."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", decontaminate.document_key().alias("doc_key")
+    )
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return docs.select("doc_id", "doc_key").join(leaks, "doc_key").drop("doc_key")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score and toxic spans of every document; one fifth of the ids is held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,7 +86,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_pii, op4_sharding, op5_simhash, op7_toxicity, op10_quality)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_pii, op4_sharding, op5_simhash, op6_decontamination, op7_toxicity, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
