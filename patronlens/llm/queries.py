@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, decontaminate, pii, quality, sharding, simhash, toxicity
+from patronlens.llm import bpe, decontaminate, pii, quality, sharding, simhash, suffixes, toxicity
 from patronlens.workspace import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", "toxic_spans")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of 50 words or more that other documents have too."""
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade, probability of the best grade and the decision for every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -86,7 +91,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_pii, op4_sharding, op5_simhash, op6_decontamination, op7_toxicity, op10_quality)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_pii, op4_sharding, op5_simhash, op6_decontamination, op7_toxicity, op9_suffix_dedup, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,120 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from patronlens.llm import queries, suffixes
+from patronlens.llm.textbytes import text_batch
+
+SF = "/root/testdata/sf0.01"
+
+
+def word_spans(text):
+    data, spans, start = text, [], None
+    for i, c in enumerate(data + " "):
+        if c in " \t\n\x0b\f\r":
+            if start is not None:
+                spans.append((start, i))
+            start = None
+        elif start is None:
+            start = i
+    return spans
+
+
+def plain_passages(rows, n):
+    """Passages by comparing all runs of n words of all texts."""
+    where = defaultdict(set)
+    by_text = defaultdict(set)
+    for doc_id, text in rows:
+        by_text[text or ""].add(doc_id)
+    for text in by_text:
+        words = [text[a:b] for a, b in word_spans(text)]
+        for i in range(len(words) - n + 1):
+            where[tuple(words[i : i + n])].add(text)
+    out = []
+    for doc_id, text in rows:
+        text = text or ""
+        spans = word_spans(text)
+        words = [text[a:b] for a, b in spans]
+        if len(words) < n:
+            continue
+        if len(by_text[text]) > 1:
+            out.append((doc_id, True, 1, len(words), f"{spans[0][0]}:{spans[-1][1]}"))
+            continue
+        starts = [i for i in range(len(words) - n + 1) if len(where[tuple(words[i : i + n])]) > 1]
+        groups = []
+        for i in starts:
+            if groups and i <= groups[-1][1] + n:
+                groups[-1][1] = i
+            else:
+                groups.append([i, i])
+        if groups:
+            listed = ",".join(f"{spans[a][0]}:{spans[b + n - 1][1]}" for a, b in groups)
+            out.append((doc_id, False, len(groups), sum(b - a + n for a, b in groups), listed))
+    return sorted(out, key=str)
+
+
+def test_whole_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = sorted((tuple(r) for r in queries.op9_suffix_dedup(spark, SF).collect()), key=str)
+    assert got == plain_passages(rows, 50) and len(got) > 10
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_passages(spark, seed, monkeypatch):
+    rng = random.Random(seed)
+    monkeypatch.setattr(suffixes, "PARTITION_ROWS", rng.choice([7, 40, 1000]))
+    shared = [[rng.choice("abcdé") for _ in range(rng.randint(6, 20))] for _ in range(4)]
+    rows = []
+    for i in range(40):
+        words = [f"{rng.randint(0, 400)}" for _ in range(rng.randint(0, 25))]
+        for _ in range(rng.randint(0, 2)):
+            at, part = rng.randint(0, len(words)), rng.choice(shared)
+            low = rng.randint(0, 3)
+            words[at:at] = part[low : len(part) - rng.randint(0, 3)]
+        space = rng.choice([" ", "  ", "\n", " \t"])
+        rows.append((i, space.join(words) + rng.choice(["", " "])))
+    rows += [rng.choice(rows) for _ in range(5)] + [(100 + i, rng.choice(rows)[1]) for i in range(6)]
+    rows += [(None, rows[0][1]), (None, None), (7, ""), (8, "x " * 3000), (9, "x " * 40)]
+    df = spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id long, text string, place int, copied string")
+    got = suffixes.repeated_passages(df, min_words=8, seed_words=3)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == plain_passages(rows, 8)
+
+
+def test_hot_passage_over_many_partitions(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "PARTITION_ROWS", 20)
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"head{i} {passage} tail{i}") for i in range(300)]
+    got = suffixes.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == set(range(300))
+    assert {r.repeated_words for r in got} == {60}
+
+
+def test_every_long_passage_keeps_a_common_place():
+    rng = np.random.default_rng(1)
+    passage = [f"p{i}" for i in rng.integers(0, 10**6, 50)]
+    texts = [
+        " ".join([f"a{i}" for i in rng.integers(0, 99, n)] + passage + [f"b{i}" for i in rng.integers(0, 99, 70 - n)])
+        for n in range(0, 70, 3)
+    ]
+    tokens, at, values = suffixes.kept_suffixes(text_batch(pa.array(texts)), 50, 20)
+    owner = tokens.owner()[at]
+    common = set(values[owner == 0])
+    for i in range(1, len(texts)):
+        common &= set(values[owner == i])
+    assert common
+    assert len(at) < 0.2 * len(tokens)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert suffixes.repeated_passages(df).count() == 0
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 5, 8, 31])
+def test_window_minimum(width):
+    values = np.random.default_rng(width).integers(0, 6, 100)
+    got = suffixes._window_minimum(values, width)
+    assert got.tolist() == [i + int(np.argmin(values[i : i + width])) for i in range(100 - width + 1)]
