@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, decontaminate, pii, quality, sharding, simhash, suffixes, toxicity
+from patronlens.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    suffixes,
+    toxicity,
+)
 from patronlens.workspace import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +88,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", "toxic_spans")
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with passages of 50 words or more that other documents have too."""
     return suffixes.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -91,7 +106,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_pii, op4_sharding, op5_simhash, op6_decontamination, op7_toxicity, op9_suffix_dedup, op10_quality)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_pii, op4_sharding, op5_simhash, op6_decontamination, op7_toxicity, op8_html_text, op9_suffix_dedup, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
