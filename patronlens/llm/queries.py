@@ -18,6 +18,7 @@ from patronlens.llm import (
     simhash,
     suffixes,
     toxicity,
+    vptree,
 )
 from patronlens.workspace import stage
 
@@ -46,6 +47,12 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(found)
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other vectors of every twentieth vector, exactly."""
+    vectors = stage(vptree.usable(table(spark, sf_dir, "embeddings")), "vectors")
+    return vptree.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20, relaxation=1.0)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards of equal row counts, in shuffled order. Size and
     checksum are those of the text that was moved."""
@@ -106,8 +113,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_pii, op4_sharding, op5_simhash, op6_decontamination, op7_toxicity, op8_html_text, op9_suffix_dedup, op10_quality)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_pii, op3_nearest, op4_sharding, op5_simhash, op6_decontamination, op7_toxicity, op8_html_text, op9_suffix_dedup, op10_quality)}
+
+
+OP3_SQL = """
+WITH vectors AS (
+    SELECT vec_id, min(embedding)::DOUBLE[] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    GROUP BY vec_id
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_nearest": OP3_SQL}
