@@ -205,6 +205,26 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids") -> Da
     return _with_columns(df, [T.StructField("decoded", T.StringType())], columns)
 
 
+def encode_checked(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+    """Add ``token_ids``, ``n_tokens`` and ``round_trip``, whether decoding gives the text back."""
+    shared = _shared(df, path)
+
+    def columns(batch: pa.RecordBatch) -> list[pa.Array]:
+        coder = _cached(shared.value, pattern)
+        texts = batch.column(batch.schema.names.index(text)).to_pylist()
+        ids = [coder.encode(t) for t in texts]
+        same = [coder.decode(i) == (t or "") for i, t in zip(ids, texts, strict=True)]
+        counts = pa.array([len(i) for i in ids], pa.int64())
+        return [pa.array(ids, pa.list_(pa.int32())), counts, pa.array(same, pa.bool_())]
+
+    fields = [
+        T.StructField("token_ids", T.ArrayType(T.IntegerType())),
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("round_trip", T.BooleanType()),
+    ]
+    return _with_columns(df, fields, columns)
+
+
 def digest(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """Replace the text by ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``: encodes and
     decodes every text but keeps only what is needed to compare two runs."""

@@ -128,16 +128,11 @@ def links(prints: DataFrame, distance: int = DISTANCE, column: str = "fingerprin
     return probe.join(table, (F.col("key") == F.col("table_key")) & smaller & near).select("a", "b")
 
 
-def near_duplicate_classes(
-    df: DataFrame, text: str = "text", doc_id: str = "doc_id", distance: int = DISTANCE
-) -> DataFrame:
-    """``df`` without its text, with ``fingerprint`` (signed long) and ``component_id``, the
-    smallest id that chains of links reach. Staged in the shared scratch folder."""
-    marked = stage(with_fingerprint(df, text, keep_text=False), "simhash-prints")
+def _named_prints(marked: DataFrame, doc_id: str, distance: int) -> DataFrame:
+    """``fingerprint, component_id`` for every distinct fingerprint."""
     prints = marked.groupBy("fingerprint").agg(F.min(doc_id).alias("component_id"))
     prints = stage(prints, "simhash-distinct")
-    edges = links(prints, distance)
-    linked = connected_components(edges)
+    linked = connected_components(links(prints, distance))
     names = (
         prints.join(linked, F.col("fingerprint") == F.col("node"))
         .groupBy("component")
@@ -145,7 +140,23 @@ def near_duplicate_classes(
     )
     renamed = linked.join(names, "component").select(F.col("node").alias("fingerprint"), "linked_id")
     # Only fingerprints with a link are in ``renamed``; the rest name themselves.
-    final = prints.join(renamed, "fingerprint", "left").select(
+    return prints.join(renamed, "fingerprint", "left").select(
         "fingerprint", F.coalesce("linked_id", "component_id").alias("component_id")
     )
-    return marked.drop("component_id").join(final, "fingerprint")
+
+
+def near_duplicate_classes(
+    df: DataFrame, text: str = "text", doc_id: str = "doc_id", distance: int = DISTANCE
+) -> DataFrame:
+    """``df`` without its text, with ``fingerprint`` (signed long) and ``component_id``, the
+    smallest id that chains of links reach."""
+    marked = stage(with_fingerprint(df, text, keep_text=False), "simhash-prints").drop("component_id")
+    return marked.join(_named_prints(marked, doc_id, distance), "fingerprint")
+
+
+def representatives(
+    df: DataFrame, text: str = "text", doc_id: str = "doc_id", distance: int = DISTANCE
+) -> DataFrame:
+    """The ``component_id`` of every class, each once: with unique ids, one document per class."""
+    marked = stage(with_fingerprint(df.select(doc_id, text), text, keep_text=False), "simhash-prints")
+    return _named_prints(marked, doc_id, distance).select("component_id").distinct()
