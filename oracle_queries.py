@@ -59,7 +59,25 @@ select customer_id, score_date, model_run_id, ltv_score, churn_score, churn_risk
  coalesce(anomaly_flag, false) anomaly_flag, anomaly_detail, scored_at, {RUN} _run_date from {source} where score_date = {RUN}"""
 
 
-_MD5_ORDER = "cast('0x' || substr(md5(customer_id), 1, 15) as bigint)"
+def _split_sql(rows: str, row_id: str, stratum: str) -> str:
+    """A fifth (rounded up) held out, shared among the strata by largest remainder; as one
+    table if a stratum has one row or there are fewer held-out rows than strata."""
+    return f"""
+select * from (with split_rows as ({rows}),
+split_sizes as (select stratum, count(*) n from split_rows group by 1),
+split_total as (select sum(n)::bigint total, ((sum(n) + 4) // 5)::bigint held, count(*) strata, min(n) least from split_sizes),
+split_mode as (select *, least < 2 or held < strata or total - held < strata as whole from split_total),
+split_quota as (
+    select stratum, n // 5 + case when row_number() over (order by n % 5 desc, cast(stratum as varchar))
+        <= (select held from split_total) - (select sum(n // 5) from split_sizes) then 1 else 0 end quota
+    from split_sizes),
+split_ranked as (
+    select *, row_number() over (partition by stratum order by md5_order, id) own, row_number() over (order by md5_order, id) overall
+    from (select *, cast('0x' || substr(md5(id), 1, 15) as bigint) md5_order from split_rows))
+select id {row_id}, stratum {stratum}, case when whole then overall <= held else own <= quota end is_validation
+from split_ranked join split_quota using (stratum) cross join split_mode)"""
+
+
 _TARGET = "greatest(cast(total_spend_365d_usd as double), 0.0)"
 
 EXTRA = {
@@ -320,9 +338,10 @@ select customer_id, cast(coalesce(days_since_last_order, 999) as double) days_si
  cast(coalesce(days_since_last_event, 999) as double) days_since_last_event, cast(open_ticket_count as double) open_ticket_count,
  cast(order_frequency_trend as double) order_frequency_trend from customer_360""",
         "risk_tiers": "select customer_id, churn_score, churn_risk_tier from score_rows",
-        "stratified_split": f"""
-select customer_id, channel, row_number() over (partition by channel order by {_MD5_ORDER}, customer_id)
- <= floor(count(*) over (partition by channel) * 0.2 + 0.5) is_validation from history""",
+        "stratified_split": _split_sql("select customer_id id, channel stratum from history", "customer_id", "channel"),
+        "stratified_split_many": _split_sql(
+            "select cast(o_orderkey as varchar) id, o_custkey % 997 stratum from orders", "order_id", "stratum"
+        ),
         "cohort_mean_ltv": "select * from means",
         "cold_start_ltv": "select customer_id, cast(coalesce(case when channel <> 'direct' then cohort_mean end, 0) as double) ltv_score from customer_360 left join means on acquisition_channel = channel",
         "regression_metrics": """

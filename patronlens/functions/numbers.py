@@ -12,9 +12,14 @@ from pyspark.sql import types as T
 TRUE_TEXTS = ("true", "t", "1", "yes", "y")
 
 
+# What a text must look like to be a number; a cast alone would also take "1d" and "2f".
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
+
+
 def to_number(column: Column) -> Column:
     """Numeric value of a column; what cannot be read as a number becomes null."""
-    number = column.try_cast("double")
+    readable = column.try_cast("string").rlike(f"{_NUMBER}|(?i)^(true|false|nan)$")
+    number = F.when(readable, column.try_cast("double"))
     return F.when(~F.isnan(number), number)
 
 
@@ -29,9 +34,10 @@ def is_true(df: DataFrame, name: str) -> Column:
         case T.BooleanType():
             truth = flag
         case T.NumericType():
-            truth = flag > 0
+            truth = number_or(flag, 0) > 0  # NaN would sort above all numbers
         case _:
-            truth = F.lower(F.trim(flag.cast("string"))).isin(*TRUE_TEXTS)
+            bare = F.regexp_replace(flag.cast("string"), r"(?U)^\s+|\s+$", "")
+            truth = F.lower(bare).isin(*TRUE_TEXTS)
     return F.coalesce(truth, F.lit(False))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from patronlens.functions.dates import as_run_date
 from patronlens.functions.numbers import is_true, number_or, require_columns, to_number
-from patronlens.models.features import assembled, encoded
+from patronlens.models.features import encoded
 from patronlens.models.metrics import classification_metrics
 from patronlens.models.tiers import risk_tier, rounded_score
 from patronlens.operators.split import with_split
@@ -99,8 +99,7 @@ def _train_and_score(features: DataFrame, day: date, trees: int) -> Churn:
         split = table.withColumn("is_validation", F.lit(False))
     else:
         split = with_split(table, "customer_id", "label")
-    vectors = assembled(split, names)
-    training = vectors.where(~F.col("is_validation"))
+    training = split.where(~F.col("is_validation"))
     trained = {r.label: r["count"] for r in training.groupBy("label").count().collect()}
     weight = F.lit(0.0)
     for label, count in trained.items():
@@ -117,9 +116,10 @@ def _train_and_score(features: DataFrame, day: date, trees: int) -> Churn:
     ).fit(training.withColumn("weight", weight))
     model = model.copy()  # without the training summary, which cannot be shipped to tasks
     probability = F.element_at(vector_to_array("probability"), 2)
-    predicted = model.transform(vectors).withColumn("churn_score", rounded_score(probability))
+    predicted = model.transform(split).withColumn("raw_score", probability)
+    predicted = predicted.withColumn("churn_score", rounded_score(F.col("raw_score")))
     held_out = predicted.where(F.col("is_validation") | F.lit(in_sample))
-    measured = classification_metrics(held_out, "label", "churn_score").first().asDict()
+    measured = classification_metrics(held_out, "label", "raw_score").first().asDict()
     if in_sample:
         measured["auc_roc"] = None  # only a held-out value may lead to promotion
     return Churn(

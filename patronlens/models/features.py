@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.functions.dates import as_run_date
 from patronlens.functions.numbers import number_or, require_columns
-from patronlens.operators.encode import one_hot
 from patronlens.schema import FEATURE_COLUMNS
 
 UNKNOWN = "unknown"
@@ -57,21 +57,29 @@ def category(column: str) -> Column:
 def encoded(
     df: DataFrame, numeric: dict[str, Column], categorical: Sequence[str], keep: Sequence[Column]
 ) -> tuple[DataFrame, list[str]]:
-    """``keep`` columns plus the feature columns, and the feature names in order."""
+    """``keep`` columns plus the vector ``features``, and the feature names in order.
+
+    Categories are one-hot entries of a sparse vector, in value order, so their number
+    costs neither columns nor expressions.
+    """
     present = [c for c in categorical if c in df.columns]
     base = df.select(
         *keep,
         *[value.cast("double").alias(name) for name, value in numeric.items()],
-        *[category(c).alias(c) for c in present],
+        *[category(c).alias(f"_{c}") for c in present],
     )
-    wide = one_hot(base, present)
-    indicators = [c for c in wide.columns if c not in base.columns]
-    return wide, [*numeric, *indicators]
-
-
-def assembled(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Add the ``features`` vector. Renames first: assembler inputs may not hold dots."""
-    positions = {name: f"_f{index}" for index, name in enumerate(names)}
-    renamed = df.withColumns({alias: F.col(f"`{name}`") for name, alias in positions.items()})
-    assembler = VectorAssembler(inputCols=list(positions.values()), outputCol="features")
-    return assembler.transform(renamed).drop(*positions.values(), *names)
+    names, inputs, stages = list(numeric), list(numeric), []
+    if present and not base.isEmpty():
+        indexer = StringIndexer(
+            inputCols=[f"_{c}" for c in present],
+            outputCols=[f"_{c}_index" for c in present],
+            stringOrderType="alphabetAsc",
+        ).fit(base)
+        names += [f"{c}_{v}" for c, values in zip(present, indexer.labelsArray, strict=True) for v in values]
+        hot = [f"_{c}_hot" for c in present]
+        encoder = OneHotEncoder(inputCols=indexer.getOutputCols(), outputCols=hot, dropLast=False)
+        stages, inputs = [indexer, encoder], inputs + hot
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
+    wide = Pipeline(stages=[*stages, assembler]).fit(base).transform(base)
+    kept = [c for c in wide.columns if c not in numeric and not c.startswith("_")]
+    return wide.select(*kept), names

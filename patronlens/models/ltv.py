@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from patronlens.functions.dates import as_run_date
 from patronlens.functions.numbers import number_or, require_columns
-from patronlens.models.features import assembled, average_order_value, category, encoded
+from patronlens.models.features import average_order_value, category, encoded
 from patronlens.models.metrics import regression_metrics
-from patronlens.operators.encode import MAX_CATEGORIES
 from patronlens.operators.split import with_split
 from patronlens.workspace import scratch_root, stage
 
@@ -66,17 +65,14 @@ def cohort_means(training: DataFrame) -> DataFrame:
 def cold_start(customers: DataFrame, means: DataFrame) -> DataFrame:
     """Customers without orders valued at their channel's mean, else 0.
 
-    The means are one row per channel. Their number is checked before they are
-    broadcast, so the few channels' many customers need no shuffle.
+    The means are one row per channel, staged so that Spark knows their size and sends
+    them to all tasks as long as they are small; many channels are joined by key.
     """
-    rows = means.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} channels")
-    lookup = F.broadcast(customers.sparkSession.createDataFrame(rows, means.schema))
+    means = stage(means, "cohort-means")
     value = F.coalesce(F.col("cohort_mean").cast("double"), F.lit(0.0))
     return (
         customers.select("customer_id", category(CHANNEL).alias("channel"))
-        .join(lookup, "channel", "left")
+        .join(means, "channel", "left")
         .select("customer_id", value.alias("ltv_score"))
     )
 
@@ -105,8 +101,7 @@ def train_and_score(
         split = history.withColumn("is_validation", F.lit(False))
     else:
         split = with_split(history, "customer_id", "channel")
-    vectors = assembled(split, names)
-    training = vectors.where(~F.col("is_validation"))
+    training = split.where(~F.col("is_validation"))
     model = GBTRegressor(
         featuresCol="features",
         labelCol="target",
@@ -115,7 +110,7 @@ def train_and_score(
         maxDepth=MAX_DEPTH,
         seed=SEED,
     ).fit(training)
-    predicted = model.transform(vectors).withColumn(
+    predicted = model.transform(split).withColumn(
         "ltv_score", F.greatest("prediction", F.lit(0.0))
     )
     in_sample = rows < MIN_ROWS_FOR_SPLIT

@@ -15,18 +15,29 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def classification_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row: auc_roc, precision, recall at 0.5; a ratio without cases is 0.
 
-    ``score`` has four decimals, so at most 10,001 distinct scores reach the
-    window. ``auc_roc`` is null unless both classes occur.
+    ``score`` is the raw probability. Equal scores are counted first; the running count of
+    negatives goes over at most 10,001 bins of four decimals and, inside a bin, over its
+    distinct scores. ``auc_roc`` is null unless both classes occur.
     """
     positive = F.col(label) == 1
-    per_score = df.groupBy(F.col(score).cast("decimal(5,4)").alias("score")).agg(
+    value = F.col(score).cast("double")
+    per_score = df.groupBy(value.alias("score")).agg(
         F.count_if(positive).alias("p"), F.count_if(~positive).alias("q")
     )
-    below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = per_score.withColumn("q_below", F.coalesce(F.sum("q").over(below), F.lit(0)))
+    per_score = per_score.withColumn("bin", F.floor(F.col("score") * 10_000))
+    bins = per_score.groupBy("bin").agg(F.sum("q").alias("q"))
+    earlier = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select("bin", F.coalesce(F.sum("q").over(earlier), F.lit(0)).alias("in_bins"))
+    inside = Window.partitionBy("bin").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    in_bin = F.coalesce(F.sum("q").over(inside), F.lit(0))
+    ranked = (
+        per_score.withColumn("in_bin", in_bin)
+        .join(bins, "bin")
+        .withColumn("q_below", F.col("in_bins") + F.col("in_bin"))
+    )
     # Ordered pairs count 2, ties 1: twice the rank statistic, in exact integers.
     twice_wins = F.col("p").cast("decimal(18,0)") * (2 * F.col("q_below") + F.col("q"))
-    chosen = F.col("score") >= F.lit(0.5).cast("decimal(5,4)")
+    chosen = F.col("score") >= 0.5
     sums = ranked.agg(
         F.sum("p").cast("double").alias("pos"),
         F.sum("q").cast("double").alias("neg"),

@@ -59,9 +59,9 @@ def log_run(
 def registered_runs(runs: DataFrame) -> DataFrame:
     """Runs that enter the registry.
 
-    Segmentation: all. LTV: those with an rmse strictly below every earlier one.
-    Churn: those with a held-out AUC above the threshold. The window is per model
-    and holds one row per run.
+    Segmentation: those with a silhouette, without which there is no model. LTV:
+    those with an rmse strictly below every earlier one. Churn: those with a held-out
+    AUC above the threshold. The window is per model and holds one row per run.
     """
     earlier = (
         Window.partitionBy("model_name")
@@ -72,7 +72,7 @@ def registered_runs(runs: DataFrame) -> DataFrame:
     improves = F.col("rmse").isNotNull() & (best_before.isNull() | (F.col("rmse") < best_before))
     name = F.col("model_name")
     registered = (
-        F.when(name == SEGMENTATION, F.lit(True))
+        F.when(name == SEGMENTATION, F.col("silhouette_score").isNotNull())
         .when(name == LTV, improves)
         .when(name == CHURN, F.coalesce(F.col("auc_roc") > MIN_AUC, F.lit(False)))
         .otherwise(F.lit(False))
@@ -82,12 +82,11 @@ def registered_runs(runs: DataFrame) -> DataFrame:
 
 def production_versions(runs: DataFrame) -> DataFrame:
     """One row per model with a production version: segmentation by highest
-    silhouette (unknown is lowest, ties to the first version); LTV and churn by the
+    silhouette (ties to the first version); LTV and churn by the
     newest registered version."""
     is_segmentation = F.col("model_name") == SEGMENTATION
-    silhouette = F.coalesce("silhouette_score", F.lit(float("-inf")))
     preference = F.struct(
-        F.when(is_segmentation, silhouette).otherwise(0.0).alias("first"),
+        F.when(is_segmentation, F.col("silhouette_score")).otherwise(0.0).alias("first"),
         F.when(is_segmentation, -F.col("version")).otherwise(F.col("version")).alias("second"),
     )
     return (

@@ -13,8 +13,6 @@ from patronlens.functions.numbers import require_columns, to_number
 MONETARY_COLUMNS = ("total_spend_365d_usd", "total_spend_usd")
 CATEGORICAL_COLUMNS = ("acquisition_channel", "segment_label")
 
-MAX_CATEGORIES = 4096
-
 
 def with_log1p(df: DataFrame, columns: Sequence[str] = MONETARY_COLUMNS) -> DataFrame:
     """Append ``<column>_log1p`` for each column that is present."""
@@ -24,12 +22,9 @@ def with_log1p(df: DataFrame, columns: Sequence[str] = MONETARY_COLUMNS) -> Data
 
 
 def categories_of(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values. Each becomes a column, so their number is checked."""
+    """Sorted distinct values, each of which becomes a column."""
     found = df.select(F.col(column).cast("string").alias("v")).where("v is not null").distinct()
-    values = [row.v for row in found.limit(MAX_CATEGORIES + 1).collect()]
-    if len(values) > MAX_CATEGORIES:
-        raise ValueError(f"{column!r} has more than {MAX_CATEGORIES} categories")
-    return sorted(values)
+    return sorted(row.v for row in found.collect())
 
 
 def one_hot(
@@ -41,7 +36,7 @@ def one_hot(
 ) -> DataFrame:
     """Replace each column by 0/1 columns ``<column>_<value>``, in value order, after
     the other columns. A null is 0 everywhere. ``categories`` saves the pass that
-    looks up the values."""
+    looks up the values. Models use sparse vectors instead (``models.features.encoded``)."""
     if not ignore_missing:
         require_columns(df, columns)
     present = [c for c in columns if c in df.columns]

@@ -48,6 +48,11 @@ class _Range:
     ranks: dict[int, int]  # rank inside this range -> rank in the whole ordering
     value: int | None = None  # set once all rows share one value
     id_parts: list[int] = field(default_factory=list)  # id bytes all rows share
+    uniform: bool = False  # all rows have the same value and id
+
+    @property
+    def is_leaf(self) -> bool:
+        return self.uniform or self.rows <= LEAF_ROWS
 
 
 def ordered_integer(
@@ -148,7 +153,7 @@ def _narrow(r: _Range, slots: list) -> list[_Range]:
                 if r.value is None:
                     tight.value = low
                 elif low == 0:
-                    raise ValueError(f"row ids repeat more than {LEAF_ROWS} times")
+                    tight.uniform = True  # the id has ended: all these rows have one key
                 else:
                     tight.id_parts.append(low)
                 tight.low, tight.high = 0, ID_SPAN - 1
@@ -175,6 +180,20 @@ def _name_rows(df, orderings, row_id, ranges: Sequence[_Range]) -> dict[str, dic
     return cuts
 
 
+def _name_uniform_rows(df, orderings, row_id, ranges: Sequence[_Range]) -> dict[str, dict[int, Cut]]:
+    """The one key of each range, without ranking its rows."""
+
+    def fields(r: _Range, value: Column):
+        return value.alias("value"), row_id.alias("row_id")
+
+    rows = _rows_per_range(df, orderings, row_id, ranges, fields)
+    cuts: dict[str, dict[int, Cut]] = {}
+    for row in rows.groupBy("range").agg(F.min("value"), F.min("row_id")).collect():
+        r = ranges[row["range"]]
+        cuts.setdefault(r.name, {}).update(dict.fromkeys(r.ranks.values(), Cut(row[1], row[2])))
+    return cuts
+
+
 def rows_at_ranks(
     df: DataFrame,
     row_id: str,
@@ -195,16 +214,20 @@ def rows_at_ranks(
         if ranks:
             ranges += _narrow(_Range(name, low, high, rows, ranks), [(index, 0, rows, low, high)])
     cuts: dict[str, dict[int, Cut]] = {}
-    while any(r.rows > LEAF_ROWS for r in ranges):
-        small = [r for r in ranges if r.rows <= LEAF_ROWS]
-        large = [r for r in ranges if r.rows > LEAF_ROWS]
+    while any(not r.is_leaf for r in ranges):
+        small = [r for r in ranges if r.is_leaf]
+        large = [r for r in ranges if not r.is_leaf]
         counted = _count(df, orderings, ident, large, max(2, HISTOGRAM_ROWS // len(large)))
         for index, r in enumerate(large):
             small += _narrow(r, [slot for slot in counted if slot[0] == index])
         ranges = small
-    if ranges:
-        for name, found in _name_rows(df, orderings, ident, ranges).items():
-            cuts.setdefault(name, {}).update(found)
+    for name_rows, chosen in (
+        (_name_rows, [r for r in ranges if not r.uniform]),
+        (_name_uniform_rows, [r for r in ranges if r.uniform]),
+    ):
+        if chosen:
+            for name, found in name_rows(df, orderings, ident, chosen).items():
+                cuts.setdefault(name, {}).update(found)
     return {name: [cuts.get(name, {})[k] for k in sorted(cuts.get(name, {}))] for name in orderings}
 
 

@@ -545,6 +545,16 @@ def stratified_split(spark, sf_dir):
     return with_split(history, "customer_id", "channel").drop("target")
 
 
+@query
+def stratified_split_many(spark, sf_dir):
+    """Orders split within about a thousand strata."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    rows = orders.select(
+        F.col("o_orderkey").cast("string").alias("order_id"), (F.col("o_custkey") % 997).alias("stratum")
+    )
+    return with_split(stage(rows, "split-orders"), "order_id", "stratum")
+
+
 @query
 def cohort_mean_ltv(spark, sf_dir):
     return ltv.cohort_means(_history(spark, sf_dir))

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__
+import oracle_queries
+import registered_queries
 
 SAMPLE = Path("/root/testdata/sf0.001")
 TABLES = (
@@ -16,8 +18,8 @@ TABLES = (
 WITHOUT_SQL = {"segment_customers", "ltv_scores", "churn_scores", "ml_scores", "ticket_topics"}
 
 pytestmark = pytest.mark.skipif(not SAMPLE.exists(), reason="no sample tables")
-QUERIES = __spark_entry__.queries()
-SQL = __spark_entry__.oracle_sql()
+QUERIES = registered_queries.queries()
+SQL = oracle_queries.oracle_sql()
 
 
 @pytest.fixture(scope="module")

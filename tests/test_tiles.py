@@ -1,3 +1,4 @@
+import hashlib
 """The distributed tiles and splits against Spark's own window functions."""
 
 import random
@@ -84,13 +85,52 @@ def test_split_holds_out_a_fifth_of_each_stratum(spark, narrow_passes):
     df = stage(spark.createDataFrame(rows, "id string, g string"), "split")
     got = split.with_split(df, "id", "g").collect()
     held_out = {g: sum(r.is_validation for r in got if r.g == g) for g in ("big", "small")}
-    assert held_out == {"big": 18, "small": 2}
+    assert held_out == {"big": 18, "small": 3}
     assert len(got) == 101
     again = {r.id: r.is_validation for r in split.with_split(df, "id", "g").collect()}
     assert again == {r.id: r.is_validation for r in got}
 
 
-def test_split_without_strata_when_one_is_a_single_row(spark):
-    rows = [(f"c{i}", "one" if i == 0 else "rest") for i in range(10)]
+def plain_split(rows, fraction=(1, 5)):
+    """Held-out ids by sorting each stratum."""
+    top, bottom = fraction
+    groups = {}
+    for i, g in rows:
+        groups.setdefault(g or "", []).append((int(hashlib.md5(i.encode()).hexdigest()[:15], 16), i))
+    held = -(-len(rows) * top // bottom)
+    if min(map(len, groups.values())) < 2 or min(held, len(rows) - held) < len(groups):
+        return {i for _, i in sorted(x for g in groups.values() for x in g)[:held]}
+    extra = held - sum(len(g) * top // bottom for g in groups.values())
+    first = sorted(groups, key=lambda g: (-(len(groups[g]) * top % bottom), g))[:extra]
+    quota = {g: len(v) * top // bottom + (g in first) for g, v in groups.items()}
+    return {i for g, v in groups.items() for _, i in sorted(v)[: quota[g]]}
+
+
+@pytest.mark.parametrize("strata", [1, 5, 257, 1500])
+@pytest.mark.parametrize("slot_rows", [20, 50_000])
+def test_split_of_any_number_of_strata(spark, strata, slot_rows, monkeypatch):
+    monkeypatch.setattr(split, "SLOT_ROWS", slot_rows)
+    rows = [(f"c{i}", f"g{i % strata}") for i in range(strata * 7)]
+    rows += [(f"h{i}", "g0" if strata < 9 else None) for i in range(4000)]
     df = stage(spark.createDataFrame(rows, "id string, g string"), "split")
-    assert sum(r.is_validation for r in split.with_split(df, "id", "g").collect()) == 2
+    got = {r.id for r in split.with_split(df, "id", "g").where("is_validation").collect()}
+    assert got == plain_split(rows)
+    assert len(got) >= 0.2 * len(rows)
+
+
+def test_split_as_one_warns(spark, caplog):
+    """One-row strata, and more strata than held-out rows."""
+    for rows in (
+        [(f"c{i}", "one" if i == 0 else "rest") for i in range(10)],
+        [(f"c{i}", f"g{i // 2}") for i in range(10)],
+    ):
+        df = stage(spark.createDataFrame(rows, "id string, g string"), "split")
+        caplog.clear()
+        got = {r.id for r in split.with_split(df, "id", "g").where("is_validation").collect()}
+        assert got == plain_split(rows) and len(got) == 2
+        assert "splitting 10 rows as one" in caplog.text
+
+
+def test_split_of_nothing(spark):
+    df = spark.createDataFrame([], "id string, g string")
+    assert split.with_split(df, "id", "g").columns == ["id", "g", "is_validation"]
