@@ -36,33 +36,36 @@ UNITS = (
 ).split()
 #: One private-use character for each type of slot.
 NAME, NUMBER, UNIT = "", "", ""
-_NAME = r"\p{Lu}(?<=[\p{L}\p{N},]\x20.)\p{Ll}[\p{L}\p{M}'-]*+"
+_NAME = rf"\p{{Lu}}(?<=[\p{{L}}\p{{N}},{NUMBER}]\x20.)\p{{Ll}}[\p{{L}}\p{{M}}'-]*+"
 _NUMBER = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 #: Units of one letter, and "in", are words of their own unless a number stands before them.
-_PLAIN_UNITS = "|".join(u for u in UNITS if len(u) > 1 and u != "in")
-_UNIT = rf"(?<!\S)(?:{_PLAIN_UNITS}|(?<=[{NUMBER}]\x20)(?:{'|'.join(UNITS)}))(?!\S)"
+_AMBIGUOUS = [u for u in UNITS if len(u) == 1 or u == "in"]
+_PLAIN = [u for u in UNITS if u not in _AMBIGUOUS]
 _MARKS = r"[!-/:-@\[-`{-~¡«»¿‐-‧]++"
 
 
-def _clean(value: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(value), _MARKS, ""), r"\s++", " "))
+def _words(value: Column) -> Column:
+    """Words in lower case without punctuation; a word of nothing else is none."""
+    return F.array_remove(F.split(F.regexp_replace(F.lower(value), _MARKS, ""), r"\s+"), "")
 
 
-def _split(value: Column) -> Column:
-    return F.when(value == "", F.array().cast("array<string>")).otherwise(F.split(value, " "))
+def with_template(df: DataFrame, text: str) -> DataFrame:
+    """Replace the text by ``words``, its template words: placeholders stand for numbers, names
+    and units. The array is a column of its own, as the units look at the word before."""
+    value = F.coalesce(F.col(text), F.lit(""))
+    value = F.when(value.rlike("[0-9]"), F.regexp_replace(value, _NUMBER, NUMBER)).otherwise(value)
+    df = df.withColumn("words", _words(F.regexp_replace(value, _NAME, NAME))).drop(text)
 
+    def typed(word: Column, i: Column) -> Column:
+        measured = word.isin(_AMBIGUOUS) & (F.get("words", i - 1) == NUMBER)
+        return F.when(word.isin(_PLAIN) | measured, UNIT).otherwise(word)
 
-def template_words(text: Column) -> Column:
-    """Template words of a text; placeholders stand for numbers, names and units."""
-    value = F.coalesce(text, F.lit(""))
-    for pattern, mark in ((_NAME, NAME), (_NUMBER, NUMBER)):
-        value = F.regexp_replace(value, pattern, mark)
-    return _split(F.regexp_replace(_clean(value), _UNIT, UNIT))
+    return df.withColumn("words", F.transform("words", typed))
 
 
 def plain_words(text: Column) -> Column:
     """The same words without placeholders, at the same places."""
-    return _split(_clean(F.coalesce(text, F.lit(""))))
+    return _words(F.coalesce(text, F.lit("")))
 
 
 def _window_hashes(words: Column, size: int, step: int) -> Column:
@@ -101,10 +104,9 @@ def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
     """``item_id, size, windows, window, item_at, item_values`` of all items. Items shorter
     than nine words have one window, the whole item."""
     items = benchmark.select(
-        F.col(item_id).alias("item_id"),
-        template_words(F.col(text)).alias("words"),
-        plain_words(F.col(text)).alias("plain"),
+        F.col(item_id).alias("item_id"), F.col(text).alias("text"), plain_words(F.col(text)).alias("plain")
     )
+    items = with_template(items, "text")
     n = F.size("words")
     size = F.when(n < 2 * WINDOW - 1, n).otherwise(F.lit(WINDOW))
     items = items.withColumn("windows", n - size + 1)
@@ -151,13 +153,12 @@ def find_leaks(
     items = stage(item_windows(benchmark, item_id, item_text), "benchmark-windows")
     lengths = items.where("windows = 1").select("size").distinct()
     short = sorted(r["size"] for r in lengths.collect())  # one to eight words
-    templates = docs.select("doc_key", template_words(F.col(text)).alias("words"))
+    templates = with_template(docs.select("doc_key", text), text)
     hits = stage(_hits(templates, items, short), "benchmark-hits")
     sizes = items.select("item_id", "size", "windows").distinct()
     chosen = docs.select("doc_key", text).join(hits.select("doc_key").distinct(), "doc_key", "left_semi")
-    chosen = chosen.dropDuplicates(["doc_key"]).select(
-        "doc_key", template_words(F.col(text)).alias("words"), plain_words(F.col(text)).alias("plain")
-    )
+    chosen = chosen.dropDuplicates(["doc_key"]).withColumn("plain", plain_words(F.col(text)))
+    chosen = with_template(chosen, text)
     wanted = hits.join(sizes, "item_id").select("doc_key", "size").distinct()
     windows = _windows_with_slots(chosen.join(wanted, "doc_key"), F.col("size"), "doc_at", "doc_values")
     matched = windows.join(items, ["window", "size"]).join(hits, ["doc_key", "item_id"], "left_semi")

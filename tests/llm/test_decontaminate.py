@@ -17,8 +17,8 @@ def clean(text):
 
 
 def template(text):
-    text = regex.sub(r"(?<=[\p{L}\p{N},] )\p{Lu}\p{Ll}[\p{L}\p{M}'-]*+", d.NAME, text or "")
-    text = regex.sub(r"(?<![^ \t\n\x0b\f\r])[^ \t\n\x0b\f\r0-9]*+[0-9][^ \t\n\x0b\f\r]*+", d.NUMBER, text)
+    text = regex.sub(r"(?<![^ \t\n\x0b\f\r])[^ \t\n\x0b\f\r0-9]*+[0-9][^ \t\n\x0b\f\r]*+", d.NUMBER, text or "")
+    text = regex.sub(rf"(?<=[\p{{L}}\p{{N}},{d.NUMBER}] )\p{{Lu}}\p{{Ll}}[\p{{L}}\p{{M}}'-]*+", d.NAME, text)
     words = clean(text)
     after = [False, *(w == d.NUMBER for w in words)]
     return [d.UNIT if w in d.UNITS and (len(w) > 1 and w != "in" or n) else w for w, n in zip(words, after)]
