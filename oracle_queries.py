@@ -365,6 +365,11 @@ select customer_id, {RUN} score_date, 'fallback' model_run_id, ltv_score, case w
  case when is_active then churn_risk_tier when halved < 0.33 then 'Low' when halved < 0.67 then 'Medium' else 'High' end churn_risk_tier,
  segment_label, false anomaly_flag, cast(null as varchar) anomaly_detail, {SCORED} scored_at
 from (select s.*, is_active, {halved} halved from score_rows s join customer_360 using (customer_id))""",
+        "score_job": f"""
+select customer_id, {RUN} score_date, 'sample' model_run_id, ltv_score, halved churn_score,
+ case when halved < 0.33 then 'Low' when halved < 0.67 then 'Medium' else 'High' end churn_risk_tier,
+ segment_label, false anomaly_flag, cast(null as varchar) anomaly_detail, {SCORED} scored_at, {RUN} _run_date
+from (select *, {halved} halved from score_rows)""",
         "ml_score_sink": _mart_scores("(select * from score_rows union all select * from prior_score_rows)"),
         "mart_ml_scores": _mart_scores("(select * from score_rows union all select * from prior_score_rows)"),
         "anomaly_zscore": """

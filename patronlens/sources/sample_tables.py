@@ -191,11 +191,9 @@ def campaigns(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFra
     )
 
 
-def tickets(
-    spark: SparkSession, sf_dir: str, faults: bool = False, texts: bool = True
-) -> DataFrame:
+def tickets(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
     """One ticket per order; the description is the document with the order's number,
-    where there is one. ``texts=False`` leaves the document join out."""
+    where there is one."""
     source = _table(spark, sf_dir, "orders")
     priority = F.col("o_orderpriority")
     level = (
@@ -219,11 +217,9 @@ def tickets(
     resolved = F.when(closed, opened + F.make_dt_interval(hours=hours))
     subject = F.concat(F.lit("Order "), _text("o_orderkey"), F.lit(": "), priority)
     rows = _versions(source, F.col("o_orderstatus") == "F", LOADED_EARLIER)
-    description = subject
-    if texts:
-        documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-        rows = rows.join(documents, F.col("o_orderkey") == F.col("doc_id"), "left")
-        description = F.coalesce("text", subject)
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = rows.join(documents, F.col("o_orderkey") == F.col("doc_id"), "left")
+    description = F.coalesce("text", subject)
     return rows.select(
         _text("o_orderkey").alias("ticket_id"),
         customer.alias("customer_id"),
@@ -238,14 +234,12 @@ def tickets(
     )
 
 
-def raw_tables(
-    spark: SparkSession, sf_dir: str, faults: bool = False, texts: bool = False
-) -> RawTables:
+def raw_tables(spark: SparkSession, sf_dir: str, faults: bool = False) -> RawTables:
     return RawTables(
         customers(spark, sf_dir, faults),
         orders(spark, sf_dir, faults),
         order_items(spark, sf_dir, faults),
         events(spark, sf_dir, faults),
         campaigns(spark, sf_dir, faults),
-        tickets(spark, sf_dir, faults, texts),
+        tickets(spark, sf_dir, faults),
     )

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from patronlens.workspace import path_exists
+from patronlens.workspace import child_names, path_exists
 
 PUBLICATION_DDL = "publication long, table_name string, path string, ddl string"
 
@@ -96,6 +97,13 @@ class TableStore:
     def read_partitioned(self, table: str, ddl: str) -> DataFrame:
         return self.spark.read.schema(ddl).parquet(self._partitioned_path(table))
 
+    def partition_before(self, table: str, partition: str, day: date) -> date | None:
+        """The newest date of a date partition before ``day``, from the folder names alone."""
+        names = child_names(self.spark, self._partitioned_path(table))
+        days = (n.split("=", 1)[1] for n in names if n.startswith(f"{partition}="))
+        found = [d for d in days if d < day.isoformat() and not d.startswith("__")]
+        return date.fromisoformat(max(found)) if found else None
+
     def _partitioned_path(self, table: str) -> str:
         return f"{self.root}/{layer_of(table, 'ml')}/{table}"
 

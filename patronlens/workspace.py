@@ -52,6 +52,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right below ``path``; none if it does not exist."""
+    files, target = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application staged, once no DataFrame needs it any more."""
     files, target = _hadoop_path(spark, _application_folder(spark))

@@ -60,8 +60,8 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def layers(spark: SparkSession, sf_dir: str, faults: bool = False, texts: bool = False) -> Layers:
-    return Layers(raw_tables(spark, sf_dir, faults, texts), RUN_DATE)
+def layers(spark: SparkSession, sf_dir: str, faults: bool = False) -> Layers:
+    return Layers(raw_tables(spark, sf_dir, faults), RUN_DATE)
 
 
 # Staging, intermediate and mart tables.
@@ -89,7 +89,7 @@ def stg_events_dedup(spark, sf_dir):
 
 @query
 def stg_tickets_dedup(spark, sf_dir):
-    return layers(spark, sf_dir, texts=True).stg_tickets
+    return layers(spark, sf_dir).stg_tickets
 
 
 @query
@@ -296,7 +296,7 @@ def run_log_current(spark, sf_dir):
 
 @query
 def expectation_report(spark, sf_dir):
-    raw = dict(raw_tables(spark, sf_dir, faults=True, texts=True).items())
+    raw = dict(raw_tables(spark, sf_dir, faults=True).items())
     return check_tables(raw, raw_suites(), RUN_DATE)
 
 
@@ -661,6 +661,26 @@ def ml_score_sink(spark, sf_dir):
     return promoted.withColumn("anomaly_detail", F.to_json("anomaly_detail"))
 
 
+@query
+def score_job(spark, sf_dir):
+    """The scoring job on two dates; today the churn model has failed, so customers keep the
+    values that yesterday's partition holds. Rows as stored in the mart."""
+    chosen = stage(features(spark, sf_dir), "features")
+    store = TableStore(spark, scratch_path(spark, "score-job"))
+    for score_date, failed in ((RUN_DATE - timedelta(days=1), False), (RUN_DATE, True)):
+        made = sample_scores(chosen, score_date)
+        half = (F.col("churn_score") / 2).cast("decimal(5,4)")
+        risk = made.select("customer_id", half.alias("churn_score"))
+        risk = risk.withColumn("churn_risk_tier", risk_tier(F.col("churn_score")))
+        results = scoring.ModelResults(
+            made.select("customer_id", "segment_label"),
+            made.select("customer_id", F.col("ltv_score").cast("double").alias("ltv_score")),
+            None if failed else risk,
+        )
+        scoring.store_scores(store, chosen, results, score_date, "sample", SCORED_AT)
+    return store.read(scoring.MART_TABLE).withColumn("anomaly_detail", F.to_json("anomaly_detail"))
+
+
 @query
 def mart_ml_scores(spark, sf_dir):
     chosen = features(spark, sf_dir)
@@ -725,4 +745,4 @@ def ml_scores(spark, sf_dir):
 
 @query
 def ticket_topics(spark, sf_dir):
-    return topics.ticket_topics(layers(spark, sf_dir, texts=True).stg_tickets)
+    return topics.ticket_topics(layers(spark, sf_dir).stg_tickets)
