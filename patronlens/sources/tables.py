@@ -4,22 +4,31 @@ A load writes each table to a folder of its own and then publishes all of them
 with one small file that names the new folders. Readers follow the newest
 publication, so they see either the whole load or none of it; an abandoned load
 leaves folders that no publication names. One writer at a time.
+
+A table may also be published in parts, each a folder of its own: hash buckets of the
+key, or run dates. A load then writes the parts it changes, and the others stay where
+they are, named by the publication that wrote them.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Collection, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from patronlens.workspace import child_names, path_exists
+from patronlens.workspace import child_names, delete_path, path_exists, stage
 
 PUBLICATION_DDL = "publication long, table_name string, path string, ddl string"
 
+PART = "@"  # between the names of a table and of its part
+BUCKETS = 64
+
+Written = dict[str, tuple[str, DataFrame]]
+
 # Layer by table-name prefix.
 LAYER_BY_PREFIX = {"stg_": "staging", "int_": "intermediate", "mart_": "marts"}
 
@@ -54,7 +63,7 @@ class TableStore:
         return number, {row.table_name: (row.path, row.ddl) for row in rows}
 
     def exists(self, table: str) -> bool:
-        return table in self._current()[1]
+        return any(name.split(PART)[0] == table for name in self._current()[1])
 
     def read(self, table: str) -> DataFrame:
         df = self.read_if_exists(table)
@@ -63,11 +72,72 @@ class TableStore:
         return df
 
     def read_if_exists(self, table: str) -> DataFrame | None:
-        current = self._current()[1]
-        if table not in current:
+        return self._scan([entry for _, entry in sorted(self._entries(table).items())])
+
+    def read_parts(self, table: str, parts: Collection[str]) -> DataFrame | None:
+        """The given parts of a table as far as they are published."""
+        return self._scan([e for part, e in sorted(self._entries(table).items()) if part in parts])
+
+    def parts(self, table: str) -> list[str]:
+        return sorted(self._entries(table))
+
+    def _entries(self, table: str) -> dict[str, tuple[str, str]]:
+        """Path and schema per part; an undivided table is the part without a name."""
+        named = ((name.partition(PART), entry) for name, entry in self._current()[1].items())
+        return {part: entry for (owner, _, part), entry in named if owner == table}
+
+    def _scan(self, entries: list[tuple[str, str]]) -> DataFrame | None:
+        if not entries:
             return None
-        path, ddl = current[table]
-        return self.spark.read.schema(ddl).parquet(f"{self.root}/{path}")
+        paths = [f"{self.root}/{path}" for path, _ in entries]
+        return self.spark.read.schema(entries[0][1]).parquet(*paths)
+
+    def write_buckets(
+        self,
+        table: str,
+        batch: DataFrame,
+        keys: Sequence[str],
+        merge: Callable[[DataFrame, DataFrame], DataFrame],
+        buckets: int = BUCKETS,
+    ) -> tuple[Written, DataFrame]:
+        """Merge ``batch`` into the hash buckets of ``keys`` that it touches, unpublished.
+
+        ``merge(stored rows, batch rows)`` sees those buckets only. Returns the new parts
+        and a scan of the whole table with them. The number of buckets belongs to the table.
+        """
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        staged = stage(batch, f"{table}-batch")
+        numbers = sorted(r[0] for r in staged.select(bucket).distinct().collect())
+        touched = {f"{number:05d}": number for number in numbers}
+        stored = self.read_parts(table, touched)
+        merged = merge(staged.limit(0) if stored is None else stored, staged)
+        path = f"{layer_of(table, 'raw')}/{table}/{uuid.uuid4().hex}"
+        parted = merged.withColumn("_bucket", bucket).repartition("_bucket")
+        parted.write.partitionBy("_bucket").parquet(f"{self.root}/{path}")
+        kept = {p: e for p, e in self._entries(table).items() if p not in touched}
+        ddl = ddl_of(merged.schema)
+        fresh = {part: (f"{path}/_bucket={n}", ddl) for part, n in touched.items()}
+        whole = self._scan([e for _, e in sorted({**kept, **fresh}.items())])
+        whole = staged.limit(0) if whole is None else whole
+        return {f"{table}{PART}{part}": (p, whole) for part, (p, _) in fresh.items()}, whole
+
+    def write_part(self, table: str, part: str, df: DataFrame) -> Written:
+        """Write one part, unpublished; publishing it replaces the part of that name."""
+        return {f"{table}{PART}{part}": self.write(table, df)}
+
+    def drop_old(self, keep: int) -> int:
+        """Delete the folders that none of the last ``keep`` publications shows; how many."""
+        if keep < 1:
+            raise ValueError("keep at least the newest publication")
+        log = self.spark.read.schema(PUBLICATION_DDL).json(f"{self.root}/_published")
+        newest = self._current()[0]
+        by_table = Window.partitionBy("table_name").orderBy("publication")
+        until = F.coalesce(F.lead("publication").over(by_table) - 1, F.lit(newest))
+        shown = log.withColumn("until", until)
+        # A path is visible from its own publication until the next one of its table.
+        old = shown.groupBy("path").agg(F.max("until").alias("until"))
+        gone = [r.path for r in old.where(F.col("until") <= newest - keep).collect()]
+        return sum(delete_path(self.spark, f"{self.root}/{path}") for path in gone)
 
     def write(self, table: str, df: DataFrame) -> tuple[str, DataFrame]:
         """Write a new, unpublished version; return its path and a scan of it."""

@@ -58,6 +58,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder; whether there was one."""
+    files, target = _hadoop_path(spark, path)
+    return files.delete(target, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application staged, once no DataFrame needs it any more."""
     files, target = _hadoop_path(spark, _application_folder(spark))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, timedelta
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,10 @@ from patronlens.operators import anomaly
 from patronlens.operators.encode import MONETARY_COLUMNS, clip, one_hot, with_log1p
 from patronlens.operators.orphans import orphan_rows
 from patronlens.operators.split import with_split
-from patronlens.operators.upsert import replace_by_key, upsert
+from patronlens.operators.upsert import replace_by_key
 from patronlens.plans import marts
 from patronlens.plans.build import Layers
-from patronlens.plans.ingest import load_all
+from patronlens.plans.ingest import load_all, write_upserted
 from patronlens.plans.pipeline import build_layers
 from patronlens.quality import assertions
 from patronlens.quality.checks import check_tables, columns_needed
@@ -191,14 +191,17 @@ def upsert_latest(spark, sf_dir):
     """Update one channel's customers and insert another's."""
     customers = sample_tables.customers(spark, sf_dir)
     channel = F.col("acquisition_channel")
-    existing = customers.where((channel != "direct") & (F.col("_ingested_at") == F.lit(LOADED_AT)))
+    existing = customers.where(channel != "direct")
     batch = customers.where(channel.isin("direct", "paid_search")).withColumns(
         {
             "name": F.concat("name", F.lit("-new")),
             "_ingested_at": F.col("_ingested_at") + F.expr("interval 2 days"),
         }
     )
-    return upsert(existing, batch, ["customer_id"])
+    store = TableStore(spark, scratch_path(spark, "upsert"))
+    for rows in (existing, batch):
+        store.publish(write_upserted(store, "customers", rows)[0])
+    return store.read("customers")
 
 
 @query
@@ -209,7 +212,11 @@ def incremental_replace_by_key(spark, sf_dir):
         {"order_status": F.lit("pending"), "_run_date": F.date_sub("_run_date", 1)}
     )
     today = orders.where(F.to_date("ordered_at") >= days_before(RUN_DATE, 365))
-    return replace_by_key(yesterday, today, ["order_id"])
+    store = TableStore(spark, scratch_path(spark, "replace"))
+    replace_orders = partial(replace_by_key, keys=["order_id"])
+    for rows in (yesterday, today):
+        store.publish(store.write_buckets("mart_orders", rows, ["order_id"], replace_orders)[0])
+    return store.read("mart_orders")
 
 
 @query

@@ -203,3 +203,47 @@ def test_runs_in_flight_are_marked_failed(spark, store):
     }
     mark_failed(store, RUN_DATE, "job", LATER)
     assert sorted(r.status for r in states(store)) == ["failed", "failed", "running", "success"]
+
+
+def folders(store, table):
+    return {part: store._entries(table)[part][0] for part in store.parts(table)}
+
+
+def test_untouched_buckets_keep_their_files(spark, store):
+    rows = [(f"k{i}", i, LOADED_AT) for i in range(200)]
+    for batch in (rows, [("k3", 30, LATER), ("k4", 40, LATER)]):
+        before = folders(store, "t")
+        parts, _ = store.write_buckets("t", table(spark, *batch), ["k"], lambda old, new: upsert(old, new, ["k"]), 16)
+        store.publish(parts)
+    after = folders(store, "t")
+    changed = {part for part in after if after[part] != before[part]}
+    assert after.keys() == before.keys() and len(after) == 16 and 1 <= len(changed) <= 2
+    values = {r.k: r.v for r in store.read("t").collect()}
+    assert values == {f"k{i}": {3: 30, 4: 40}.get(i, i) for i in range(200)}
+
+
+def test_parts_become_visible_together_and_old_ones_go(spark, store):
+    for number in range(4):
+        written = store.write_part("m", "2026-07-01", spark.range(number + 1))
+        written["a"] = store.write("a", spark.range(10 * number))
+        assert number == 0 or store.read("m").count() == number
+        store.publish(written)
+    store.publish(store.write_part("m", "2026-07-02", spark.range(5)))
+    assert store.read("m").count() == 9 and store.read_parts("m", ["2026-07-02"]).count() == 5
+    assert store.drop_old(keep=3) == 4
+    assert store.drop_old(keep=3) == 0
+    assert store.read("m").count() == 9 and store.read("a").count() == 30
+    with pytest.raises(ValueError):
+        store.drop_old(keep=0)
+
+
+def test_an_empty_batch_changes_nothing(spark, store):
+    def merge(old, new):
+        return upsert(old, new, ["k"])
+
+    parts, whole = store.write_buckets("t", table(spark, ("a", 1, LOADED_AT)), ["k"], merge)
+    store.publish(parts)
+    parts, whole = store.write_buckets("t", table(spark).limit(0), ["k"], merge)
+    assert parts == {} and whole.count() == 1
+    store.publish(parts)
+    assert store.read("t").count() == 1
