@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle_cte import CTES, RUN, T1, half_up, sql, table
 from patronlens.quality.suites import model_suites, raw_suites
+from patronlens.schema import RAW_DDL, RAW_KEYS
 
 # Query name -> CTE that is the whole answer.
 _TABLES = {
@@ -59,6 +60,35 @@ select customer_id, score_date, model_run_id, ltv_score, churn_score, churn_risk
  coalesce(anomaly_flag, false) anomaly_flag, anomaly_detail, scored_at, {RUN} _run_date from {source} where score_date = {RUN}"""
 
 
+def _rejects_sql() -> str:
+    """Rows of the faulty raw tables that break a declared not-null or range rule, or a shared email."""
+    optional = {"tickets": {"resolved_at"}}
+    ranges = {
+        "order_items": [("quantity", "positive", "quantity > 0"), ("unit_price_usd", "not_negative", "unit_price_usd >= 0")],
+        "campaigns": [
+            ("daily_spend_usd", "not_negative", "daily_spend_usd >= 0"),
+            ("impressions", "not_negative", "impressions >= 0"),
+            ("clicks", "between_0_and_impressions", "clicks between 0 and impressions"),
+        ],
+    }
+    selects = []
+    for table, keys in RAW_KEYS.items():
+        key = "concat_ws(':', " + ", ".join(f"cast({k} as varchar)" for k in keys) + ")"
+        names = [c.split()[0] for c in RAW_DDL[table].split(", ") if c.split()[0] not in optional.get(table, ())]
+        found = [(c, "not_null", f"{c} is null") for c in names]
+        found += [(c, rule, f"not ({text})") for c, rule, text in ranges.get(table, ())]
+        if table == "customers":
+            owner = "(select min(o.customer_id) from fraw_customers o where o.email = fraw_customers.email)"
+            found.append(("email", "unique", f"customer_id <> {owner}"))
+        for column, rule, broken in found:
+            selects.append(
+                f"select '{table}' table_name, '{column}' failing_column, '{rule}' failing_expectation, "
+                f"cast(to_json(list(k order by k)) as varchar) sample_failing_rows from (select distinct {key} k "
+                f"from fraw_{table} where {broken} order by 1 limit 20) having count(*) > 0"
+            )
+    return "\nunion all ".join(selects)
+
+
 def _split_sql(rows: str, row_id: str, stratum: str) -> str:
     """A fifth (rounded up) held out, shared among the strata by largest remainder; as one
     table if a stratum has one row or there are fewer held-out rows than strata."""
@@ -294,6 +324,7 @@ select session_id run_id, min(cast(occurred_at as date)) run_date, 'session' job
  max(cast(event_id as bigint)) filter (where event_type in ('purchase','error')) rows_ingested, cast(null as varchar) notes
 from stg_events group by 1""",
         "expectation_report": report,
+        "load_rejects": _rejects_sql(),
         "dq_failures": f"""
 select {RUN} run_date, 'expectation' failure_type, 'raw' source_domain, table_name, 'raw_suites' checkpoint_or_test_name,
  column_name failing_column, check_name failing_expectation, cast(null as varchar) sample_failing_rows, {SCORED} logged_at
@@ -318,7 +349,7 @@ where ltv_score < 0 or churn_score < 0 or churn_score > 1 or churn_risk_tier not
         "negative_money_violations": negatives,
         "volume_drift": """
 select c current_row_count, p prior_row_count, cast(cast((2*abs(c-p)*1000000+p)//(2*p) as decimal(18,0)) * 0.000001::decimal(7,6) as decimal(18,6)) deviation_pct
-from (select count(*) c, count(*) filter (where acquisition_channel <> 'direct') p from int_customers)
+from (select count(*) c, count(*) filter (where acquisition_channel <> 'direct') p from customer_360)
 where p > 0 and abs(c-p) * 100 > p * 20""",
         "source_freshness": f"""
 select table_name, max_ingested_at, case when max_ingested_at < {as_of} - interval 2 day then 'error'

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import date, timedelta
 from functools import partial, reduce
 
@@ -23,16 +22,17 @@ from patronlens.operators.split import with_split
 from patronlens.operators.upsert import replace_by_key
 from patronlens.plans import marts
 from patronlens.plans.build import Layers
-from patronlens.plans.ingest import load_all, write_upserted
+from patronlens.plans.ingest import DOMAIN_OF, load_all, write_upserted
 from patronlens.plans.pipeline import build_layers
 from patronlens.quality import assertions
 from patronlens.quality.checks import check_tables, columns_needed
+from patronlens.quality.constraints import all_rejections, with_broken_rules
 from patronlens.quality.gate import failure_rows
 from patronlens.quality.suites import model_suites, raw_suites, staging_suites
 from patronlens.runlog import run_states
 from patronlens.schema import ML_SCORES_DDL, struct
 from patronlens.sources import sample_tables, seeds
-from patronlens.sources.raw import RawTables, with_known_parent
+from patronlens.sources.raw import with_known_parent
 from patronlens.sources.sample_tables import LOADED_AT, RUN_DATE, raw_tables
 from patronlens.sources.seeds import read_seed, with_seed_labels
 from patronlens.sources.tables import TableStore, ddl_of
@@ -234,7 +234,7 @@ def incremental_replace_partition(spark, sf_dir):
 @query
 def load_summary(spark, sf_dir):
     """All raw tables loaded twice as a whole; rows per published table."""
-    raw = loadable(raw_tables(spark, sf_dir))
+    raw = raw_tables(spark, sf_dir)
     store = TableStore(spark, scratch_path(spark, "load"))
     load_all(store, raw, RUN_DATE)
     load_all(store, raw, RUN_DATE)
@@ -245,11 +245,6 @@ def load_summary(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
-def loadable(raw: RawTables) -> RawTables:
-    """Raw tables that meet their not-null and foreign-key constraints."""
-    return replace(raw, orders=raw.orders.where("customer_id is not null"))
-
-
 @query
 def pipeline_tables(spark, sf_dir):
     """One pipeline run; rows and run date per stored table."""
@@ -307,6 +302,16 @@ def expectation_report(spark, sf_dir):
     return check_tables(raw, raw_suites(), RUN_DATE)
 
 
+@query
+def load_rejects(spark, sf_dir):
+    """What the loader keeps out of the faulty sample, with the first keys."""
+    flagged = {
+        t: with_broken_rules(t, df) for t, df in raw_tables(spark, sf_dir, faults=True).items()
+    }
+    found = all_rejections(flagged, DOMAIN_OF, RUN_DATE, SCORED_AT)
+    return found.select("table_name", "failing_column", "failing_expectation", "sample_failing_rows")
+
+
 @query
 def dq_failures(spark, sf_dir):
     report = expectation_report(spark, sf_dir)
@@ -412,8 +417,8 @@ def negative_money_violations(spark, sf_dir):
 
 @query
 def volume_drift(spark, sf_dir):
-    """Today's customers against an earlier run without one channel's customers."""
-    today = layers(spark, sf_dir).int_customers
+    """Today's feature rows against an earlier run without one channel's customers."""
+    today = layers(spark, sf_dir).mart_customer_360
     earlier = today.where("acquisition_channel <> 'direct'").withColumn(
         "_run_date", F.date_sub("_run_date", 1)
     )
