@@ -9,19 +9,17 @@ order in 365 days are "Inactive" and take no part.
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import date, datetime
-from functools import partial
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.functions.dates import as_run_date
 from patronlens.functions.numbers import number_or, require_columns
-from patronlens.workspace import in_parallel
 
 log = logging.getLogger(__name__)
 
@@ -63,7 +61,16 @@ LABELS = {
     ],
 }
 
-PARALLEL_FITS = 8
+MAX_STEPS = 100
+
+
+@dataclass(frozen=True)
+class Clustering:
+    """One k-means result on the grid."""
+
+    cost: float
+    centers: np.ndarray
+    clusters: np.ndarray
 
 
 @dataclass(frozen=True)
@@ -137,22 +144,52 @@ def rank_labels(centers: np.ndarray, k: int) -> dict[int, str]:
     return {cluster: LABELS[k][rank] for rank, cluster in enumerate(order)}
 
 
-def _fit_all(grid: DataFrame, ks: list[int], restarts: int) -> dict[int, object]:
-    """The model with the lowest cost per k. The fits are small Spark jobs, run side by
-    side from driver threads."""
-
-    def fit(k: int, restart: int):
-        means = KMeans(
-            k=k, seed=SEED + restart, weightCol="customers", featuresCol="features", maxIter=100
-        )
-        model = means.fit(grid)
-        return k, model.summary.trainingCost, restart, model
-
-    tasks = {(k, n): partial(fit, k, n) for k in ks for n in range(restarts)}
-    fitted = in_parallel(grid.sparkSession, tasks, PARALLEL_FITS)
-    best = {}
-    for k, cost, restart, model in sorted(fitted.values(), key=lambda f: f[:3]):
-        best.setdefault(k, (cost, model))
+def weighted_kmeans(
+    points: np.ndarray, weights: np.ndarray, k: int, seed: list[int]
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Cost, centers and cluster of each point: weighted k-means++ and Lloyd steps."""
+    rng = np.random.default_rng(seed)
+    centers = points[[rng.choice(len(points), p=weights / weights.sum())]]
+    for _ in range(k - 1):
+        away = weights * ((points[:, None] - centers[None]) ** 2).sum(axis=2).min(axis=1)
+        chance = away / away.sum() if away.sum() > 0 else weights / weights.sum()
+        centers = np.vstack([centers, points[rng.choice(len(points), p=chance)]])
+    for _ in range(MAX_STEPS):
+        square = ((points[:, None] - centers[None]) ** 2).sum(axis=2)
+        clusters = square.argmin(axis=1)
+        mass = np.bincount(clusters, weights, k)
+        sums = np.stack([np.bincount(clusters, weights * x, k) for x in points.T], axis=1)
+        moved = np.where(mass[:, None] > 0, sums / np.maximum(mass, 1e-300)[:, None], centers)
+        if np.allclose(moved, centers, atol=1e-9):
+            break
+        centers = moved
+    square = ((points[:, None] - centers[None]) ** 2).sum(axis=2)
+    return float((weights * square.min(axis=1)).sum()), centers, square.argmin(axis=1)
+
+
+def _fit_all(
+    spark: SparkSession, points: np.ndarray, weights: np.ndarray, ks: list[int], restarts: int
+) -> dict[int, Clustering]:
+    """The fit with the lowest cost per k. All fits run as rows of one job; each task gets the
+    grid, at most ``GRID_POINTS`` points."""
+    if not ks:
+        return {}
+    pairs = [(k, n) for k in ks for n in range(restarts)]
+    fits = spark.createDataFrame(pairs, "k int, restart int").repartition(len(pairs))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k, restart in zip(batch["k"].tolist(), batch["restart"].tolist(), strict=True):
+                cost, centers, clusters = weighted_kmeans(points, weights, k, [SEED, k, restart])
+                found = (k, restart, cost, centers.tolist(), clusters.tolist())
+                yield pd.DataFrame([found], columns=["k", "restart", "cost", "centers", "clusters"])
+
+    schema = "k int, restart int, cost double, centers array<array<double>>, clusters array<int>"
+    done = fits.mapInPandas(run, schema).collect()
+    best: dict[int, Clustering] = {}
+    for row in sorted(done, key=lambda r: (r.k, r.cost, r.restart)):
+        found = Clustering(row.cost, np.array(row.centers), np.array(row.clusters))
+        best.setdefault(row.k, found)
     return best
 
 
@@ -180,32 +217,18 @@ def train_and_score(
     scale = np.where(std > 0, std, 1.0)
     points = (raw - mean) / scale
 
-    data = [(i, float(w), p.tolist()) for i, (w, p) in enumerate(zip(weights, points))]
-    grid = (
-        spark.createDataFrame(data, "point int, customers double, coordinates array<double>")
-        .coalesce(1)
-        .select("point", "customers", array_to_vector("coordinates").alias("features"))
-        .cache()
-    )
-    try:
-        ks = [k for k in K_RANGE if k < active and len(rows) >= 2]
-        best = _fit_all(grid, ks, restarts)
-        clusterings, silhouettes = {}, {}
-        for k, (cost, model) in best.items():
-            predicted = model.transform(grid).orderBy("point").select("prediction").collect()
-            clusters = np.array([row.prediction for row in predicted])
-            if len(np.unique(clusters)) < 2:
-                continue
-            clusterings[k] = (cost, model, clusters)
-            silhouettes[k] = silhouette(points, weights, clusters)
-    finally:
-        grid.unpersist()
+    ks = [k for k in K_RANGE if k < active and len(rows) >= 2]
+    clusterings, silhouettes = {}, {}
+    for k, found in _fit_all(spark, points, weights, ks, restarts).items():
+        if len(np.unique(found.clusters)) >= 2:
+            clusterings[k] = found
+            silhouettes[k] = silhouette(points, weights, found.clusters)
     if not silhouettes:
         raise ValueError(f"{active} active customers do not form two clusters for any k")
 
     k = choose_k(silhouettes)
-    cost, model, clusters = clusterings[k]
-    centers = np.array(model.clusterCenters()) * scale + mean
+    cost, clusters = clusterings[k].cost, clusterings[k].clusters
+    centers = clusterings[k].centers * scale + mean
     names = rank_labels(centers, k)
     labelled = spark.createDataFrame(
         [(*(int(row[c]) for c in RFM), names[int(c)]) for row, c in zip(rows, clusters)],
