@@ -70,16 +70,21 @@ def clear_scratch(spark: SparkSession) -> None:
     files.delete(target, True)
 
 
+def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``stage``, with the path, so that the caller can delete the table with
+    ``delete_path`` once all that reads it has been written."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a scan of the written table.
 
     Cuts lineage like ``checkpoint()`` but stays columnar, so that each later
     pass reads only the columns it uses. The files outlive lost executors.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stage_at(df, label)[0]
 
 
 def in_parallel[K, T](
