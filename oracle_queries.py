@@ -325,6 +325,14 @@ select session_id run_id, min(cast(occurred_at as date)) run_date, 'session' job
 from stg_events group by 1""",
         "expectation_report": report,
         "load_rejects": _rejects_sql(),
+        "segment_inactive": "select customer_id from customer_360 where order_frequency_365d = 0",
+        "ltv_bounds": "select acquisition_channel channel, count(*) customers, 0 out_of_bounds from customer_360 group by 1",
+        "churn_bounds": "select customer_id, true is_consistent from customer_360 where is_active",
+        "ml_score_bounds": "select customer_id, is_active has_churn, order_frequency_365d = 0 is_inactive, true has_value from customer_360",
+        "topic_bounds": "select ticket_id, true is_consistent from stg_tickets",
+        "daily_outputs": f"""
+select run_date, count(*) row_count, 'daily_anomalies' table_name from daily_scored where run_date in ({PRIOR}, {RUN}) group by 1
+union all select unnest([{PRIOR}, {RUN}]), 1, 'daily_insights'""",
         "dq_failures": f"""
 select {RUN} run_date, 'expectation' failure_type, 'raw' source_domain, table_name, 'raw_suites' checkpoint_or_test_name,
  column_name failing_column, check_name failing_expectation, cast(null as varchar) sample_failing_rows, {SCORED} logged_at

@@ -51,7 +51,9 @@ def daily_anomalies(metrics: DataFrame) -> DataFrame:
     )
     mean_d = F.col("rolling_mean_30d").cast("double")
     std_d = F.nullif(F.col("rolling_std_30d").cast("double"), F.lit(0.0))
-    z = ((F.col("observed_value").cast("double") - mean_d) / std_d).cast("decimal(18,4)")
+    z = (F.col("observed_value").cast("double") - mean_d) / std_d
+    widest = F.greatest(F.least(z, F.lit(9999.9999)), F.lit(-9999.9999))
+    z = F.when(z.isNotNull(), widest.cast("decimal(8,4)"))
     margin = F.col("rolling_std_30d") * WARNING_Z
     scored = stats.withColumns(
         {

@@ -1,8 +1,8 @@
 """Staging views: rename, cast, keep the latest version. No business rules.
 
-Ties are broken by the narrow columns, then by a hash of the wide ones. A caller that does
-not need the wide columns passes ``wide=False``; it still sees the same surviving
-values, and the scan never reads the wide columns.
+Tie-breaks list narrow columns before wide ones, the text of a ticket last and by its hash. A
+caller that does not need the wide columns passes ``wide=False``; it still sees the
+same surviving values, and the scan never reads the wide columns.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def stg_customers(raw: DataFrame, wide: bool = True) -> DataFrame:
     narrow = ["_run_date", "acquisition_channel", "country_code", "account_created_at"]
     detail = ["name", "email"] if wide else []
     needed = raw.select("customer_id", "_ingested_at", *narrow, *detail)
-    latest = latest_version(needed, ["customer_id"], tie_break=narrow, wide=detail)
+    latest = latest_version(needed, ["customer_id"], tie_break=narrow + detail)
     return latest.select(
         "customer_id",
         *detail,
@@ -67,7 +67,7 @@ def stg_events(raw: DataFrame, wide: bool = True) -> DataFrame:
     narrow = ["_run_date", "customer_id", "occurred_at", "session_id"]
     detail = ["event_type", "device_type", "page_url"] if wide else []
     needed = raw.select("event_id", "_ingested_at", *narrow, *detail)
-    latest = latest_version(needed, ["event_id"], tie_break=narrow, wide=detail)
+    latest = latest_version(needed, ["event_id"], tie_break=narrow + detail)
     columns = ["event_id", "session_id", "customer_id"]
     if wide:
         columns += ["event_type", "page_url", "device_type"]
@@ -83,7 +83,9 @@ def stg_tickets(raw: DataFrame, wide: bool = True) -> DataFrame:
     narrow = ["_run_date", "customer_id", "status", "priority", "created_at", "resolved_at"]
     detail = ["subject", "description"] if wide else []
     needed = raw.select("ticket_id", "_ingested_at", *narrow, *detail)
-    latest = latest_version(needed, ["ticket_id"], tie_break=narrow, wide=detail)
+    latest = latest_version(
+        needed, ["ticket_id"], tie_break=narrow + detail[:1], wide=detail[1:]
+    )
     hours = micros_between(F.col("created_at"), F.col("resolved_at")) / F.lit(
         MICROS_PER_HOUR
     ).cast("decimal(10,0)")
@@ -106,7 +108,7 @@ def stg_campaigns(raw: DataFrame, wide: bool = True) -> DataFrame:
     detail = ["platform", "campaign_name"] if wide else []
     keys = ["campaign_id", "campaign_date"]
     needed = raw.select(*keys, "_ingested_at", *narrow, *detail)
-    latest = latest_version(needed, keys, tie_break=narrow, wide=detail)
+    latest = latest_version(needed, keys, tie_break=narrow + detail)
     impressions = F.col("impressions").cast("int")
     clicks = F.col("clicks").cast("int")
     rate = clicks.cast("double") / F.nullif(impressions, F.lit(0)).cast("double")

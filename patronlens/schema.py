@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-
-
-
+# The declared columns and keys of all tables.
 AUDIT_DDL = "_ingested_at timestamp, _run_date date"
 
 RAW_DDL = {

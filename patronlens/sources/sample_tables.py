@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.sources.raw import RawTables
+from patronlens.sources.seeds import seed_rows
 
 RUN_DATE = date(2024, 1, 31)
 DAY_SHIFT = 8218  # days that bring the last order to RUN_DATE
@@ -21,7 +22,7 @@ LOADED_AT = datetime(2024, 1, 31, 2)
 LOADED_EARLIER = LOADED_AT - timedelta(days=1)
 LOADED_LATER = LOADED_AT + timedelta(hours=1)
 
-# Channel per market segment, and the codes of the country seed in order.
+# Channel per market segment.
 CHANNEL_BY_SEGMENT = {
     "AUTOMOBILE": "organic",
     "BUILDING": "paid_search",
@@ -29,7 +30,6 @@ CHANNEL_BY_SEGMENT = {
     "HOUSEHOLD": "referral",
     "MACHINERY": "direct",
 }
-COUNTRIES = "US CA BR MX GB DE FR ES IT NL SE PL IN CN JP SG AE ZA NG AU".split()
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,9 +63,8 @@ def _versions(df: DataFrame, extra: Column, other: datetime) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
     source = _table(spark, sf_dir, "customer")
     older = F.col("c_mktsegment") == "BUILDING"
-    country = F.element_at(
-        F.array(*[F.lit(c) for c in COUNTRIES]), F.pmod("c_nationkey", F.lit(20)) + 1
-    )
+    codes = [row[0] for row in seed_rows("country_codes")]  # one for each nation, in order
+    country = F.element_at(F.array(*[F.lit(c) for c in codes]), F.pmod("c_nationkey", F.lit(20)) + 1)
     age = (1 + F.pmod(F.col("c_custkey") * 7919, F.lit(1825))).cast("int")
     email = F.concat(F.lower("c_name"), F.lit("@example.com"))
     if faults:

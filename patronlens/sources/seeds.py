@@ -1,4 +1,4 @@
-"""Reference dimensions shipped as CSV. Their size is fixed, so they are broadcast.
+"""Reference dimensions shipped as CSV.
 
 The rows are fixed values: accepted order statuses, countries and channels.
 """
@@ -20,6 +20,12 @@ SEED_DDL = {
 }
 
 
+def seed_rows(name: str) -> list[tuple[str, ...]]:
+    """The rows of a packaged seed as texts."""
+    with open(SEED_DIR / f"{name}.csv", newline="") as lines:
+        return [tuple(row.values()) for row in csv.DictReader(lines)]
+
+
 def read_seed(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
     """A seed as a DataFrame.
 
@@ -30,8 +36,7 @@ def read_seed(spark: SparkSession, name: str, root: str | None = None) -> DataFr
     ddl = SEED_DDL[name]
     if root:
         return spark.read.schema(ddl).option("header", True).csv(f"{root}/{name}.csv")
-    with open(SEED_DIR / f"{name}.csv", newline="") as lines:
-        rows = [tuple(row.values()) for row in csv.DictReader(lines)]
+    rows = seed_rows(name)
     columns = [part.split() for part in ddl.split(", ")]
     text = spark.createDataFrame(rows, ", ".join(f"{column} string" for column, _ in columns))
     return text.select(*[F.col(column).cast(kind).alias(column) for column, kind in columns])
@@ -45,11 +50,11 @@ def with_seed_labels(
     unknown = F.lit("unknown")
     return (
         customers.join(
-            F.broadcast(channels),
+            channels,
             customers["acquisition_channel"] == channels["channel_code"],
             "left",
         )
-        .join(F.broadcast(countries), customers["country_code"] == countries["alpha_2"], "left")
+        .join(countries, customers["country_code"] == countries["alpha_2"], "left")
         .select(
             *[customers[c] for c in customers.columns],
             F.coalesce("label", unknown).alias("channel_label"),
@@ -67,6 +72,6 @@ def revenue_by_status(orders: DataFrame, statuses: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("order_count"),
             F.sum("total_amount_usd").cast("decimal(18,2)").alias("total_amount_usd"),
         )
-        .join(F.broadcast(statuses), F.col("order_status") == F.col("status_code"), "left")
+        .join(statuses, F.col("order_status") == F.col("status_code"), "left")
         .select("order_status", "is_revenue_positive", "order_count", "total_amount_usd")
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from multiprocessing.pool import ThreadPool
@@ -16,8 +15,8 @@ PARALLEL_ACTIONS = 4
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session, as in tests, may fall back to a folder of its own; on
-    a cluster a machine-local folder would be lost together with its executor.
+    Only a local session may fall back to a folder below its warehouse; on a cluster a
+    machine-local folder would be lost together with its executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -27,7 +26,8 @@ def scratch_root(spark: SparkSession) -> str:
         return context.getCheckpointDir()
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="patronlens-"))
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    context.setCheckpointDir(f"{warehouse}/_scratch-{uuid.uuid4().hex}")
     return context.getCheckpointDir()
 
 

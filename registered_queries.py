@@ -12,7 +12,17 @@ from pyspark.sql import types as T
 
 from patronlens.functions.dates import days_before
 from patronlens.functions.numbers import is_true, number_or, to_number
-from patronlens.models import churn, insights, ltv, metrics, registry, scoring, segmentation, topics
+from patronlens.models import (
+    churn,
+    insights,
+    ltv,
+    metrics,
+    outputs,
+    registry,
+    scoring,
+    segmentation,
+    topics,
+)
 from patronlens.models.features import average_order_value, category, load_features
 from patronlens.models.tiers import risk_tier
 from patronlens.operators import anomaly
@@ -758,3 +768,76 @@ def ml_scores(spark, sf_dir):
 @query
 def ticket_topics(spark, sf_dir):
     return topics.ticket_topics(layers(spark, sf_dir).stg_tickets)
+
+
+# What is exact about the trained models, compared with SQL.
+
+FEW_TREES = 5
+
+
+@query
+def segment_inactive(spark, sf_dir):
+    """Customers that segmentation leaves out."""
+    found = segmentation.train_and_score(features(spark, sf_dir), RUN_DATE, restarts=2).scores
+    return found.where(F.col("segment_label") == segmentation.INACTIVE).select("customer_id")
+
+
+@query
+def ltv_bounds(spark, sf_dir):
+    """Scores per channel, and how many are null or negative."""
+    chosen = features(spark, sf_dir)
+    scores = ltv.train_and_score(chosen, RUN_DATE, trees=FEW_TREES).scores
+    joined = chosen.select("customer_id", category(ltv.CHANNEL).alias("channel")).join(scores, "customer_id")
+    return joined.groupBy("channel").agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(F.col("ltv_score").isNull() | (F.col("ltv_score") < 0)).alias("out_of_bounds"),
+    )
+
+
+@query
+def churn_bounds(spark, sf_dir):
+    """Which customers are scored, and whether score and tier agree."""
+    scores = churn.train_and_score(features(spark, sf_dir), RUN_DATE, trees=FEW_TREES).scores
+    fits = F.col("churn_score").between(0, 1) & (
+        F.col("churn_risk_tier") == risk_tier(F.col("churn_score"))
+    )
+    return scores.select("customer_id", F.coalesce(fits, F.lit(False)).alias("is_consistent"))
+
+
+@query
+def ml_score_bounds(spark, sf_dir):
+    """One score row per customer; churn for the active ones, a segment for all."""
+    scores = scoring.score_customers(
+        features(spark, sf_dir), RUN_DATE, SCORED_AT, ltv_trees=FEW_TREES, churn_trees=FEW_TREES, restarts=2
+    )
+    return scores.select(
+        "customer_id",
+        F.col("churn_score").isNotNull().alias("has_churn"),
+        (F.col("segment_label") == segmentation.INACTIVE).alias("is_inactive"),
+        (F.col("ltv_score") >= 0).alias("has_value"),
+    )
+
+
+@query
+def topic_bounds(spark, sf_dir):
+    """Every ticket has a topic with a label and a confidence."""
+    found = topics.ticket_topics(layers(spark, sf_dir).stg_tickets)
+    fits = F.col("cluster_id").between(0, topics.TOPICS - 1) & F.col("cluster_confidence").between(0, 1)
+    return found.select(
+        "ticket_id", F.coalesce(fits & (F.col("cluster_label") != ""), F.lit(False)).alias("is_consistent")
+    )
+
+
+@query
+def daily_outputs(spark, sf_dir):
+    """Anomalies and insights of two run dates as stored, the second one twice; rows per date."""
+    store = TableStore(spark, scratch_path(spark, "outputs"))
+    anomalies = stage(_daily_anomalies(spark, sf_dir), "anomalies")
+    for run_date in (RUN_DATE - timedelta(days=1), RUN_DATE, RUN_DATE):
+        insight = daily_insight(spark, sf_dir).withColumn("run_date", F.lit(run_date))
+        outputs.store_outputs(store, anomalies.where(F.col("run_date") == F.lit(run_date)), insight)
+    parts = [
+        store.read_partitioned(name, ddl).groupBy("run_date").agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
+        for name, ddl in ((outputs.ANOMALY_TABLE, ddl_of(anomalies.schema)), (outputs.INSIGHT_TABLE, outputs.INSIGHT_DDL))
+    ]
+    return reduce(DataFrame.unionByName, parts)
