@@ -9,9 +9,10 @@ the end is exclusive.
 2. Each span gets a few features with small domains: kind, digits, separators, the characters
    and words around it. Counting sure and other spans per combination of features over all
    rows gives a table whose size is bounded by the product of the domains.
-3. Boosted trees are fitted to that table. For each kind the threshold is the lowest
-   probability above which a ``PRECISION`` share of the spans is sure, so a span is added
-   only where format and context say as much as a passed check.
+3. Boosted trees are fitted to the base matches of that table, sure or not. For each kind the
+   threshold is the lowest probability of at least ``PRECISION`` above which that share of
+   the matches is sure, so a span is added only where format and context say as much as
+   a passed check. Spans of the looser generators are scored by the same trees.
 
 Null and empty texts have no spans. Without spans nothing is fitted. Columns made here
 replace columns of the same name; all others stay.
@@ -41,8 +42,10 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Spans that the base patterns miss: spelt-out addresses, phone numbers without a plus sign.
+#: Spans that the base patterns miss: spelt-out addresses, phone numbers without a plus sign, and
+#: card numbers that touch other digits across a blank or hyphen.
 LOOSE = {
+    "card": r"(?<![0-9])[0-9]{13,19}(?![0-9])",
     "email": rf"(?<!{_LOCAL}){_LOCAL}++\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]++"
     r"(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)++",
     "phone": r"(?<![0-9A-Za-z+])\(?[0-9]{2,4}\)?[\x20./-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
@@ -55,6 +58,7 @@ _NEEDS = {
     ("base", "phone"): r"\+[0-9]",
     ("loose", "email"): r"(?:\(at\)|\[at\])",
     ("loose", "phone"): r"[0-9][\x20.-][0-9]{3}",
+    ("loose", "card"): "[0-9]{13}",
 }
 #: Words that announce a kind, in the languages of the corpus.
 _CUES = {
@@ -64,9 +68,9 @@ _CUES = {
     4: r"(?i)(phone|tel|fon|call|mobil|fax)",
     5: r"(?i)(version|order|token|isbn|\bid\b|nr\.)",
 }
-FEATURES = ("kind", "loose", "digits", "mark", "groups", "left", "right", "cue")
+FEATURES = ("kind", "digits", "mark", "groups", "left", "right", "cue")
 #: Upper bound of distinct feature combinations: the product of the domains.
-MAX_COMBINATIONS = 4 * 2 * 12 * 6 * 6 * 6 * 6 * 6
+MAX_COMBINATIONS = 4 * 12 * 6 * 6 * 6 * 6 * 6
 
 CANDIDATES = "_pii_candidates"
 
@@ -167,7 +171,6 @@ def _described(kind: str, loose: bool, c: Column) -> Column:
     groups = F.size(F.split(match, "[^0-9A-Za-z]+", -1))
     return F.struct(
         F.lit(KINDS.index(kind)).alias("kind"),
-        F.lit(int(loose)).alias("loose"),
         F.least(F.lit(11), F.greatest(F.lit(0), F.length(_digits(match)) - 8)).alias("digits"),
         mark.alias("mark"),
         F.least(F.lit(5), groups).alias("groups"),
@@ -176,6 +179,8 @@ def _described(kind: str, loose: bool, c: Column) -> Column:
         cue.alias("cue"),
         c["start"].alias("start"),
         c["end"].alias("end"),
+        _sure(kind, match).alias("passes"),
+        F.lit(loose).alias("loose"),
         (F.lit(False) if loose else _sure(kind, match)).alias("sure"),
     )
 
@@ -197,8 +202,12 @@ def with_candidates(df: DataFrame, text: str = "text") -> DataFrame:
         F.transform(f"_pii_at{i}", partial(_described, kind, loose))
         for i, (kind, loose, _) in enumerate(generators)
     ]
-    # A digit run too short for a card or an address is no proposal.
-    proposals = F.filter(F.concat(*described), lambda c: c["sure"] | (c["digits"] > 0) | (c["kind"] == 0))
+    # A digit run too short for a card or phone is no proposal, nor a loose one that fails.
+    def worth(c: Column) -> Column:
+        enough = (c["digits"] > 0) | (c["kind"] <= KINDS.index("ip"))
+        return c["sure"] | (enough & (~c["loose"] | c["passes"]))
+
+    proposals = F.filter(F.concat(*described), worth)
     return df.select(*kept, proposals.alias(CANDIDATES))
 
 
@@ -287,7 +296,7 @@ def fit_table(rows: np.ndarray, counts: np.ndarray, sure: np.ndarray) -> SpanMod
         tree = _grow(rows, sure - counts * chance, counts * chance * (1 - chance), DEPTH)
         odds = odds + tree.predict(rows)
         trees.append(tree)
-    thresholds = []
+    thresholds, likely = [], np.log(PRECISION / (1 - PRECISION))
     for kind in range(len(KINDS)):
         mine = rows[:, 0] == kind
         order = np.argsort(-odds[mine], kind="stable")
@@ -295,15 +304,15 @@ def fit_table(rows: np.ndarray, counts: np.ndarray, sure: np.ndarray) -> SpanMod
         values = odds[mine][order]
         share = np.cumsum(sure[mine][order]) / np.maximum(1, np.cumsum(counts[mine][order]))
         last = np.append(values[1:] < values[:-1] - 1e-9, True)[: len(values)]
-        fine = np.flatnonzero(last & (share >= PRECISION))
+        fine = np.flatnonzero(last & (share >= PRECISION) & (values >= likely))
         thresholds.append(float(values[fine[-1]] - 1e-9) if len(fine) else float("inf"))
     return SpanModel(start, tuple(trees), tuple(thresholds))
 
 
 def fit(proposed: DataFrame) -> SpanModel:
-    """Fit on the spans of all rows of ``with_candidates``; the driver gets one row per
+    """Fit on the base matches of all rows of ``with_candidates``; the driver gets one row per
     combination of features, at most ``MAX_COMBINATIONS``."""
-    spans = proposed.select(F.explode(CANDIDATES).alias("c")).select("c.*")
+    spans = proposed.select(F.explode(CANDIDATES).alias("c")).select("c.*").where("not loose")
     counted = spans.groupBy(*FEATURES).agg(
         F.count("*").alias("n"), F.sum(F.col("sure").cast("int")).alias("sure")
     )
