@@ -3,11 +3,14 @@
 Both sides are turned into templates: words in lower case without punctuation, with
 numbers, names (capitalised words inside a sentence) and units replaced by typed
 placeholders. Items are indexed by all windows of five template words. A document
-first contributes only every fifth window: a shared run of nine words holds one of
-them wherever it starts. Documents that hit an item are then compared window by
-window. Windows on one diagonal (same distance between document and item) count if
-their slots agree: each value of the item stands for one value of the document and
-the other way round. An item leaks if at least 0.8 of its windows are found so.
+first contributes only every fourth window: where 0.8 of an item's windows occur, four in
+a row do, so one of them is found wherever the item starts. Documents that hit an item are
+then compared window by window. Windows on one diagonal (same distance between document and
+item) count if their slots agree: each value of the item stands for one value of the
+document and the other way round. An item leaks if at least 0.8 of its windows are found so.
+
+Up to ``LISTED_WINDOWS`` item windows, the first look is a filter in the scan of the documents;
+beyond, the windows are joined. Both find the same documents.
 
 Items of five to eight words are looked up at every position instead, in documents'
 windows of their own length; items of one to four words match documents that have the
@@ -19,13 +22,18 @@ Everything is a DataFrame expression.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronlens.workspace import stage
 
 WINDOW = 5
+STRIDE = 4
 SIMILARITY = 0.8
+LISTED_WINDOWS = 50_000
 
 #: Units of measure and currency that a template leaves open.
 UNITS = (
@@ -113,19 +121,34 @@ def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
     return _windows_with_slots(items, size, "item_at", "item_values")
 
 
-def _hits(docs: DataFrame, items: DataFrame, short: list[int]) -> DataFrame:
-    """``doc_key, item_id`` of documents that share a window with an item."""
+def _first_windows(docs: DataFrame, size: int) -> DataFrame:
+    """``docs`` with ``first_windows``, the hashes to look up for items of ``size`` words: every
+    fourth window for long items (size 0), every window for short ones, and for items of
+    less than five words the whole document."""
     words = F.col("words")
-    hashes = _window_hashes(words, WINDOW, WINDOW)
-    found = docs.select("doc_key", F.lit(0).alias("short"), F.explode(hashes).alias("window"))
-    for size in short:
-        own = docs if size >= WINDOW else docs.where(F.size(words) == size)
-        every = F.explode(_window_hashes(words, size, 1)).alias("window")
-        found = found.union(own.select("doc_key", F.lit(size), every))
-    index = items.select(
-        "window", "item_id", F.when(F.col("windows") == 1, F.col("size")).otherwise(0).alias("short")
-    ).distinct()
-    return found.join(index, ["window", "short"]).select("doc_key", "item_id").distinct()
+    if not size:
+        found = _window_hashes(words, WINDOW, STRIDE)
+    elif size >= WINDOW:
+        found = _window_hashes(words, size, 1)
+    else:
+        whole = F.array(F.xxhash64(words))
+        found = F.when(F.size(words) == size, whole).otherwise(F.array().cast("array<bigint>"))
+    return docs.withColumn("first_windows", found)
+
+
+def _documents_with_a_hit(docs: DataFrame, index: DataFrame, size: int) -> DataFrame:
+    """The rows of ``docs(doc_key, text, words)`` with a window of ``index(window)``."""
+    looked = _first_windows(docs, size)
+    listed = index.select("window").distinct().limit(LISTED_WINDOWS + 1).collect()
+    if len(listed) <= LISTED_WINDOWS:
+        values = ", ".join(f"{r.window}L" for r in listed)
+        # A generator instead of a filter, which would be pushed below the template and
+        # evaluate it again for every window.
+        first = f"explode(slice(filter(first_windows, h -> h in ({values})), 1, 1)) as _hit"
+        return looked.selectExpr("*", first).drop("first_windows", "_hit")
+    keys = looked.select("doc_key", F.explode("first_windows").alias("window"))
+    keys = keys.join(index, "window", "left_semi").select("doc_key").distinct()
+    return looked.drop("first_windows").join(keys, "doc_key", "left_semi")
 
 
 def _consistent(pairs: str) -> Column:
@@ -151,17 +174,21 @@ def find_leaks(
     placeholder hides, ``changed_slots`` those that differ in the document.
     """
     items = stage(item_windows(benchmark, item_id, item_text), "benchmark-windows")
+    if items.isEmpty():
+        return _no_leaks(docs, items)
     lengths = items.where("windows = 1").select("size").distinct()
     short = sorted(r["size"] for r in lengths.collect())  # one to eight words
-    templates = with_template(docs.select("doc_key", text), text)
-    hits = stage(_hits(templates, items, short), "benchmark-hits")
-    sizes = items.select("item_id", "size", "windows").distinct()
-    chosen = docs.select("doc_key", text).join(hits.select("doc_key").distinct(), "doc_key", "left_semi")
-    chosen = chosen.dropDuplicates(["doc_key"]).withColumn("plain", plain_words(F.col(text)))
-    chosen = with_template(chosen, text)
-    wanted = hits.join(sizes, "item_id").select("doc_key", "size").distinct()
-    windows = _windows_with_slots(chosen.join(wanted, "doc_key"), F.col("size"), "doc_at", "doc_values")
-    matched = windows.join(items, ["window", "size"]).join(hits, ["doc_key", "item_id"], "left_semi")
+    has_long = not items.where(F.col("windows") > 1).isEmpty()
+    templates = with_template(docs.select("doc_key", text, F.col(text).alias("_text")), text)
+    parts = []
+    for size in [*([0] if has_long else []), *short]:
+        own = (F.col("size") == size) & (F.col("windows") == 1) if size else F.col("windows") > 1
+        index = items.where(own)
+        chosen = _documents_with_a_hit(templates, index, size).dropDuplicates(["doc_key"])
+        chosen = chosen.withColumn("plain", plain_words(F.col("_text"))).drop("_text")
+        windows = _windows_with_slots(chosen, size or WINDOW, "doc_at", "doc_values")
+        parts.append(windows.drop("size").join(index, "window"))
+    matched = reduce(DataFrame.unionByName, parts)
     zipped = F.arrays_zip(F.col("item_values").alias("theirs"), F.col("doc_values").alias("ours"))
     values = F.filter(zipped, lambda p: p["theirs"].isNotNull())
     diagonal = matched.groupBy(
@@ -185,6 +212,12 @@ def find_leaks(
     )
 
 
+def _no_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    fields = [docs.schema["doc_key"], items.schema["item_id"]]
+    made = T.StructType.fromDDL("similarity double, slots int, changed_slots int")
+    return docs.sparkSession.createDataFrame([], T.StructType([*fields, *made.fields]))
+
+
 def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Equal for rows with the same id and text; never null."""
     content = F.hex(F.xxhash64(F.coalesce(F.col(text), F.lit(""))))

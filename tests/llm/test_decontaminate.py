@@ -79,7 +79,9 @@ def test_changed_parameters(spark):
             assert got[i, 0].similarity == pytest.approx(similarity)
 
 
-def test_short_items(spark):
+@pytest.mark.parametrize("listed", [0, 50_000])
+def test_short_items(spark, listed, monkeypatch):
+    monkeypatch.setattr(d, "LISTED_WINDOWS", listed)
     items = ["one two three", "a b c d e f", "1 2 3 4 5 6 7 8", "x", None, ""]
     docs = ["one two three", "zero one two three four", "q a b c d e f q", "q q q a b c d e", "9 8 7 6 5 4 3 2", "x", "1"]
     got = leaks(spark, docs, items)
@@ -87,11 +89,21 @@ def test_short_items(spark):
     assert set(got) == want and (0, 0) in want and (2, 1) in want and (1, 0) not in want
 
 
-@pytest.mark.parametrize("shift", range(9))
-def test_every_alignment(spark, shift):
-    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
-    got = leaks(spark, ["pad " * shift + item + " tail", "pad " * shift + item[6:]], [item])
-    assert (0, 0) in got
+@pytest.mark.parametrize("listed", [0, 50_000])
+def test_every_alignment(spark, listed, monkeypatch):
+    """Items of nine to thirty words, cut at both ends as far as the similarity allows."""
+    monkeypatch.setattr(d, "LISTED_WINDOWS", listed)
+    items = [" ".join(f"w{n}x{i}y" for i in range(n)) for n in (9, 10, 14, 30)]
+    items = [re.sub(r"\d", lambda m: "abcdefghij"[int(m[0])], item) for item in items]
+    docs = []
+    for item in items:
+        words = item.split()
+        for shift in range(9):
+            for low, high in ((0, 0), (1, 0), (0, 1), (1, 1), (2, 3), (3, 2), (0, 5)):
+                docs.append("pad " * shift + " ".join(words[low : len(words) - high]) + " tail of it")
+    got = leaks(spark, docs, items)
+    want = {(i, j) for i, doc in enumerate(docs) for j, item in enumerate(items) if plain_leaks(doc, item) >= 0.8}
+    assert set(got) == want and len(want) > 100
 
 
 def test_whole_table(spark):
