@@ -62,7 +62,8 @@ def word_features(batch: TextBatch) -> tuple[np.ndarray, list[np.ndarray]]:
     repeats[begins[begins < len(starts)]] = 0
     head = shape.of(starts, np.minimum(starts + 2, ends))
     tail = shape.of(np.maximum(ends - 3, starts), ends)
-    kinds = [words, tail, head + length, head * np.uint64(3) + tail, repeats * np.uint64(5) + np.uint64(1)]
+    both = head * np.uint64(3) + tail
+    kinds = [words, tail, head + length, both, repeats * np.uint64(5) + np.uint64(1)]
     return tokens.first, [_buckets(k, i) for i, k in enumerate(kinds)]
 
 
@@ -199,8 +200,9 @@ def score(
     probability: float = KEEP_PROBABILITY,
     keep_text: bool = False,
 ) -> DataFrame:
-    """Replace the text (unless ``keep_text``) by ``expected_grade``, ``tail_probability`` (of ``keep_from`` or better, by default the
-    best grade) and ``keep`` (the tail probability reaches ``probability``)."""
+    """Replace the text (unless ``keep_text``) by ``expected_grade``, ``tail_probability`` (of
+    ``keep_from`` or better, by default the best grade) and ``keep`` (the tail probability
+    reaches ``probability``)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     made = ("expected_grade", "tail_probability", "keep")
     gone = {*made} if keep_text else {*made, text.lower()}
@@ -212,29 +214,32 @@ def score(
         for batch in batches:
             for part in pieces(batch, text):
                 kept = [i for i, name in enumerate(part.schema.names) if name.lower() not in gone]
-                columns = _scored(fitted, text_batch(part.column(part.schema.names.index(text))), least)
-                keep = pa.array(columns[1] >= probability, pa.bool_())
+                texts = text_batch(part.column(part.schema.names.index(text)))
+                grades, tails = _scored(fitted, texts, least)
+                columns = [pa.array(grades, pa.float64()), pa.array(tails, pa.float64())]
+                keep = tails >= probability
+                if not fitted.grades:
+                    columns = [pa.nulls(part.num_rows, pa.float64())] * 2
+                    keep = np.ones(part.num_rows, bool)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in kept), *(pa.array(c, pa.float64()) for c in columns), keep]
-                    if fitted.grades
-                    else [
-                        *(part.column(i) for i in kept),
-                        pa.nulls(part.num_rows, pa.float64()),
-                        pa.nulls(part.num_rows, pa.float64()),
-                        pa.array(np.ones(part.num_rows, bool)),
-                    ],
+                    [*(part.column(i) for i in kept), *columns, pa.array(keep, pa.bool_())],
                     names=[*(part.schema.names[i] for i in kept), *made],
                 )
 
-    fields = [T.StructField(made[0], T.DoubleType()), T.StructField(made[1], T.DoubleType())]
-    return df.mapInArrow(run, T.StructType([*out.schema.fields, *fields, T.StructField(made[2], T.BooleanType())]))
+    fields = [
+        T.StructField("expected_grade", T.DoubleType()),
+        T.StructField("tail_probability", T.DoubleType()),
+        T.StructField("keep", T.BooleanType()),
+    ]
+    return df.mapInArrow(run, T.StructType([*out.schema.fields, *fields]))
 
 
 def _scored(model: OrdinalModel, batch: TextBatch, least: float | None) -> tuple[np.ndarray, np.ndarray]:
     """Expected grade and tail probability; the tail of the lowest grade is 1."""
     if len(model.grades) < 2:
         level = model.grades[0] if model.grades else np.nan
-        return np.full(len(batch), level), np.full(len(batch), float(not model.grades or level >= least))
+        tail = float(not model.grades or level >= least)
+        return np.full(len(batch), level), np.full(len(batch), tail)
     scores = mean_scores(batch, model.weights)
     at = int(np.searchsorted(model.grades, least))
     tails = model.tails(scores)

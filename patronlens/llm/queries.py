@@ -113,7 +113,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_pii, op3_nearest, op4_sharding, op5_simhash, op6_decontamination, op7_toxicity, op8_html_text, op9_suffix_dedup, op10_quality)}
+    every = (
+        op1_byte_bpe,
+        op2_pii,
+        op3_nearest,
+        op4_sharding,
+        op5_simhash,
+        op6_decontamination,
+        op7_toxicity,
+        op8_html_text,
+        op9_suffix_dedup,
+        op10_quality,
+    )
+    return {f.__name__: f for f in every}
 
 
 OP3_SQL = """

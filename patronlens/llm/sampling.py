@@ -18,9 +18,10 @@ def labelled_sample(
     """``doc_id, text, label`` of at most ``rows_per_label`` rows of each label.
 
     Rows are taken in the order of a hash of their id, from texts of at most ``max_bytes``
-    bytes, so the sample fits into memory whatever the tables hold; labels are a few classes. Only the fit uses
-    it; scores are computed for all rows. Null labels, ids and texts are left out. Twice as
-    many ids are drawn first, since some of them belong to longer or missing texts.
+    bytes, so the sample fits into memory whatever the tables hold; labels are a few
+    classes. Only the fit uses it; scores are computed for all rows. Null labels, ids and
+    texts are left out. Twice as many ids are drawn first, since some of them belong to
+    longer or missing texts.
     """
     order = F.xxhash64(F.lit(17), F.col(doc_id))
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())

@@ -78,7 +78,8 @@ def external_shuffle(
     first = _first_positions(narrow.select(at).groupBy("bucket").agg(F.count("*").alias("n")))
     placed = df.withColumn("bucket", at).join(first, "bucket")
 
-    schema = T.StructType([*df.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
+    made = [T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())]
+    schema = T.StructType([*df.schema.fields, *made])
 
     def shuffled(key, bucket):
         number, start = key[0].as_py(), bucket.column("first")[0].as_py()

@@ -201,7 +201,8 @@ def nearest(
     keys = ("dim", "shard", "block")
 
     def search(left, right):
-        empty = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]).empty_table()
+        fields = [("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]
+        empty = pa.schema(fields).empty_table()
         if not left.num_rows or not right.num_rows:
             return empty
         return pa.concat_tables([empty, *_nearest_in_shard(left, right, k, relaxation)])
