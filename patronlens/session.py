@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 PIPELINE_CONF = {
@@ -26,3 +30,21 @@ def create_session(
     for key, value in {**PIPELINE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_shipped_to: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers of the session, once, so that functions
+    of the package run there whatever folder or host a worker starts in."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped_to:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="patronlens-modules-")) / "patronlens_modules.zip"
+    with zipfile.ZipFile(archive, "w") as modules:
+        for module in sorted(root.rglob("*.py")):
+            modules.write(module, module.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped_to.add(context.applicationId)
