@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.llm import bpe, decontaminate, pii, quality, simhash
+from patronlens.session import ship_package
 from patronlens.workspace import stage
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -22,6 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose probability of the best grade is below one half."""
+    ship_package(spark)
     model = quality.fit(docs, _table(spark, sf_dir, "labels"))
     scored = quality.score(docs, model, keep_text=True).where("keep")
     return scored.select(docs.columns)
@@ -30,6 +32,7 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate class: the one with the smallest id, an id
     before none; of rows with the same id, any one."""
+    ship_package(spark)
     numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("_order")
     kept = simhash.representatives(numbered.select(order, "text"), doc_id="_order")
@@ -59,6 +62,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add token ids, their number, and whether they decode to the text again."""
+    ship_package(spark)
     path = public_tokenizers.path(VOCABULARY)
     return bpe.encode_checked(docs, path, public_tokenizers.PATTERN)
 
