@@ -42,7 +42,7 @@ from patronlens.llm.textbytes import (
     pieces,
     text_batch,
 )
-from patronlens.workspace import stage
+from patronlens.workspace import delete_path, stage, stage_at
 
 MIN_WORDS = 50
 SEED_WORDS = 20
@@ -110,11 +110,13 @@ def _suffix_table(texts: DataFrame, min_words: int, seed_words: int) -> DataFram
     return texts.select("text_id", "text").mapInArrow(run, "value long, text_id long, place int")
 
 
-def shared_by_texts(rows: DataFrame, partition_rows: int = PARTITION_ROWS) -> DataFrame:
+def shared_by_texts(
+    rows: DataFrame, partition_rows: int = PARTITION_ROWS
+) -> tuple[DataFrame, str]:
     """The rows of ``rows(value, text_id, place, ...)`` whose value occurs in two texts or more.
 
     ``rows`` must be cheap to read several times (staged). Neighbours are compared in the
-    order of value, text and place.
+    order of value, text and place. Returns the path of the compared rows as well.
     """
     spark = rows.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -138,7 +140,7 @@ def shared_by_texts(rows: DataFrame, partition_rows: int = PARTITION_ROWS) -> Da
         table = table.append_column("shared", pa.array(shared)).filter(pa.array(shared | outer))
         yield from table.to_batches(max_chunksize=1 << 16)
 
-    found = stage(ordered.mapInArrow(compare, marked), "suffix-neighbours")
+    found, path = stage_at(ordered.mapInArrow(compare, marked), "suffix-neighbours")
     open_ends = found.where("not shared").groupBy("value").agg(
         F.min("text_id").alias("low"), F.max("text_id").alias("high")
     )
@@ -147,7 +149,7 @@ def shared_by_texts(rows: DataFrame, partition_rows: int = PARTITION_ROWS) -> Da
     # A run that is shared in one partition makes its rows in others shared as well.
     ours = found.where("shared").select("value").distinct()
     more = found.where("not shared").join(across, "value", "left_anti").join(ours, "value", "left_semi")
-    return found.where("shared").union(also).union(more).drop("shared")
+    return found.where("shared").union(also).union(more).drop("shared"), path
 
 
 def _run_table(texts: DataFrame, seeds: DataFrame, min_words: int, seed_words: int) -> DataFrame:
@@ -240,12 +242,19 @@ def repeated_passages(
         "copied", (F.col("low") != F.col("high")) | ((F.col("nulls") == 1) & F.col("low").isNotNull())
     ).select("k1", "k2", "text", F.coalesce("copied", F.lit(False)).alias("copied"))
     texts = stage(once.withColumn("text_id", F.monotonically_increasing_id()), "suffix-texts")
-    suffixes = stage(_suffix_table(texts, min_words, seed_words), "suffixes")
-    seeds = shared_by_texts(suffixes).select("text_id", "place")
-    runs = stage(_run_table(texts, seeds, min_words, seed_words), "suffix-runs")
-    found = _passages(shared_by_texts(runs), min_words)
+    suffixes, suffix_path = stage_at(_suffix_table(texts, min_words, seed_words), "suffixes")
+    seeds, seed_path = shared_by_texts(suffixes)
+    seeds = seeds.select("text_id", "place")
+    runs, run_path = stage_at(_run_table(texts, seeds, min_words, seed_words), "suffix-runs")
+    # All that reads these tables has been written; the disk is needed for the next sort.
+    for path in (suffix_path, seed_path):
+        delete_path(df.sparkSession, path)
+    repeated, _ = shared_by_texts(runs)
+    delete_path(df.sparkSession, run_path)
+    found = _passages(repeated, min_words)
     trimmed = F.regexp_extract("text", r"^[ \t-\r]*+", 0)
-    whole = texts.where("copied").withColumn("words", _words(F.col("text"))).where(F.col("words") >= min_words)
+    copied = texts.where("copied").withColumn("words", _words(F.col("text")))
+    whole = copied.where(F.col("words") >= min_words)
     whole = whole.select(
         "text_id",
         F.length(trimmed).alias("start"),
