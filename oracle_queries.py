@@ -60,6 +60,24 @@ select customer_id, score_date, model_run_id, ltv_score, churn_score, churn_risk
  coalesce(anomaly_flag, false) anomaly_flag, anomaly_detail, scored_at, {RUN} _run_date from {source} where score_date = {RUN}"""
 
 
+def _checksum_sql(table: str, keys: tuple[str, ...]) -> str:
+    """Row count and order-free checksum of each column of the newest versions of a raw table."""
+    where = " where customer_id is not null" if table == "orders" else ""
+    columns = [c.split()[0] for c in RAW_DDL[table].split(", ")]
+    sums = ", ".join(
+        f"struct_pack(c := '{c}', s := sum(cast('0x' || substr(md5(coalesce(cast({c} as varchar), '')), 1, 8) as bigint)))"
+        for c in columns
+    )
+    newest = (
+        f"select * from raw_{table}{where} qualify row_number() over "
+        f"(partition by {', '.join(keys)} order by _ingested_at desc) = 1"
+    )
+    return (
+        f"select '{table}' table_name, u.c column_name, n row_count, cast(u.s as decimal(38,0)) checksum "
+        f"from (select n, unnest(l) u from (select count(*) n, [{sums}] l from ({newest})))"
+    )
+
+
 def _rejects_sql() -> str:
     """Rows of the faulty raw tables that break a declared not-null or range rule, or a shared email."""
     optional = {"tickets": {"resolved_at"}}
@@ -257,17 +275,7 @@ def _statements() -> dict[str, str]:
             ("mart_customer_360", "customer_360"),
         ]
     )
-    load = " union all ".join(
-        f"select '{t}' table_name, cast(count(distinct {k}) as bigint) row_count from raw_{t}{w}"
-        for t, k, w in (
-            ("customers", "customer_id", ""),
-            ("orders", "order_id", " where customer_id is not null"),
-            ("order_items", "order_item_id", ""),
-            ("events", "event_id", ""),
-            ("campaigns", "(campaign_id, campaign_date)", ""),
-            ("tickets", "ticket_id", ""),
-        )
-    )
+    load = " union all ".join(_checksum_sql(t, keys) for t, keys in RAW_KEYS.items())
     negatives = " union all ".join(
         f"select '{m}' model_name, '{c}' column_name, {k} record_key, cast({c} as decimal(18,2)) offending_value from {t} where {c} < 0"
         for m, t, c, k in (

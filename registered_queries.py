@@ -243,16 +243,28 @@ def incremental_replace_partition(spark, sf_dir):
 
 @query
 def load_summary(spark, sf_dir):
-    """All raw tables loaded twice as a whole; rows per published table."""
+    """All raw tables loaded twice as a whole; rows and a checksum per published column."""
     raw = raw_tables(spark, sf_dir)
     store = TableStore(spark, scratch_path(spark, "load"))
     load_all(store, raw, RUN_DATE)
     load_all(store, raw, RUN_DATE)
-    counts = [
-        store.read(name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for name, _ in raw.items()
+    return reduce(DataFrame.unionByName, [checksums(name, store.read(name)) for name, _ in raw.items()])
+
+
+def checksums(table: str, df: DataFrame) -> DataFrame:
+    """``table_name, column_name, row_count, checksum``: the sum of a hash of each value, which
+    does not depend on the order of the rows."""
+
+    def hashed(column: str):
+        digest = F.md5(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
+        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("decimal(20,0)")
+
+    sums = [
+        F.struct(F.lit(c).alias("column_name"), F.sum(hashed(c)).cast("decimal(38,0)").alias("checksum"))
+        for c in df.columns
     ]
-    return reduce(DataFrame.unionByName, counts)
+    found = df.agg(F.count(F.lit(1)).alias("row_count"), F.array(*sums).alias("sums"))
+    return found.select(F.lit(table).alias("table_name"), F.inline("sums"), "row_count")
 
 
 @query
