@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 BATCH_ROWS = 256
 
 Encoded = tuple[str, bytes]
