@@ -140,9 +140,12 @@ def _named_prints(marked: DataFrame, doc_id: str, distance: int) -> DataFrame:
     )
     renamed = linked.join(names, "component").select(F.col("node").alias("fingerprint"), "linked_id")
     # Only fingerprints with a link are in ``renamed``; the rest name themselves.
-    return prints.join(renamed, "fingerprint", "left").select(
+    named = prints.join(renamed, "fingerprint", "left").select(
         "fingerprint", F.coalesce("linked_id", "component_id").alias("component_id")
     )
+    # Written, so that the join with all documents starts from plain shuffles, of which
+    # adaptive execution can split a fingerprint that very many documents share.
+    return stage(named, "simhash-components")
 
 
 def near_duplicate_classes(
