@@ -177,9 +177,12 @@ def lines(page: str) -> list[Line]:
     return out
 
 
-def surge_and_dive(weights: list[int], share: float = SURGE_SHARE, window: int = WINDOW) -> tuple[int, int]:
+def surge_and_dive(
+    weights: list[int], share: float = SURGE_SHARE, window: int = WINDOW, joined: bool = False
+) -> tuple[int, int]:
     """First and last line (exclusive) of the heaviest stretch whose window sums stay above
-    ``share`` of the highest; (0, 0) if there is no weight at all."""
+    ``share`` of the highest; (0, 0) if there is no weight at all. ``joined`` asks for all
+    from the first such stretch to the last."""
     n = len(weights)
     total = [0]
     for w in weights:
@@ -187,12 +190,14 @@ def surge_and_dive(weights: list[int], share: float = SURGE_SHARE, window: int =
     sums = [total[min(n, i + window)] - total[i] for i in range(n)]
     least = share * max(sums, default=0)
     best, start = (0, 0, 0), None
+    first: int | None = None
     for i in range(n + 1):
         above = i < n and sums[i] > least
         if above and start is None:
             start = i
         if not above and start is not None:
-            low, high = start, min(n, i + window - 1)
+            first = start if first is None else first
+            low, high = first if joined else start, min(n, i + window - 1)
             while low < high and not weights[low]:
                 low += 1
             while high > low and not weights[high - 1]:
@@ -205,13 +210,13 @@ def surge_and_dive(weights: list[int], share: float = SURGE_SHARE, window: int =
 def main_text(page: str | None) -> str:
     """Main text of one page, empty if it has none."""
     found = [line for line in lines(page or "") if not line.boilerplate]
-    if any(line.article for line in found):
-        # The declared article is the surge and the dive; links inside it are text.
-        low = next(i for i, line in enumerate(found) if line.article)
-        high = len(found) - next(i for i, line in enumerate(reversed(found)) if line.article)
-        return "\n".join(line.text for line in found[low:high] if line.article)
-    low, high = surge_and_dive([line.weight for line in found])
-    return "\n".join(line.text for line in found[low:high])
+    declared = any(line.article for line in found)
+    if declared:
+        # Only lines of the declared article have weight; links inside it are text.
+        low, high = surge_and_dive([len(line.text) if line.article else 0 for line in found], share=0, joined=True)
+    else:
+        low, high = surge_and_dive([line.weight for line in found])
+    return "\n".join(line.text for line in found[low:high] if line.article or not declared)
 
 
 def extract(df: DataFrame, page: str = "html") -> DataFrame:

@@ -101,3 +101,23 @@ def test_frames(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted(r.n_chars for r in got.collect()) == [0, 1, 1, 399_999]
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("page", "weights", "want"),
+    [
+        ("<p>head</p><article><h1>T</h1><p>a <a href=1>b</a></p></article><p>" + LONG, [0, 1, 3, 0], "T\na b"),
+        ("<article>a</article>" + "<p>x</p>" * 4 + "<article>bcd</article>", [1, 0, 0, 0, 0, 3], "a\nbcd"),
+        ("<p>one</p>", [3], "one"),
+    ],
+)
+def test_every_page_goes_through_the_windows(page, weights, want, monkeypatch):
+    seen = []
+
+    def spy(found, *args, **kwargs):
+        seen.append([min(w, 3) for w in found])
+        return surge_and_dive(found, *args, **kwargs)
+
+    monkeypatch.setattr(html_text, "surge_and_dive", spy)
+    assert main_text(page) == want
+    assert seen == [weights]
