@@ -4,9 +4,10 @@ Markup is stripped so that every block of a page becomes a line. Lines have a we
 length of their text outside links. Boilerplate (menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts) weighs nothing, and where a page declares its article
 only lines inside it have weight. Weights are summed over windows of lines; the main text
-reaches from the surge, where the sums rise above a threshold, to the dive, where they
-fall below it. The threshold is a fixed share of the page's highest sum, so short articles
-are found as well as long ones, and zero where the article is declared.
+reaches from the first surge, where the sums rise above a threshold, to the last dive, where
+they fall below it. The threshold is a fixed share of a window of the page's usual lines, so
+short articles are found as well as long ones and one huge paragraph does not hide the
+others; it is zero where the article is declared.
 
 Text is whole: character references are decoded, white space within a block becomes one
 blank, blocks are joined by a line feed, nothing else is cut. Null and empty pages give
@@ -29,6 +30,7 @@ from patronlens.llm.textbytes import pieces
 
 WINDOW = 3
 SURGE_SHARE = 0.2
+FULL_LINE = 100
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -177,18 +179,31 @@ def lines(page: str) -> list[Line]:
     return out
 
 
+def _usual(weights: list[int]) -> int:
+    """Median of the weights above zero, where a line counts by its weight up to ``FULL_LINE``:
+    neither one huge line nor many tiny ones move it."""
+    ordered = sorted(w for w in weights if w)
+    half, at = sum(min(w, FULL_LINE) for w in ordered) / 2, 0
+    for w in ordered:
+        at += min(w, FULL_LINE)
+        if at >= half:
+            return w
+    return 0
+
+
 def surge_and_dive(
     weights: list[int], share: float = SURGE_SHARE, window: int = WINDOW, joined: bool = False
 ) -> tuple[int, int]:
     """First and last line (exclusive) of the heaviest stretch whose window sums stay above
-    ``share`` of the highest; (0, 0) if there is no weight at all. ``joined`` asks for all
-    from the first such stretch to the last."""
+    ``share`` of the highest; (0, 0) if there is no weight at all. ``joined`` asks for all from
+    the first stretch to the last, above ``share`` of a window of usual lines."""
     n = len(weights)
     total = [0]
     for w in weights:
         total.append(total[-1] + w)
     sums = [total[min(n, i + window)] - total[i] for i in range(n)]
-    least = share * max(sums, default=0)
+    highest = max(sums, default=0)
+    least = share * (min(highest, window * _usual(weights)) if joined else highest)
     best, start = (0, 0, 0), None
     first: int | None = None
     for i in range(n + 1):
@@ -213,9 +228,10 @@ def main_text(page: str | None) -> str:
     declared = any(line.article for line in found)
     if declared:
         # Only lines of the declared article have weight; links inside it are text.
-        low, high = surge_and_dive([len(line.text) if line.article else 0 for line in found], share=0, joined=True)
+        weights = [len(line.text) if line.article else 0 for line in found]
     else:
-        low, high = surge_and_dive([line.weight for line in found])
+        weights = [line.weight for line in found]
+    low, high = surge_and_dive(weights, 0 if declared else SURGE_SHARE, joined=True)
     return "\n".join(line.text for line in found[low:high] if line.article or not declared)
 
 

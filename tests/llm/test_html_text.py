@@ -121,3 +121,40 @@ def test_every_page_goes_through_the_windows(page, weights, want, monkeypatch):
     monkeypatch.setattr(html_text, "surge_and_dive", spy)
     assert main_text(page) == want
     assert seen == [weights]
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        [300] * 20 + [5000] + [300] * 20,
+        [400] * 10 + [60] * 6 + [400] * 8,
+        [300] * 3 + [5000],
+        [30] * 20 + [5000] + [30] * 20,
+        [100] * 5 + [50_000] + [40] * 10,
+        [300] * 5 + [20] * 40 + [300] * 5,
+        [3],
+    ],
+)
+def test_whole_article_without_a_declaration(sizes):
+    """One huge paragraph, or a list of short items in the middle, loses no other line."""
+    want = ["x" * (n - 1) + "." for n in sizes]
+    menu = "<div><a href=1>Home</a></div>" * 5
+    page = menu + "".join(f"<p>{line}</p>" for line in want) + menu
+    assert main_text(page).split("\n") == want
+
+
+def test_many_tiny_lines_are_no_article():
+    page = "<p>Today</p>" * 30 + f"<p>{LONG}</p>" * 10
+    assert main_text(page).split("\n")[2:] == [LONG.strip()] * 10
+
+
+def test_whole_table_without_declarations(spark):
+    """The line weights alone find the documents, up to a few short lines at their ends."""
+    lost = lines = 0
+    for page in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        declared = main_text(page.html).split("\n")
+        bare = main_text(page.html.replace("<article>", "<div>").replace("</article>", "</div>")).split("\n")
+        assert set(bare) <= set(declared)
+        lines += len(declared)
+        lost += len(set(declared) - set(bare))
+    assert lost < 0.01 * lines
