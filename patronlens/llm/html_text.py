@@ -12,7 +12,9 @@ others; it is zero where the article is declared.
 Text is whole: character references are decoded, white space within a block becomes one
 blank, blocks are joined by a line feed, nothing else is cut. Null and empty pages give
 an empty text. Malformed markup never fails: an element that is not closed ends with the
-page, except that boilerplate without an end stops at the next article, heading or paragraph.
+page, except that boilerplate without an end stops at the next article, heading or paragraph,
+a head at the first tag or text of the body, and of buttons, lists of options, embedded and
+replaced elements without an end only the tag goes.
 """
 
 from __future__ import annotations
@@ -32,9 +34,34 @@ WINDOW = 3
 SURGE_SHARE = 0.2
 FULL_LINE = 100
 
+#: Elements that hold no text of the page, but do not run to its end when they are not closed.
+_UNSEEN = "noscript|template|svg|iframe|select|button|object"
+#: The first of these ends a head that is not closed before.
+_BODY = (
+    "body|address|article|aside|blockquote|center|dd|details|dialog|dir|div|dl|dt|fieldset|figure|footer|form|h[1-6]|"
+    "header|hr|li|main|menu|nav|ol|p|pre|section|table|ul"
+)
+
+
+#: Comments, scripts and closed elements in a head.
+_METADATA = "|".join(
+    [
+        r"<!--.*?(?:-->|\Z)",
+        *(rf"<{name}\b[^>]*>.*?(?:</{name}\s*>|\Z)" for name in ("script", "style")),
+        *(rf"<{n}\b[^>]*+>[^<]*+(?:<(?!/?{n}\b)[^<]*+)*+</{n}\s*>" for n in ("title", "noscript", "template")),
+    ]
+)
+#: A head up to its closing tag, or where that is absent or behind the start of the body, as far as
+#: there is metadata only.
+_HEAD = (
+    rf"<head\b[^>]*>(?:(?:{_METADATA}|[^<]++|<(?!/?(?:head|body)\b|(?:{_BODY})\b))*+</head\s*>"
+    rf"|(?:{_METADATA}|\s++|<[!?][^>]*>|</?(?:meta|link|base|title|noscript|template)\b[^>]*>)*+)"
+)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|noscript|template|svg|iframe|head|select|button|object)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|textarea)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|{_HEAD}"
+    rf"|<(?P<unseen>{_UNSEEN})\b(?P<inside>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^>]*+)>"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
@@ -46,6 +73,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small "
     "span strike strong sub sup time tt u var wbr nobr".split()
 )
+UNSEEN = frozenset(_UNSEEN.split("|"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog fieldset".split())
 ARTICLE = frozenset("article main".split())
@@ -117,6 +145,21 @@ def _ends(tokens: list[tuple[str, bool, str]]) -> dict[int, int]:
     return ends
 
 
+def _seen(tokens: list[tuple[str, bool, str]], gaps: list[str]) -> tuple[list[tuple[str, bool, str]], list[str]]:
+    """Tokens, and the text before each, with every closed unseen element as one token without a
+    name; of unclosed ones only the tag becomes so."""
+    if not any(name in UNSEEN for name, _, _ in tokens):
+        return tokens, gaps
+    ends = _ends([t if t[0] in UNSEEN else ("", True, "") for t in tokens])
+    kept, before, i = [], [], 0
+    while i < len(tokens):
+        before.append(gaps[i])
+        unseen = tokens[i][0] in UNSEEN and not tokens[i][1]
+        kept.append(("", False, "") if unseen else tokens[i])
+        i = ends.get(i, i) + 1
+    return kept, [*before, gaps[i]]
+
+
 def lines(page: str) -> list[Line]:
     """The blocks of a page in order, boilerplate and empty ones included as such."""
     tokens: list[tuple[str, bool, str]] = []
@@ -124,9 +167,12 @@ def lines(page: str) -> list[Line]:
     for found in _TOKEN.finditer(page):
         gaps.append(page[at : found.start()])
         at = found.end()
-        name = (found["name"] or "").lower()
+        name = (found["name"] or found["unseen"] or "").lower()
+        if name in ("svg", "iframe") and (found["inside"] or "").endswith("/"):
+            name = ""
         tokens.append((name, found["close"] == "/", found["rest"] or ""))
     gaps.append(page[at:])
+    tokens, gaps = _seen(tokens, gaps)
     ends = _ends(tokens)
     articles = [i for i, (name, closes, rest) in enumerate(tokens) if not closes and _is_article(name, rest)]
     out: list[Line] = []

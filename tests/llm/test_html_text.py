@@ -158,3 +158,32 @@ def test_whole_table_without_declarations(spark):
         lines += len(declared)
         lost += len(set(declared) - set(bare))
     assert lost < 0.01 * lines
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<head><title>no</title><body><article>x</article>", "x"),
+        ("<html><head><meta charset=a><title>no</title><link href='b'><article><p>x</p></article>", "x"),
+        ("<head><title>no</title><h1>x</h1><p>y", "x\ny"),
+        ("<head><title>no</title><script>'</head><body><p>'</script><style>p</style><!-- <p> --><p>x", "x"),
+        ("<head><title>no</title><p>x</p></head><body><p>y</p>", "x\ny"),
+        ("<head><title>no <p> no</title></head>x", "x"),
+        ("<head><meta content=\"it\"s\"><meta content='a'>no</head><body><p>x's</p>", "x's"),
+        ("<head><title>no</title>", ""),
+        ("<header><p>no</p></header><p>x</p>", "x"),
+        ("<p>a<svg viewBox='0 0'/>b</p><p>c</p>", "ab\nc"),
+        ("<p>a</p><iframe src=x /><p>b</p>", "a\nb"),
+        ("<p>a<svg><svg><title>no</title></svg>no</svg>b</p>", "ab"),
+        *((f"<p>a</p><{name}><p>b</p><p>c</p>", "a\nb\nc") for name in
+          ("button", "select", "object", "noscript", "template", "svg", "iframe")),
+        *((f"<p>a<{name} x='1>2'>no <p>no</{name}>b</p>", "ab") for name in
+          ("button", "select", "object", "noscript", "template", "svg", "iframe")),
+        ("<p>a</p><button>b<p>c</p><button>no</button><p>d</p>", "a\nb\nc\nd"),
+        ("<div class=menu><noscript><div>no</noscript>no</div><p>x</p>", "x"),
+        ("<p>a</p><noscript><article>no</article></noscript><p>b</p>", "a\nb"),
+        *((f"<p>a</p><{name}><p>no</p>", "a") for name in ("script", "style", "textarea")),
+    ],
+)
+def test_elements_without_an_end(page, want):
+    assert main_text(page) == want
