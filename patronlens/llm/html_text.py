@@ -3,7 +3,8 @@
 Markup is stripped so that every block of a page becomes a line. Lines have a weight: the
 length of their text outside links. Boilerplate (menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts) weighs nothing, and where a page declares its article
-only lines inside it have weight. Weights are summed over windows of lines; the main text
+only lines inside it have weight; there a class name marks boilerplate only if it says nothing
+else, and never on headings, paragraphs, sections and inline elements. Weights are summed over windows of lines; the main text
 reaches from the first surge, where the sums rise above a threshold, to the last dive, where
 they fall below it. The threshold is a fixed share of a window of the page's usual lines, so
 short articles are found as well as long ones and one huge paragraph does not hide the
@@ -84,6 +85,17 @@ BOILERPLATE_WORDS = frozenset(
     "disqus replies reply respond responses share sharing social related recommended recommendations newsletter "
     "subscribe subscription signup login popup modal overlay widget widgets pagination pager skip search".split()
 )
+#: Inside an article a class must consist of the first and of words that only say where or how.
+ARTICLE_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox adslot cookie cookies gdpr sidebar navbar topnav subnav "
+    "breadcrumb breadcrumbs comments commentlist disqus newsletter share sharing sponsored pagination pager".split()
+)
+_LAYOUT_WORDS = frozenset(
+    "area bar banner block bottom box button buttons consent container content desktop footer form google header "
+    "icon icons inline inner item left link links list main message middle mobile modal notice outer overlay page "
+    "panel popup post right section signup site slot social sticky this tools top unit user widget wrap wrapper".split()
+)
+_KEPT_IN_ARTICLE = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p section".split())
 BOILERPLATE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 )
@@ -104,7 +116,11 @@ def _attributes(rest: str) -> dict[str, str]:
     return {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(rest)}
 
 
-def _is_boilerplate(name: str, rest: str, in_article: bool) -> bool:
+def _label_words(label: str) -> list[str]:
+    return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", label).lower())
+
+
+def _is_boilerplate(name: str, rest: str, in_article: bool, innermost: bool) -> bool:
     if name in BOILERPLATE or (name == "header" and not in_article):
         return True
     if not rest or name in ("html", "body", "main"):
@@ -116,11 +132,13 @@ def _is_boilerplate(name: str, rest: str, in_article: bool) -> bool:
         return True
     if "display:none" in found.get("style", "").replace(" ", "").lower():
         return True
-    label = f"{found.get('class', '')} {found.get('id', '')}"
-    words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", label).lower())
-    if not in_article and "header" in words:
-        return True
-    return not BOILERPLATE_WORDS.isdisjoint(words)
+    if innermost:
+        if name in _KEPT_IN_ARTICLE:
+            return False
+        labels = [set(_label_words(label)) for label in found.get("class", "").split()]
+        return any(words & ARTICLE_WORDS and words <= ARTICLE_WORDS | _LAYOUT_WORDS for words in labels)
+    words = _label_words(f"{found.get('class', '')} {found.get('id', '')}")
+    return ("header" in words and not in_article) or not BOILERPLATE_WORDS.isdisjoint(words)
 
 
 def _is_article(name: str, rest: str) -> bool:
@@ -178,7 +196,7 @@ def lines(page: str) -> list[Line]:
     out: list[Line] = []
     parts: list[str] = []
     linked = 0
-    article_until, drop_until, link_until = -1, -1, -1
+    article_until, inner_until, drop_until, link_until = -1, -1, -1, -1
 
     def flush(i: int) -> None:
         nonlocal linked
@@ -207,7 +225,7 @@ def lines(page: str) -> list[Line]:
         end = ends.get(i, len(tokens))
         if name == "a":
             link_until = max(link_until, end if i in ends else i)
-        if i > drop_until and name not in VOID and _is_boilerplate(name, rest, i <= article_until):
+        if i > drop_until and name not in VOID and _is_boilerplate(name, rest, i <= article_until, i <= inner_until):
             if i not in ends:
                 end = next(
                     (j for j in range(i + 1, len(tokens)) if tokens[j][0] in _STARTS_TEXT and not tokens[j][1]),
@@ -221,6 +239,9 @@ def lines(page: str) -> list[Line]:
                 continue
         if i > drop_until and _is_article(name, rest):
             article_until = max(article_until, end)
+            # What lies beside an article in a wrapper is judged like the rest of the page.
+            if name == "article" or not any(i < j <= end for j in articles):
+                inner_until = max(inner_until, end)
     flush(len(tokens))
     return out
 

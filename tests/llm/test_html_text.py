@@ -187,3 +187,30 @@ def test_whole_table_without_declarations(spark):
 )
 def test_elements_without_an_end(page, want):
     assert main_text(page) == want
+
+
+@pytest.mark.parametrize(
+    ("inside", "want"),
+    [
+        ("<section id='discussion'><p>x</p></section>", "x"),
+        ("<section class='related'>x</section>", "x"),
+        ("<h2 id='related-work'>x</h2>", "x"),
+        ("<div class='social-history'>x</div>", "x"),
+        ("<div id='comments'>x</div>", "x"),
+        ("<p id='response' class='notice'>x</p>", "x"),
+        ("<p>a <span class='search-term'>x</span> b</p>", "a x b"),
+        ("<div class='market-share'>x</div>", "x"),
+        ("<div class='ad-hoc'>x</div>", "x"),
+        ("<div class='adSlot big'>no</div><div class='cookie-notice'>no</div><ul class='share-buttons'><li>no</ul>x", "x"),
+        ("<div class='sidebar-left'>no</div><div class='comments'><p>no</p></div>x", "x"),
+        ("<p hidden>no</p><div role='search'>no</div>x", "x"),
+    ],
+)
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_class_names_inside_an_article(name, inside, want):
+    assert main_text(f"<{name}><p>one</p>{inside}</{name}><div class='related'>no</div>") == f"one\n{want}"
+
+
+def test_class_names_beside_an_article():
+    page = "<main><article><div class='related'>x</div></article><div class='related'>no</div></main>"
+    assert main_text(page) == "x"
