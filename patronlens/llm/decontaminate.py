@@ -22,6 +22,7 @@ Everything is a DataFrame expression.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -159,6 +160,82 @@ def _consistent(pairs: str) -> Column:
     return (F.size(distinct) == F.size(theirs)) & (F.size(distinct) == F.size(ours))
 
 
+def _agreed_diagonals(matched: DataFrame) -> DataFrame:
+    """``places`` and ``pairs`` of the diagonals without a contradiction."""
+    zipped = F.arrays_zip(F.col("item_values").alias("theirs"), F.col("doc_values").alias("ours"))
+    values = F.filter(zipped, lambda p: p["theirs"].isNotNull())
+    diagonal = matched.groupBy(
+        "doc_key", "item_id", "windows", (F.col("doc_at") - F.col("item_at")).alias("diagonal")
+    ).agg(
+        F.collect_set("item_at").alias("places"),
+        F.array_distinct(F.flatten(F.collect_set(values))).alias("pairs"),
+    )
+    return diagonal.where(_consistent("pairs"))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value evaluated once, also where ``use`` has it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _majority(slots: Column) -> Column:
+    """Map from each item value to the document value that stands at most of its places; of equally
+    frequent ones the same value, then the greatest."""
+
+    def counted(slots: Column) -> Column:
+        pairs = F.array_distinct(F.transform(slots, lambda s: F.struct(s["theirs"], s["ours"])))
+
+        def vote(p: Column) -> Column:
+            n = F.size(F.filter(slots, lambda s: (s["theirs"] == p["theirs"]) & (s["ours"] == p["ours"])))
+            rank = F.struct(n.alias("n"), (p["theirs"] == p["ours"]).alias("same"), p["ours"].alias("ours"))
+            return F.struct(p["theirs"].alias("theirs"), rank.alias("rank"))
+
+        return F.transform(pairs, vote)
+
+    def elected(votes: Column) -> Column:
+        beaten = lambda v: F.exists(votes, lambda o: (o["theirs"] == v["theirs"]) & (o["rank"] > v["rank"]))
+        first = F.filter(votes, lambda v: ~beaten(v))
+        return F.map_from_entries(F.transform(first, lambda v: F.struct(v["theirs"], v["rank"]["ours"])))
+
+    return _let(slots, lambda s: _let(counted(s), elected))
+
+
+def _agreed_windows(matched: DataFrame) -> DataFrame:
+    """``places`` and ``pairs`` of the windows of each diagonal whose slots follow the majority
+    mapping, or are the same on both sides."""
+    zipped = F.arrays_zip(F.col("item_values").alias("theirs"), F.col("doc_values").alias("ours"))
+    placed = F.transform(
+        zipped,
+        lambda p, k: F.struct((F.col("item_at") + k).alias("at"), p["theirs"].alias("theirs"), p["ours"].alias("ours")),
+    )
+    slots = F.filter(placed, lambda p: p["theirs"].isNotNull())
+    diagonal = matched.groupBy(
+        "doc_key", "item_id", "windows", (F.col("doc_at") - F.col("item_at")).alias("diagonal")
+    ).agg(F.collect_set(F.struct(F.col("item_at").alias("at"), slots.alias("slots"))).alias("hits"))
+
+    def follows(mapping: Column) -> Column:
+        return F.filter(
+            F.col("hits"),
+            lambda h: (
+                F.forall(h["slots"], lambda s: F.element_at(mapping, s["theirs"]) == s["ours"])
+                | F.forall(h["slots"], lambda s: s["theirs"] == s["ours"])
+            ),
+        )
+
+    every = F.array_distinct(F.flatten(F.transform("hits", lambda h: h["slots"])))
+    agreed = diagonal.withColumn("hits", _let(_majority(every), follows)).where(F.size("hits") > 0)
+    pairs = F.flatten(F.transform("hits", lambda h: h["slots"]))
+    return agreed.select(
+        "doc_key",
+        "item_id",
+        "windows",
+        F.transform("hits", lambda h: h["at"]).alias("places"),
+        F.array_distinct(
+            F.transform(pairs, lambda s: F.struct(s["theirs"].alias("theirs"), s["ours"].alias("ours")))
+        ).alias("pairs"),
+    )
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -166,9 +243,14 @@ def find_leaks(
     item_id: str = "item_id",
     item_text: str = "text",
     similarity: float = SIMILARITY,
+    majority: bool = False,
 ) -> DataFrame:
     """``doc_key, item_id, similarity, slots, changed_slots`` of every leak.
 
+    With ``majority`` only the windows that contradict the diagonal's usual value for an item
+    value do not count, and two item values may have the same document value; otherwise
+    one contradiction discards the diagonal.
+
     ``docs`` needs the column ``doc_key``, not null, the same for rows that may share
     a result. ``slots`` counts the values of the item on the matching diagonals that a
     placeholder hides, ``changed_slots`` those that differ in the document.
@@ -189,15 +271,7 @@ def find_leaks(
         windows = _windows_with_slots(chosen, size or WINDOW, "doc_at", "doc_values")
         parts.append(windows.drop("size").join(index, "window"))
     matched = reduce(DataFrame.unionByName, parts)
-    zipped = F.arrays_zip(F.col("item_values").alias("theirs"), F.col("doc_values").alias("ours"))
-    values = F.filter(zipped, lambda p: p["theirs"].isNotNull())
-    diagonal = matched.groupBy(
-        "doc_key", "item_id", "windows", (F.col("doc_at") - F.col("item_at")).alias("diagonal")
-    ).agg(
-        F.collect_set("item_at").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(values))).alias("pairs"),
-    )
-    agreed = diagonal.where(_consistent("pairs"))
+    agreed = _agreed_windows(matched) if majority else _agreed_diagonals(matched)
     merged = agreed.groupBy("doc_key", "item_id", "windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("found"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),

@@ -81,7 +81,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", decontaminate.document_key().alias("doc_key")
     )
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), majority=True)
     return docs.select("doc_id", "doc_key").join(leaks, "doc_key").drop("doc_key")
 
 

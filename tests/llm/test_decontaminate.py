@@ -142,3 +142,65 @@ def test_repeated_rows_and_empty_tables(spark):
 
 def test_categories_of_the_template():
     assert unicodedata.category(d.NAME) == "Co"
+
+
+COUNTED = (
+    "the tall farmer has 3 red apples and then his old neighbour brings 4 green pears to the market while "
+    "the other women carry 5 heavy baskets home and after that they sell 5 brown eggs to a friendly cook there"
+)
+
+
+def plain_majority(doc, item):
+    """Similarity of an item where only windows against the majority mapping do not count."""
+    doc_t, item_t, doc_p, item_p = template(doc), template(item), clean(doc), clean(item)
+    diagonals = {}
+    for i in range(len(doc_t) - 4):
+        for j in range(len(item_t) - 4):
+            if doc_t[i : i + 5] == item_t[j : j + 5]:
+                slots = [j + k for k in range(5) if item_t[j + k] in (d.NAME, d.NUMBER, d.UNIT)]
+                diagonals.setdefault(i - j, {})[j] = [(s, item_p[s], doc_p[i - j + s]) for s in slots]
+    found = set()
+    for shift, hits in diagonals.items():
+        votes = {}
+        for _, a, b in {s for slots in hits.values() for s in slots}:
+            votes.setdefault(a, []).append(b)
+        usual = {a: max(set(bs), key=lambda b: (bs.count(b), a == b, b)) for a, bs in votes.items()}
+        for j, slots in hits.items():
+            if all(usual[a] == b for _, a, b in slots) or all(a == b for _, a, b in slots):
+                found.add(j)
+    return len(found) / (len(item_t) - 4)
+
+
+def test_slots_that_coincide_or_change_once(spark):
+    def numbers(*values):
+        found = iter(values)
+        return re.sub(r"\d", lambda m: next(found), COUNTED)
+
+    docs = [
+        numbers("7", "7", "9", "9"),  # two values became one
+        numbers("3", "4", "5", "6"),  # one of two equal values changed
+        numbers("6", "8", "1", "2"),  # no usual value for 5
+        numbers("6", "8", "5", "2"),
+        numbers("3", "4", "5", "5") + " tail",
+        COUNTED.replace("apples", "plums").replace("baskets", "bags"),
+    ]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    frame = frame.withColumn("doc_key", F.col("doc_id").cast("string"))
+    items = spark.createDataFrame([(0, COUNTED)], "item_id long, text string")
+    got = {int(r.doc_key): r for r in d.find_leaks(frame, items, majority=True).collect()}
+    want = {i: plain_majority(doc, COUNTED) for i, doc in enumerate(docs)}
+    assert {0, 1, 2, 3, 4} == set(got) == {i for i, s in want.items() if s >= 0.8}
+    assert all(r.similarity == pytest.approx(want[i]) for i, r in got.items())
+    assert got[0].similarity == 1 and got[0].changed_slots == 3
+    assert not leaks(spark, docs[:3], [COUNTED])
+
+
+def test_query_and_pipeline_use_the_majority(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(1, COUNTED.replace("3", "7").replace("4", "7")), (2, "something else")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(5, COUNTED)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert [(r.doc_id, r.item_id) for r in queries.op6_decontamination(spark, str(tmp_path)).collect()] == [(1, 5)]
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    assert [r.doc_id for r in corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path)).collect()] == [2]
