@@ -43,7 +43,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
     keyed = docs.withColumn("doc_key", decontaminate.document_key())
-    leaks = decontaminate.find_leaks(keyed, _table(spark, sf_dir, "benchmark"), majority=True)
+    leaks = decontaminate.find_leaks(keyed, _table(spark, sf_dir, "benchmark"), majority=True, any_place=True)
     return keyed.join(leaks.select("doc_key").distinct(), "doc_key", "left_anti").select(docs.columns)
 
 

@@ -1,10 +1,12 @@
 """Benchmark items in documents, also with other numbers, names or units.
 
 Both sides are turned into templates: words in lower case without punctuation, with
-numbers, names (capitalised words inside a sentence) and units replaced by typed
-placeholders. Items are indexed by all windows of five template words. A document
+numbers, names (capitalised words inside a sentence; with ``any_place`` all that are not common
+words) and units replaced by typed placeholders; with ``any_place`` windows of the plain words
+count as well, whatever their case. Items are indexed by all windows of five template words. A document
 first contributes only every fourth window: where 0.8 of an item's windows occur, four in
-a row do, so one of them is found wherever the item starts. Documents that hit an item are
+a row do, so one of them is found wherever the item starts (with ``any_place`` the stride
+follows from the lengths of the items). Documents that hit an item are
 then compared window by window. Windows on one diagonal (same distance between document and
 item) count if their slots agree: each value of the item stands for one value of the
 document and the other way round. An item leaks if at least 0.8 of its windows are found so.
@@ -22,6 +24,7 @@ Everything is a DataFrame expression.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -46,6 +49,30 @@ UNITS = (
 #: One private-use character for each type of slot.
 NAME, NUMBER, UNIT = "", "", ""
 _NAME = rf"\p{{Lu}}(?<=[\p{{L}}\p{{N}},{NUMBER}]\x20.)\p{{Ll}}[\p{{L}}\p{{M}}'-]*+"
+#: Words that are no names, though they open sentences and stand in titles.
+_COMMON = (
+    "a about after all also although an and any are as at be because before both but by can could did do does during "
+    "each either every few find first for from given had has have he her here his how however i if in into is it its "
+    "let many may most much must my no not now of on one only or other our out over she should since so some such "
+    "than that the their them then there these they this those though through thus to two under until up was we were "
+    "what when where whether which while who whom whose why will with without would yes you your "
+    "aber alle als am an auch auf aus bei bis da damit dann das dass dem den der des die dies diese dieser dieses doch "
+    "ein eine einem einen einer eines er es für hat ihr im in ist ja jede jeder jedes kann man mit nach nicht noch nur "
+    "ob oder ohne sein seine sich sie sind so um und unter viele vom von vor war warum was weil welche welcher wenn wer "
+    "wie wieviel wir wird wo zu zum zur "
+    "alors au aux avec ce ces cet cette chaque combien comme comment dans de depuis des donc du elle elles en est et "
+    "il ils je la le les leur lorsque mais ne nous on ont ou où par pas pour pourquoi quand que quel quelle quels qui "
+    "sa sans se ses si son sont sur tous tout un une vous "
+    "al algunos aunque cada como con cuando cuál cuántas cuántos cuánto de del desde donde dos el ella ellos en entre "
+    "era es esta este estos está hay la las lo los más muy no nos o para pero por porque qué quién se según si sin sobre "
+    "son su sus también tiene todo todos un una unas unos y ya"
+).split()
+_OPENS = r"!-/:-@\[-`{-~¡«»¿‐-‧"
+_ANY_NAME = (
+    rf"(?=\p{{Lu}})(?<=(?:^|\s)[{_OPENS}]{{0,9}})"
+    rf"(?!(?:{'|'.join(sorted({w.capitalize() for w in _COMMON}))})(?![\p{{L}}\p{{M}}'’-]))"
+    r"\p{Lu}\p{Ll}[\p{L}\p{M}'’-]*+"
+)
 _NUMBER = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 #: Units of one letter, and "in", are words of their own unless a number stands before them.
 _AMBIGUOUS = [u for u in UNITS if len(u) == 1 or u == "in"]
@@ -58,12 +85,13 @@ def _words(value: Column) -> Column:
     return F.array_remove(F.split(F.regexp_replace(F.lower(value), _MARKS, ""), r"\s+"), "")
 
 
-def with_template(df: DataFrame, text: str) -> DataFrame:
+def with_template(df: DataFrame, text: str, any_place: bool = False) -> DataFrame:
     """Replace the text by ``words``, its template words: placeholders stand for numbers, names
-    and units. The array is a column of its own, as the units look at the word before."""
+    and units. The array is a column of its own, as the units look at the word before. With
+    ``any_place`` a capitalised word that is not common is a name wherever it stands."""
     value = F.coalesce(F.col(text), F.lit(""))
     value = F.when(value.rlike("[0-9]"), F.regexp_replace(value, _NUMBER, NUMBER)).otherwise(value)
-    df = df.withColumn("words", _words(F.regexp_replace(value, _NAME, NAME))).drop(text)
+    df = df.withColumn("words", _words(F.regexp_replace(value, _ANY_NAME if any_place else _NAME, NAME))).drop(text)
 
     def typed(word: Column, i: Column) -> Column:
         measured = word.isin(_AMBIGUOUS) & (F.get("words", i - 1) == NUMBER)
@@ -84,62 +112,86 @@ def _window_hashes(words: Column, size: int, step: int) -> Column:
     return F.when(F.size(words) >= size, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
-def _windows_with_slots(df: DataFrame, size: Column | int, place: str, slots: str) -> DataFrame:
-    """One row per window at every position: its hash, its place, and the values of its slots.
+def _windows_with_slots(
+    df: DataFrame, size: Column | int, place: str, slots: str, plain_too: bool = False, all_values: bool = False
+) -> DataFrame:
+    """One row per window at every position: its hash, its place, and the values of its slots,
+    or of all its words. With ``plain_too`` also one row for the hash of its plain words.
 
     Needs the columns ``words`` and ``plain``.
     """
     size = F.lit(size) if isinstance(size, int) else size
     marks = F.array(F.lit(NAME), F.lit(NUMBER), F.lit(UNIT))
     value = F.transform("words", lambda w, i: F.when(F.array_contains(marks, w), F.get("plain", i)))
-    df = df.withColumn("values", value).withColumn("size", size.cast("int"))
+    df = df.withColumn("values", F.col("plain") if all_values else value).withColumn("size", size.cast("int"))
+
+    def hashes(i: Column) -> Column:
+        own = F.xxhash64(F.slice("words", i + 1, F.col("size")))
+        return F.array_distinct(F.array(own, F.xxhash64(F.slice("plain", i + 1, F.col("size")))))
+
     windows = F.transform(
         F.sequence(F.lit(0), F.size("words") - F.col("size")),
         lambda i: F.struct(
-            F.xxhash64(F.slice("words", i + 1, F.col("size"))).alias("window"),
+            (hashes(i) if plain_too else F.xxhash64(F.slice("words", i + 1, F.col("size")))).alias("window"),
             i.cast("int").alias(place),
             F.slice("values", i + 1, F.col("size")).alias(slots),
         ),
     )
     kept = [c for c in df.columns if c not in ("words", "plain", "values")]
-    return (
+    found = (
         df.where((F.size("words") >= F.col("size")) & (F.col("size") > 0))
         .select(*kept, F.explode(windows).alias("w"))
         .select(*kept, "w.*")
     )
+    return found.withColumn("window", F.explode("window")) if plain_too else found
 
 
-def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+def item_windows(
+    benchmark: DataFrame, item_id: str = "item_id", text: str = "text", any_place: bool = False
+) -> DataFrame:
     """``item_id, size, windows, window, item_at, item_values`` of all items. Items shorter
     than nine words have one window, the whole item."""
     items = benchmark.select(
         F.col(item_id).alias("item_id"), F.col(text).alias("text"), plain_words(F.col(text)).alias("plain")
     )
-    items = with_template(items, "text")
+    items = with_template(items, "text", any_place)
     n = F.size("words")
     size = F.when(n < 2 * WINDOW - 1, n).otherwise(F.lit(WINDOW))
     items = items.withColumn("windows", n - size + 1)
-    return _windows_with_slots(items, size, "item_at", "item_values")
+    return _windows_with_slots(items, size, "item_at", "item_values", plain_too=any_place)
 
 
-def _first_windows(docs: DataFrame, size: int) -> DataFrame:
+def _first_windows(docs: DataFrame, size: int, stride: int, plain_too: bool) -> DataFrame:
     """``docs`` with ``first_windows``, the hashes to look up for items of ``size`` words: every
-    fourth window for long items (size 0), every window for short ones, and for items of
-    less than five words the whole document."""
-    words = F.col("words")
-    if not size:
-        found = _window_hashes(words, WINDOW, STRIDE)
-    elif size >= WINDOW:
-        found = _window_hashes(words, size, 1)
-    else:
+    ``stride``-th window for long items (size 0), every window for short ones, and for items of
+    less than five words the whole document; with ``plain_too`` also those of the plain words."""
+
+    def first(words: Column) -> Column:
+        if not size:
+            return _window_hashes(words, WINDOW, stride)
+        if size >= WINDOW:
+            return _window_hashes(words, size, 1)
         whole = F.array(F.xxhash64(words))
-        found = F.when(F.size(words) == size, whole).otherwise(F.array().cast("array<bigint>"))
-    return docs.withColumn("first_windows", found)
+        return F.when(F.size(words) == size, whole).otherwise(F.array().cast("array<bigint>"))
 
+    found = first(F.col("words"))
+    return docs.withColumn("first_windows", F.concat(found, first(F.col("plain"))) if plain_too else found)
 
-def _documents_with_a_hit(docs: DataFrame, index: DataFrame, size: int) -> DataFrame:
+
+def _stride(items: DataFrame, similarity: float) -> int:
+    """The widest stride of at most four at which no item can have all looked-up windows among
+    those it may miss: a window with one slot changed and another written otherwise is
+    missed alone, with its neighbours found."""
+    counts = [r["windows"] for r in items.where("windows > 1").select("windows").distinct().collect()]
+    may_miss = {n: n - math.ceil(similarity * n - 1e-9) for n in counts}
+    return next((s for s in range(STRIDE, 1, -1) if all(n // s > missed for n, missed in may_miss.items())), 1)
+
+
+def _documents_with_a_hit(
+    docs: DataFrame, index: DataFrame, size: int, stride: int = STRIDE, plain_too: bool = False
+) -> DataFrame:
     """The rows of ``docs(doc_key, text, words)`` with a window of ``index(window)``."""
-    looked = _first_windows(docs, size)
+    looked = _first_windows(docs, size, stride, plain_too)
     listed = index.select("window").distinct().limit(LISTED_WINDOWS + 1).collect()
     if len(listed) <= LISTED_WINDOWS:
         values = ", ".join(f"{r.window}L" for r in listed)
@@ -244,31 +296,38 @@ def find_leaks(
     item_text: str = "text",
     similarity: float = SIMILARITY,
     majority: bool = False,
+    any_place: bool = False,
 ) -> DataFrame:
     """``doc_key, item_id, similarity, slots, changed_slots`` of every leak.
 
     With ``majority`` only the windows that contradict the diagonal's usual value for an item
     value do not count, and two item values may have the same document value; otherwise
-    one contradiction discards the diagonal.
+    one contradiction discards the diagonal. With ``any_place`` (and ``majority``) names are
+    typed wherever they stand, and windows that are equal in plain words count too.
 
     ``docs`` needs the column ``doc_key``, not null, the same for rows that may share
     a result. ``slots`` counts the values of the item on the matching diagonals that a
     placeholder hides, ``changed_slots`` those that differ in the document.
     """
-    items = stage(item_windows(benchmark, item_id, item_text), "benchmark-windows")
+    if any_place and not majority:
+        raise ValueError("any_place needs majority")
+    items = stage(item_windows(benchmark, item_id, item_text, any_place), "benchmark-windows")
     if items.isEmpty():
         return _no_leaks(docs, items)
     lengths = items.where("windows = 1").select("size").distinct()
     short = sorted(r["size"] for r in lengths.collect())  # one to eight words
     has_long = not items.where(F.col("windows") > 1).isEmpty()
-    templates = with_template(docs.select("doc_key", text, F.col(text).alias("_text")), text)
+    stride = _stride(items, similarity) if any_place else STRIDE
+    templates = with_template(docs.select("doc_key", text, F.col(text).alias("_text")), text, any_place)
+    if any_place:
+        templates = templates.withColumn("plain", plain_words(F.col("_text")))
     parts = []
     for size in [*([0] if has_long else []), *short]:
         own = (F.col("size") == size) & (F.col("windows") == 1) if size else F.col("windows") > 1
         index = items.where(own)
-        chosen = _documents_with_a_hit(templates, index, size).dropDuplicates(["doc_key"])
+        chosen = _documents_with_a_hit(templates, index, size, stride, any_place).dropDuplicates(["doc_key"])
         chosen = chosen.withColumn("plain", plain_words(F.col("_text"))).drop("_text")
-        windows = _windows_with_slots(chosen, size or WINDOW, "doc_at", "doc_values")
+        windows = _windows_with_slots(chosen, size or WINDOW, "doc_at", "doc_values", any_place, any_place)
         parts.append(windows.drop("size").join(index, "window"))
     matched = reduce(DataFrame.unionByName, parts)
     agreed = _agreed_windows(matched) if majority else _agreed_diagonals(matched)

@@ -204,3 +204,55 @@ def test_query_and_pipeline_use_the_majority(spark, tmp_path):
     assert [(r.doc_id, r.item_id) for r in queries.op6_decontamination(spark, str(tmp_path)).collect()] == [(1, 5)]
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     assert [r.doc_id for r in corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path)).collect()] == [2]
+
+
+NAMED = "The farm has 3 apples. Mary gives 4 of them to Tom. Then (Paul) buys 9 more in Rome, how many are left now?"
+
+
+def test_names_at_any_place(spark):
+    swapped = NAMED.replace("Mary", "Eve").replace("Tom", "Ben").replace("Paul", "Max").replace("Rome", "Oslo")
+    docs = [
+        NAMED,
+        swapped,
+        swapped.replace("apples. ", "apples.\n").replace("3", "8"),
+        swapped.replace("apples. ", "apples.  ").replace("in Oslo", "in\nOslo"),
+        swapped.replace("(Max)", "\u00abMax\u00bb"),
+        "noise " + NAMED.upper() + " noise",
+        NAMED.lower(),
+        " \n".join(NAMED.split()),
+        NAMED.replace("apples", "plums").replace("them", "those").replace("more", "again"),
+        "",
+        None,
+    ]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    frame = frame.withColumn("doc_key", F.col("doc_id").cast("string"))
+    items = spark.createDataFrame([(0, NAMED), (1, "Mary sees Tom in Rome")], "item_id long, text string")
+    found = d.find_leaks(frame, items, majority=True, any_place=True).collect()
+    got = {(int(r.doc_key), r.item_id): r for r in found}
+    assert set(got) == {(i, 0) for i in range(8)}
+    assert all(r.similarity == 1 for r in got.values())
+    assert got[5, 0].changed_slots == got[6, 0].changed_slots == 0 and got[1, 0].changed_slots == 4
+    before = {int(r.doc_key) for r in d.find_leaks(frame, items, majority=True).collect()}
+    assert not before & {2, 5, 6}
+
+
+@pytest.mark.parametrize("listed", [0, 50_000])
+def test_every_alignment_of_mixed_windows(spark, listed, monkeypatch):
+    """One window of five is equal neither typed nor plain: a name in lower case, a changed number."""
+    monkeypatch.setattr(d, "LISTED_WINDOWS", listed)
+    item = "old farmers Bob see near town 5 while dancing"
+    docs = ["pad " * n + item.replace("Bob", "bob").replace("5", "6") + " tail" for n in range(9)]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    frame = frame.withColumn("doc_key", F.col("doc_id").cast("string"))
+    items = spark.createDataFrame([(0, item)], "item_id long, text string")
+    got = {int(r.doc_key): r.similarity for r in d.find_leaks(frame, items, majority=True, any_place=True).collect()}
+    assert got == dict.fromkeys(range(9), 0.8)
+
+
+def test_pipeline_finds_names_at_any_place(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(1, NAMED.upper()), (2, NAMED.replace("Mary", "Eve").replace(" Tom", "\nBen").replace("3", "8")), (3, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.createDataFrame([(5, NAMED)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert [r.doc_id for r in corpus_pipeline.drop_benchmark_leaks(spark, docs, str(tmp_path)).collect()] == [3]
