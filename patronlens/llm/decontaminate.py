@@ -1,30 +1,33 @@
 """Benchmark items in documents, also with other numbers, names or units.
 
-Both sides are turned into templates: words in lower case without punctuation, with
-numbers, names (capitalised words inside a sentence; with ``any_place`` all that are not common
-words) and units replaced by typed placeholders; with ``any_place`` windows of the plain words
-count as well, whatever their case. Items are indexed by all windows of five template words. A document
-first contributes only every fourth window: where 0.8 of an item's windows occur, four in
-a row do, so one of them is found wherever the item starts (with ``any_place`` the stride
-follows from the lengths of the items). Documents that hit an item are
-then compared window by window. Windows on one diagonal (same distance between document and
-item) count if their slots agree: each value of the item stands for one value of the
-document and the other way round. An item leaks if at least 0.8 of its windows are found so.
+Both sides are turned into templates: words in lower case without punctuation, with numbers, names
+(capitalised words that are not common) and units replaced by typed placeholders. Items are
+indexed by all windows of five template words and by all windows of five plain words, so that
+case, line breaks and unusual names hide nothing. A document first contributes only every
+``stride``-th window: an item with enough windows found has more of them in a row than that, so
+it is met wherever it starts; the stride follows from the items. Documents that hit an item
+are then compared window by window. Windows on one diagonal (same distance between document and
+item) count if each value of the item stands for its usual value in the document, or if the
+values are the same. An item leaks if at least 0.8 of its windows are found so.
+
+A window of placeholders alone, such as five numbers in a row, says nothing and is the same in all
+tables of all documents. It is never looked up or joined by itself, but only at the one place
+of a document where a diagonal that has a hit with a word expects it. An item of
+nothing but placeholders leaks where its plain words stand.
 
 Up to ``LISTED_WINDOWS`` item windows, the first look is a filter in the scan of the documents;
 beyond, the windows are joined. Both find the same documents.
 
-Items of five to eight words are looked up at every position instead, in documents'
-windows of their own length; items of one to four words match documents that have the
-same template as a whole. Null and empty texts match nothing. Repeated rows of
-documents all leak; repeated items are reported for each of their ids.
+Items of five to eight words are looked up at every position, in documents' windows of their own
+length; items of one to four words match documents that have the same template as a whole.
+Null and empty texts match nothing. Repeated rows of documents all leak; repeated items are
+reported for each of their ids. Texts of any length are compared whole. Extra columns are left alone.
 
 Everything is a DataFrame expression.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -48,7 +51,6 @@ UNITS = (
 ).split()
 #: One private-use character for each type of slot.
 NAME, NUMBER, UNIT = "", "", ""
-_NAME = rf"\p{{Lu}}(?<=[\p{{L}}\p{{N}},{NUMBER}]\x20.)\p{{Ll}}[\p{{L}}\p{{M}}'-]*+"
 #: Words that are no names, though they open sentences and stand in titles.
 _COMMON = (
     "a about after all also although an and any are as at be because before both but by can could did do does during "
@@ -68,7 +70,7 @@ _COMMON = (
     "son su sus también tiene todo todos un una unas unos y ya"
 ).split()
 _OPENS = r"!-/:-@\[-`{-~¡«»¿‐-‧"
-_ANY_NAME = (
+_NAME = (
     rf"(?=\p{{Lu}})(?<=(?:^|\s)[{_OPENS}]{{0,9}})"
     rf"(?!(?:{'|'.join(sorted({w.capitalize() for w in _COMMON}))})(?![\p{{L}}\p{{M}}'’-]))"
     r"\p{Lu}\p{Ll}[\p{L}\p{M}'’-]*+"
@@ -85,13 +87,12 @@ def _words(value: Column) -> Column:
     return F.array_remove(F.split(F.regexp_replace(F.lower(value), _MARKS, ""), r"\s+"), "")
 
 
-def with_template(df: DataFrame, text: str, any_place: bool = False) -> DataFrame:
+def with_template(df: DataFrame, text: str) -> DataFrame:
     """Replace the text by ``words``, its template words: placeholders stand for numbers, names
-    and units. The array is a column of its own, as the units look at the word before. With
-    ``any_place`` a capitalised word that is not common is a name wherever it stands."""
+    and units. The array is a column of its own, as the units look at the word before."""
     value = F.coalesce(F.col(text), F.lit(""))
     value = F.when(value.rlike("[0-9]"), F.regexp_replace(value, _NUMBER, NUMBER)).otherwise(value)
-    df = df.withColumn("words", _words(F.regexp_replace(value, _ANY_NAME if any_place else _NAME, NAME))).drop(text)
+    df = df.withColumn("words", _words(F.regexp_replace(value, _NAME, NAME))).drop(text)
 
     def typed(word: Column, i: Column) -> Column:
         measured = word.isin(_AMBIGUOUS) & (F.get("words", i - 1) == NUMBER)
@@ -113,10 +114,11 @@ def _window_hashes(words: Column, size: int, step: int) -> Column:
 
 
 def _windows_with_slots(
-    df: DataFrame, size: Column | int, place: str, slots: str, plain_too: bool = False, all_values: bool = False
+    df: DataFrame, size: Column | int, place: str, slots: str, all_values: bool = False
 ) -> DataFrame:
-    """One row per window at every position: its hash, its place, and the values of its slots,
-    or of all its words. With ``plain_too`` also one row for the hash of its plain words.
+    """One row per window at every position, and one more where its plain words differ from its
+    template: its hash, whether it is ``open`` (placeholders alone), its place, and the values
+    of its slots, or of all its words.
 
     Needs the columns ``words`` and ``plain``.
     """
@@ -126,13 +128,15 @@ def _windows_with_slots(
     df = df.withColumn("values", F.col("plain") if all_values else value).withColumn("size", size.cast("int"))
 
     def hashes(i: Column) -> Column:
-        own = F.xxhash64(F.slice("words", i + 1, F.col("size")))
-        return F.array_distinct(F.array(own, F.xxhash64(F.slice("plain", i + 1, F.col("size")))))
+        typed, plain = (F.slice(c, i + 1, F.col("size")) for c in ("words", "plain"))
+        nothing_else = F.forall(typed, lambda w: F.array_contains(marks, w))
+        own = F.struct(F.xxhash64(typed).alias("window"), nothing_else.alias("open"))
+        return F.array_distinct(F.array(own, F.struct(F.xxhash64(plain).alias("window"), F.lit(False).alias("open"))))
 
     windows = F.transform(
         F.sequence(F.lit(0), F.size("words") - F.col("size")),
         lambda i: F.struct(
-            (hashes(i) if plain_too else F.xxhash64(F.slice("words", i + 1, F.col("size")))).alias("window"),
+            hashes(i).alias("hashes"),
             i.cast("int").alias(place),
             F.slice("values", i + 1, F.col("size")).alias(slots),
         ),
@@ -141,30 +145,27 @@ def _windows_with_slots(
     found = (
         df.where((F.size("words") >= F.col("size")) & (F.col("size") > 0))
         .select(*kept, F.explode(windows).alias("w"))
-        .select(*kept, "w.*")
+        .select(*kept, f"w.{place}", f"w.{slots}", F.explode("w.hashes").alias("h"))
     )
-    return found.withColumn("window", F.explode("window")) if plain_too else found
+    return found.select(*kept, "h.window", "h.open", place, slots)
 
 
-def item_windows(
-    benchmark: DataFrame, item_id: str = "item_id", text: str = "text", any_place: bool = False
-) -> DataFrame:
-    """``item_id, size, windows, window, item_at, item_values`` of all items. Items shorter
+def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """``item_id, size, windows, window, open, item_at, item_values`` of all items. Items shorter
     than nine words have one window, the whole item."""
     items = benchmark.select(
         F.col(item_id).alias("item_id"), F.col(text).alias("text"), plain_words(F.col(text)).alias("plain")
     )
-    items = with_template(items, "text", any_place)
+    items = with_template(items, "text")
     n = F.size("words")
     size = F.when(n < 2 * WINDOW - 1, n).otherwise(F.lit(WINDOW))
-    items = items.withColumn("windows", n - size + 1)
-    return _windows_with_slots(items, size, "item_at", "item_values", plain_too=any_place)
+    return _windows_with_slots(items.withColumn("windows", n - size + 1), size, "item_at", "item_values")
 
 
-def _first_windows(docs: DataFrame, size: int, stride: int, plain_too: bool) -> DataFrame:
+def _first_windows(docs: DataFrame, size: int, stride: int) -> DataFrame:
     """``docs`` with ``first_windows``, the hashes to look up for items of ``size`` words: every
     ``stride``-th window for long items (size 0), every window for short ones, and for items of
-    less than five words the whole document; with ``plain_too`` also those of the plain words."""
+    less than five words the whole document; of the template and of the plain words."""
 
     def first(words: Column) -> Column:
         if not size:
@@ -174,24 +175,30 @@ def _first_windows(docs: DataFrame, size: int, stride: int, plain_too: bool) ->
         whole = F.array(F.xxhash64(words))
         return F.when(F.size(words) == size, whole).otherwise(F.array().cast("array<bigint>"))
 
-    found = first(F.col("words"))
-    return docs.withColumn("first_windows", F.concat(found, first(F.col("plain"))) if plain_too else found)
+    return docs.withColumn("first_windows", F.concat(first(F.col("words")), first(F.col("plain"))))
 
 
 def _stride(items: DataFrame, similarity: float) -> int:
     """The widest stride of at most four at which no item can have all looked-up windows among
-    those it may miss: a window with one slot changed and another written otherwise is
-    missed alone, with its neighbours found."""
-    counts = [r["windows"] for r in items.where("windows > 1").select("windows").distinct().collect()]
-    may_miss = {n: n - math.ceil(similarity * n - 1e-9) for n in counts}
-    return next((s for s in range(STRIDE, 1, -1) if all(n // s > missed for n, missed in may_miss.items())), 1)
+    those it may miss, wherever a document's first looked-up window falls: a window with one slot
+    changed and another written otherwise is missed alone, with its neighbours found. Windows
+    of placeholders alone are not looked up, so they do not count."""
+    closed = items.where("windows > 1 and not open").select("item_id", "windows", "item_at").distinct()
 
+    def kept(stride: int) -> Column:
+        looked = [F.count_if(F.col("item_at") % stride == r) for r in range(stride)]
+        may_miss = F.first("windows") - F.ceil(F.lit(similarity) * F.first("windows") - F.lit(1e-9))
+        return F.least(*looked, F.lit(2**31)) > may_miss
 
-def _documents_with_a_hit(
-    docs: DataFrame, index: DataFrame, size: int, stride: int = STRIDE, plain_too: bool = False
-) -> DataFrame:
-    """The rows of ``docs(doc_key, text, words)`` with a window of ``index(window)``."""
-    looked = _first_windows(docs, size, stride, plain_too)
+    strides = range(STRIDE, 1, -1)
+    by_item = closed.groupBy("item_id").agg(*[kept(s).alias(f"s{s}") for s in strides])
+    fits = by_item.agg(*[F.bool_and(f"s{s}").alias(f"s{s}") for s in strides]).first()
+    return next((s for s in strides if fits[f"s{s}"]), 1)
+
+
+def _documents_with_a_hit(docs: DataFrame, index: DataFrame, size: int, stride: int) -> DataFrame:
+    """The rows of ``docs(doc_key, text, words, plain)`` with a window of ``index(window)``."""
+    looked = _first_windows(docs, size, stride)
     listed = index.select("window").distinct().limit(LISTED_WINDOWS + 1).collect()
     if len(listed) <= LISTED_WINDOWS:
         values = ", ".join(f"{r.window}L" for r in listed)
@@ -204,25 +211,13 @@ def _documents_with_a_hit(
     return looked.drop("first_windows").join(keys, "doc_key", "left_semi")
 
 
-def _consistent(pairs: str) -> Column:
-    """Whether pairs of an item's and a document's value map both ways one to one."""
-    distinct = F.array_distinct(pairs)
-    theirs = F.array_distinct(F.transform(pairs, lambda p: p["theirs"]))
-    ours = F.array_distinct(F.transform(pairs, lambda p: p["ours"]))
-    return (F.size(distinct) == F.size(theirs)) & (F.size(distinct) == F.size(ours))
-
-
-def _agreed_diagonals(matched: DataFrame) -> DataFrame:
-    """``places`` and ``pairs`` of the diagonals without a contradiction."""
-    zipped = F.arrays_zip(F.col("item_values").alias("theirs"), F.col("doc_values").alias("ours"))
-    values = F.filter(zipped, lambda p: p["theirs"].isNotNull())
-    diagonal = matched.groupBy(
-        "doc_key", "item_id", "windows", (F.col("doc_at") - F.col("item_at")).alias("diagonal")
-    ).agg(
-        F.collect_set("item_at").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(values))).alias("pairs"),
-    )
-    return diagonal.where(_consistent("pairs"))
+def _open_hits(matched: DataFrame, windows: DataFrame, open_items: DataFrame) -> DataFrame:
+    """Windows of placeholders alone on the diagonals of ``matched``, in the same columns. They are
+    joined by document and place, so what many documents share is no join key."""
+    diagonals = matched.select("doc_key", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).distinct()
+    expected = diagonals.join(open_items, "item_id").withColumn("doc_at", F.col("diagonal") + F.col("item_at"))
+    found = expected.join(windows, ["doc_key", "doc_at", "window"])
+    return found.select(*matched.columns)
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -295,42 +290,37 @@ def find_leaks(
     item_id: str = "item_id",
     item_text: str = "text",
     similarity: float = SIMILARITY,
-    majority: bool = False,
-    any_place: bool = False,
 ) -> DataFrame:
     """``doc_key, item_id, similarity, slots, changed_slots`` of every leak.
 
-    With ``majority`` only the windows that contradict the diagonal's usual value for an item
-    value do not count, and two item values may have the same document value; otherwise
-    one contradiction discards the diagonal. With ``any_place`` (and ``majority``) names are
-    typed wherever they stand, and windows that are equal in plain words count too.
-
     ``docs`` needs the column ``doc_key``, not null, the same for rows that may share
     a result. ``slots`` counts the values of the item on the matching diagonals that a
     placeholder hides, ``changed_slots`` those that differ in the document.
     """
-    if any_place and not majority:
-        raise ValueError("any_place needs majority")
-    items = stage(item_windows(benchmark, item_id, item_text, any_place), "benchmark-windows")
+    items = stage(item_windows(benchmark, item_id, item_text), "benchmark-windows")
     if items.isEmpty():
         return _no_leaks(docs, items)
     lengths = items.where("windows = 1").select("size").distinct()
     short = sorted(r["size"] for r in lengths.collect())  # one to eight words
-    has_long = not items.where(F.col("windows") > 1).isEmpty()
-    stride = _stride(items, similarity) if any_place else STRIDE
-    templates = with_template(docs.select("doc_key", text, F.col(text).alias("_text")), text, any_place)
-    if any_place:
-        templates = templates.withColumn("plain", plain_words(F.col("_text")))
+    has_long = not items.where("windows > 1").isEmpty()
+    open_items = items.where("windows > 1 and open").select("item_id", "windows", "window", "item_at", "item_values")
+    has_open = not open_items.isEmpty()
+    stride = _stride(items, similarity)
+    templates = with_template(docs.select("doc_key", text, plain_words(F.col(text)).alias("plain")), text)
     parts = []
     for size in [*([0] if has_long else []), *short]:
         own = (F.col("size") == size) & (F.col("windows") == 1) if size else F.col("windows") > 1
-        index = items.where(own)
-        chosen = _documents_with_a_hit(templates, index, size, stride, any_place).dropDuplicates(["doc_key"])
-        chosen = chosen.withColumn("plain", plain_words(F.col("_text"))).drop("_text")
-        windows = _windows_with_slots(chosen, size or WINDOW, "doc_at", "doc_values", any_place, any_place)
-        parts.append(windows.drop("size").join(index, "window"))
-    matched = reduce(DataFrame.unionByName, parts)
-    agreed = _agreed_windows(matched) if majority else _agreed_diagonals(matched)
+        index = items.where(own & ~F.col("open")).drop("open", "size")
+        chosen = _documents_with_a_hit(templates, index, size, stride).dropDuplicates(["doc_key"])
+        if has_open and not size:
+            chosen = stage(chosen, "benchmark-documents")
+        windows = _windows_with_slots(chosen, size or WINDOW, "doc_at", "doc_values", all_values=True).drop("size")
+        hits = windows.where("not open").drop("open").join(index, "window")
+        if has_open and not size:
+            hits = stage(hits, "benchmark-hits")
+            hits = hits.unionByName(_open_hits(hits, windows.where("open").drop("open"), open_items))
+        parts.append(hits)
+    agreed = _agreed_windows(reduce(DataFrame.unionByName, parts))
     merged = agreed.groupBy("doc_key", "item_id", "windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("found"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),

@@ -5,16 +5,19 @@ all texts, cut off at five words:
 
 1. Frequencies of prefixes of one and two words tell which positions can begin a phrase that is
    frequent enough; a suffix goes on only while each two neighbouring words are frequent together.
-   Two-word frequencies are kept per 64-bit hash; with the words themselves they are packed
-   into Bloom filters of at most 16 MB, whose false positives only let more suffixes through.
-2. The suffixes that remain are counted; equal ones are one row.
-3. Prefixes are grouped by memory budget: a prefix starts with two words and is extended by one
-   word while its suffixes exceed the budget; then consecutive prefixes are put together until
-   a group is full.
+   Prefixes are counted by 64-bit hash; those that are frequent are packed into Bloom
+   filters of at most 16 MB, whose false positives only let more suffixes through.
+2. Prefixes are grouped by memory budget: a prefix of two words with more suffixes than the budget
+   is extended by one word, and again, for which the texts are read again; then consecutive
+   prefixes, in the order of their hashes, are put together until a group is full.
+3. The texts are read once more. What a task finds is counted, equal suffixes once, and
+   sent to the groups in blocks.
 4. Each group's subtree is built alone, from its sorted suffixes: a node's frequency is the sum of
    its leaves. Nodes above an extended prefix get the totals of several groups, which are added.
 
-All counts are exact and cover all texts; words are compared as bytes, never by hash. Null texts
+All counts are exact and cover all texts; counts of phrases compare words as bytes, never by
+hash, which decides the group alone. The driver and the tasks hold at most a million group
+bounds; beyond that the budget grows. Null texts
 are empty; a text without words adds nothing; a null language is ``und``. Very long texts are
 cut between pieces, which changes no count. Repeated rows count each time. Ties in the score go to the smaller
 cut, ties in rank to more frequent phrases and then to the smaller one in byte order. An
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -40,7 +44,8 @@ from patronlens.workspace import stage
 WORDS = 5
 MIN_COUNT = 100
 TOP = 2000
-GROUP_BYTES = 4 << 20
+GROUP_SUFFIXES = 500_000
+MAX_GROUPS = 1 << 20
 CHUNK_BYTES = 8 << 20
 KEPT_ENTRIES = 400_000
 MAX_FILTER_BITS = 27
@@ -207,66 +212,166 @@ def _pairs_of(ids: np.ndarray, hashes: np.ndarray, frequent: Filter) -> tuple[np
     return _pair_hashes(hashes[ids[:-1]], hashes[ids[1:]]), good[:-1] & good[1:]
 
 
-def _pair_counter(frequent) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, waiting, size = _Numbers(), [], 0
+class _HashCounts:
+    """Counts of 64-bit hashes, given out when there are many."""
+
+    def __init__(self) -> None:
+        self.waiting: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.waiting.append(hashes)
+        self.size += len(hashes)
+        if self.size > 4_000_000:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if not self.size:
+            return
+        found, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+        batch = pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], ["hash", "n"])
+        self.waiting, self.size = [], 0
+        yield from (batch.slice(i, 200_000) for i in range(0, len(found), 200_000))
 
-        def given() -> Iterator[pa.RecordBatch]:
-            found, n = np.unique(np.concatenate(waiting), return_counts=True)
-            columns = [pa.array(found.view(np.int64)), pa.array(n, pa.int64())]
-            batch = pa.RecordBatch.from_arrays(columns, ["hash", "n"])
-            yield from (batch.slice(i, 200_000) for i in range(0, len(found), 200_000))
 
+def _pair_counter(frequent) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, kept = _Numbers(), _HashCounts()
         for lang, words in _chunks(batches):
             ids = numbers.of(words)
             pairs, good = _pairs_of(ids, numbers.hashes ^ _seed(lang), frequent.value)
-            waiting.append(pairs[good])
-            size += len(waiting[-1])
-            if size > 4_000_000:
-                yield from given()
-                waiting, size = [], 0
-        if waiting:
-            yield from given()
+            yield from kept.add(pairs[good])
+        yield from kept.rest()
 
     return count
 
 
-def _suffix_counter(frequent, pairs, longest: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+@dataclass(frozen=True)
+class Prefixes:
+    """How suffixes are dealt to groups: at each depth from two on, the hashes of the prefixes that are
+    extended, and the smallest hash of each group of those that are not. Both are sorted."""
+
+    extended: tuple[np.ndarray, ...] = ()
+    starts: tuple[np.ndarray, ...] = ()
+
+    def is_extended(self, level: int, hashes: np.ndarray) -> np.ndarray:
+        own = self.extended[level]
+        return own[np.minimum(np.searchsorted(own, hashes), len(own) - 1)] == hashes if len(own) else hashes != hashes
+
+    def groups(self, hashes: np.ndarray, following: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Depth and group of suffixes, from the hashes of their first two words and of each later
+        one (0: none)."""
+        depth, part = np.full(len(hashes), 2, np.int64), np.zeros(len(hashes), np.int64)
+        open_ = np.ones(len(hashes), bool)
+        for level, starts in enumerate(self.starts):
+            if level:
+                hashes = _pair_hashes(hashes.view(np.uint64), following[level - 1]).view(np.int64)
+                depth[open_] = level + 2
+            part[open_] = np.maximum(np.searchsorted(starts, hashes[open_], "right") - 1, 0)
+            open_ &= self.is_extended(level, hashes)
+        return depth, part
+
+
+class _Suffixes:
+    """Finds the suffixes of chunks of words whose neighbours are frequent together."""
+
+    def __init__(self, frequent: Filter, pairs: Filter, longest: int):
+        self.frequent, self.pairs, self.longest = frequent, pairs, longest
+        self.numbers = _Numbers()
+
+    def of(self, lang: str, words: list[bytes]) -> None:
+        """Set ``starts``, and for each the hash of two words, the hashes of the later ones and ``length``."""
+        longest = self.longest
+        ids = self.numbers.of(words)
+        own = self.numbers.hashes ^ _seed(lang)
+        hashes, good = _pairs_of(ids, own, self.frequent)
+        linked = np.zeros(len(ids) + longest, bool)
+        linked[: len(good)] = good
+        linked[: len(good)][good] = self.pairs.holds(hashes[good])
+        self.starts = starts = np.flatnonzero(linked[: len(ids)])
+        self.pair = hashes[starts].view(np.int64) if len(starts) else np.zeros(0, np.int64)
+        padded = np.concatenate([ids, np.zeros(longest, np.int64)])
+        own[0] = 0
+        goes_on = np.ones(len(starts), bool)
+        self.length = np.full(len(starts), 2, np.int64)
+        self.later_ids, self.later = [padded[starts + 1]], []
+        for d in range(2, longest):
+            goes_on = goes_on & linked[starts + d - 1]
+            self.length += goes_on
+            self.later_ids.append(np.where(goes_on, padded[starts + d], 0))
+            self.later.append(own[self.later_ids[-1]])
+        self.first_ids = padded[starts]
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """Place of one of each equal suffixes, and how often it occurs. Compared word by word."""
+        key = self.first_ids
+        for following in self.later_ids:
+            # Equal suffixes so far have one number; with the next word, or none, they are told apart.
+            key = np.unique((key << 32) | following, return_inverse=True)[1]
+        _, first, n = np.unique(key, return_index=True, return_counts=True)
+        return first, n
+
+
+def _prefix_counter(frequent, pairs, prefixes: Prefixes, longest: int):
+    """Counts of the prefixes that are one word longer than the longest ones of ``prefixes``, below
+    those that are extended there."""
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, kept = _Numbers(), _Kept("suffix")
+        found, kept = _Suffixes(frequent.value, pairs.value, longest), _HashCounts()
         for lang, words in _chunks(batches):
-            ids = numbers.of(words)
-            hashes, good = _pairs_of(ids, numbers.hashes ^ _seed(lang), frequent.value)
-            linked = np.zeros(len(ids) + longest, bool)
-            linked[: len(good)] = good
-            linked[: len(good)][good] = pairs.value.holds(hashes[good])
-            yield from kept.add(lang, _suffixes(words, ids, linked, longest))
+            found.of(lang, words)
+            below, hashes = np.ones(len(found.starts), bool), found.pair
+            for level, following in enumerate(found.later[: len(prefixes.starts)]):
+                below &= prefixes.is_extended(level, hashes)
+                hashes = _pair_hashes(hashes.view(np.uint64), following).view(np.int64)
+            yield from kept.add(hashes[below].view(np.uint64))
         yield from kept.rest()
 
     return count
 
 
-def _suffixes(words: list[bytes], ids: np.ndarray, linked: np.ndarray, longest: int) -> dict[bytes, int]:
-    """Suffixes of at most ``longest`` words whose neighbours are linked, and how often each occurs.
-    Every word ends with a blank, so that a suffix is a prefix of another just as its bytes are."""
-    starts = np.flatnonzero(linked[: len(ids)])
-    if not len(starts):
-        return {}
-    padded = np.concatenate([ids, np.zeros(longest, np.int64)])
-    goes_on, length = np.ones(len(starts), bool), np.ones(len(starts), np.int64)
-    key = padded[starts]
-    for d in range(1, longest):
-        goes_on &= linked[starts + d - 1]
-        length += goes_on
-        # Equal suffixes so far have one number; with the next word, or none, they are told apart.
-        joined = (key << 32) | np.where(goes_on, padded[starts + d], 0)
-        key = np.unique(joined, return_inverse=True)[1]
-    _, first, n = np.unique(key, return_index=True, return_counts=True)
-    ends = starts[first] + length[first]
-    return {
-        b" ".join(words[s:e]) + b" ": c
-        for s, e, c in zip(starts[first].tolist(), ends.tolist(), n.tolist(), strict=True)
-    }
+def _block_maker(frequent, pairs, prefixes: Prefixes, longest: int):
+    """Blocks of counted suffixes, one per language and group, whenever a task holds enough of them."""
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _Suffixes(frequent.value, pairs.value, longest)
+        kept: dict[tuple[str, int, int], dict[bytes, int]] = {}
+        size = 0
+        for lang, words in _chunks(batches):
+            found.of(lang, words)
+            first, n = found.distinct()
+            depth, part = prefixes.groups(found.pair[first], [later[first] for later in found.later])
+            ends = found.starts[first] + found.length[first]
+            rows = zip(depth.tolist(), part.tolist(), found.starts[first].tolist(), ends.tolist(), n.tolist(), strict=True)
+            for d, p, start, end, count in rows:
+                own = kept.get((lang, d, p))
+                if own is None:
+                    own = kept[lang, d, p] = {}
+                # Every word ends with a blank: a suffix is a prefix of another just as its bytes are.
+                suffix = b" ".join(words[start:end]) + b" "
+                before = own.get(suffix)
+                own[suffix] = count + (before or 0)
+                size += before is None
+            if size > KEPT_ENTRIES:
+                yield from _blocks(kept)
+                kept, size = {}, 0
+        yield from _blocks(kept)
+
+    return make
+
+
+def _blocks(kept: dict[tuple[str, int, int], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+    for (lang, depth, part), found in kept.items():
+        counts = np.fromiter(found.values(), np.int64, len(found))
+        row = {"lang": [lang], "depth": [depth], "part": [part]}
+        row |= {"suffixes": [_BREAK.join(found)], "counts": [counts.tobytes()]}
+        yield pa.RecordBatch.from_pydict(row, _BLOCK)
+
+
+_BLOCK = pa.schema(
+    [("lang", pa.string()), ("depth", pa.int32()), ("part", pa.int64()), ("suffixes", pa.binary()), ("counts", pa.binary())]
+)
+_BLOCK_DDL = "lang string, depth int, part long, suffixes binary, counts binary"
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -275,68 +380,75 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def counted_suffixes(texts: DataFrame, frequent_words: DataFrame, min_count: int, longest: int) -> DataFrame:
-    """``lang, suffix, n``: the suffixes that may hold frequent phrases."""
-    context = texts.sparkSession.sparkContext
-    hashes = stage(frequent_words.select("lang", "word").mapInArrow(_word_hashes, "hash long"), "phrase-words")
-    words = context.broadcast(build_filter(hashes, "hash"))
-    pairs = texts.mapInArrow(_pair_counter(words), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    pairs = stage(pairs.where(F.col("n") >= min_count).select("hash"), "phrase-pairs")
-    linked = context.broadcast(build_filter(pairs, "hash"))
-    found = texts.mapInArrow(_suffix_counter(words, linked, longest), "lang string, suffix string, n long")
-    return found.groupBy("lang", "suffix").agg(F.sum("n").alias("n"))
+def _hash_counts(texts: DataFrame, counter) -> DataFrame:
+    return texts.mapInArrow(counter, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
 # --- groups and their subtrees ---
 
 
-def with_groups(suffixes: DataFrame, longest: int, budget: int) -> DataFrame:
-    """``suffixes`` with ``depth``, the words of the prefix that a suffix belongs to, and
-    ``part``, the number of the prefix's group. A group has at most ``budget`` bytes of suffixes, and those of one
-    prefix more; a prefix has more than that only where it has all words."""
-    sized = suffixes.withColumn("bytes", F.octet_length("suffix") + 16)
+def _sorted_hashes(df: DataFrame) -> np.ndarray:
+    return np.sort(df.select("hash").toArrow()["hash"].to_numpy())
+
+
+def grouped_prefixes(texts: DataFrame, frequent, pairs, counts: DataFrame, longest: int, budget: int) -> Prefixes:
+    """Deal the prefixes of ``counts(hash, n)``, of two words, to groups of at most ``budget`` suffixes and
+    those of one prefix more; prefixes with more than the budget are extended as far as they have words."""
+    total = counts.agg(F.sum("n").alias("n")).first().n or 0
+    budget = max(budget, total // MAX_GROUPS)
+    prefixes = Prefixes()
+    for depth in range(2, longest + 1):
+        placed = numbered(
+            counts.withColumn("all", F.lit(0)), ["all"], ["hash"], f"phrase-order-{depth}", weight=F.col("n")
+        )
+        groups = placed.groupBy(F.expr(f"pos div {budget}").alias("part")).agg(F.min("hash").alias("hash"))
+        # At most total / budget prefixes are above the budget, and as many groups are full.
+        above = counts.where(F.col("n") > budget) if depth < longest else counts.limit(0)
+        extended = _sorted_hashes(above)
+        prefixes = Prefixes((*prefixes.extended, extended), (*prefixes.starts, _sorted_hashes(groups)))
+        if not len(extended):
+            break
+        counts = stage(
+            _hash_counts(texts, _prefix_counter(frequent, pairs, prefixes, longest)), f"phrase-prefixes-{depth + 1}"
+        )
+    return prefixes
 
-    def prefix(depth: Column | int) -> Column:
-        return F.substring_index("suffix", " ", depth)
 
-    depths = sized.withColumn("depth", F.lit(2))
-    for depth in range(2, longest):
-        own = depths.where(F.col("depth") == depth).groupBy("lang", prefix(depth).alias("prefix"))
-        heavy = own.agg(F.sum("bytes").alias("size")).where(F.col("size") > budget).select("lang", "prefix")
-        heavy = stage(heavy, f"phrase-heavy-{depth}")
-        if heavy.isEmpty():
-            break
-        marked = heavy.withColumn("heavy", F.lit(True))
-        depths = depths.withColumn("prefix", prefix(depth)).join(marked, ["lang", "prefix"], "left")
-        longer = F.col("heavy").isNotNull() & (F.col("depth") == depth)
-        depths = depths.withColumn("depth", F.when(longer, depth + 1).otherwise(F.col("depth")))
-        depths = stage(depths.drop("prefix", "heavy"), f"phrase-depth-{depth}")
-    # substring_index takes its count as a column only in SQL.
-    named = depths.withColumn("prefix", F.expr("substring_index(suffix, ' ', depth)"))
-    sizes = stage(named.groupBy("lang", "prefix", "depth").agg(F.sum("bytes").alias("size")), "phrase-prefixes")
-    placed = numbered(
-        sizes.withColumn("all", F.lit(0)), ["all"], ["lang", "prefix", "depth"], "phrase-order", weight=F.col("size")
-    )
-    parts = placed.select("lang", "prefix", "depth", F.expr(f"pos div {budget}").alias("part"))
-    return named.join(parts, ["lang", "prefix", "depth"]).select("lang", "suffix", "n", "depth", "part")
+def suffix_blocks(texts: DataFrame, frequent_words: DataFrame, min_count: int, longest: int, budget: int) -> DataFrame:
+    """``lang, depth, part, suffixes, counts``: what each group's subtree is built from. ``depth`` is the number
+    of words of the prefixes in the group."""
+    context = texts.sparkSession.sparkContext
+    hashes = stage(frequent_words.select("lang", "word").mapInArrow(_word_hashes, "hash long"), "phrase-words")
+    words = context.broadcast(build_filter(hashes, "hash"))
+    counts = _hash_counts(texts, _pair_counter(words)).where(F.col("n") >= min_count)
+    counts = stage(counts, "phrase-pairs")
+    pairs = context.broadcast(build_filter(counts.select("hash"), "hash"))
+    prefixes = grouped_prefixes(texts, words, pairs, counts, longest, budget)
+    return texts.mapInArrow(_block_maker(words, pairs, prefixes, longest), _BLOCK_DDL)
+
+
+def _leaves(rows: pd.DataFrame) -> dict[str, dict[bytes, int]]:
+    """Counted suffixes per language of all blocks of a group."""
+    found: dict[str, dict[bytes, int]] = {}
+    for lang, suffixes, counts in zip(rows["lang"], rows["suffixes"], rows["counts"], strict=True):
+        own = found.setdefault(lang, {})
+        for suffix, n in zip(suffixes.split(_BREAK), np.frombuffer(counts, np.int64).tolist(), strict=True):
+            own[suffix] = own.get(suffix, 0) + n
+    return found
 
 
 def _subtree(min_count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Nodes of two words and more of a group's subtree, with the sums of their leaves."""
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [s.encode() for s in rows["suffix"]]
-        order = sorted(range(len(keys)), key=lambda i: (langs[i], keys[i])) if (langs := rows["lang"].tolist()) else []
-        counts, depths = rows["n"].tolist(), rows["depth"].tolist()
+        depth = int(rows["depth"].iloc[0])
         found: list[tuple[str, str, int, int]] = []
         path: list[bytes] = []  # words from the root to the open node
         totals: list[int] = []
-        lang, depth = None, 0
 
-        def close(keep: int) -> None:
+        def close(keep: int, lang: str) -> None:
             while len(path) > keep:
-                n = totals.pop()
-                words = len(path)
+                n, words = totals.pop(), len(path)
                 # Above an extended prefix other groups hold more leaves.
                 if words >= 2 and (n >= min_count or words < depth):
                     found.append((lang, b" ".join(path).decode(), words, n))
@@ -344,29 +456,26 @@ def _subtree(min_count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                 if totals:
                     totals[-1] += n
 
-        for i in order:
-            words = keys[i].split(b" ")[:-1]
-            same = 0
-            if langs[i] == lang:
-                while same < min(len(path), len(words)) and path[same] == words[same]:
+        for lang, leaves in _leaves(rows).items():
+            for suffix in sorted(leaves):
+                words = suffix.split(b" ")[:-1]
+                same, most = 0, min(len(path), len(words))
+                while same < most and path[same] == words[same]:
                     same += 1
-            close(same)
-            lang, depth = langs[i], depths[i]
-            path.extend(words[same:])
-            totals.extend([0] * (len(words) - same))
-            totals[-1] += counts[i]
-        close(0)
+                close(same, lang)
+                path.extend(words[same:])
+                totals.extend([0] * (len(words) - same))
+                totals[-1] += leaves[suffix]
+            close(0, lang)
         return pd.DataFrame(found, columns=["lang", "phrase", "words", "n"])
 
     return build
 
 
-def phrase_counts(suffixes: DataFrame, min_count: int, longest: int = WORDS, budget: int = GROUP_BYTES) -> DataFrame:
+def phrase_counts(blocks: DataFrame, min_count: int) -> DataFrame:
     """``lang, phrase, words, n`` of all phrases of two words and more that are frequent enough."""
-    grouped = with_groups(suffixes, longest, budget)
-    nodes = grouped.groupBy("part").applyInPandas(
-        _subtree(min_count), "lang string, phrase string, words int, n long"
-    )
+    schema = "lang string, phrase string, words int, n long"
+    nodes = blocks.groupBy("depth", "part").applyInPandas(_subtree(min_count), schema)
     whole = nodes.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
     return whole.where(F.col("n") >= min_count)
 
@@ -426,7 +535,7 @@ def collocations(
     lang: str = "lang",
     min_count: int = MIN_COUNT,
     longest: int = WORDS,
-    budget: int = GROUP_BYTES,
+    budget: int = GROUP_SUFFIXES,
     covered_percent: int = 100,
 ) -> DataFrame:
     """``lang, phrase, words, a, l, r, n, score`` of every collocation: ``a`` occurrences, ``l`` and
@@ -436,10 +545,9 @@ def collocations(
     words = stage(word_counts(texts), "phrase-word-counts")
     totals = stage(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     frequent = words.where(F.col("n") >= min_count)
-    suffixes = stage(counted_suffixes(texts, frequent, min_count, longest), "phrase-suffixes")
+    blocks = suffix_blocks(texts, frequent, min_count, longest, budget)
     single = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), "n")
-    counts = single.unionByName(phrase_counts(suffixes, min_count, longest, budget))
-    counts = stage(counts, "phrase-counts")
+    counts = stage(single.unionByName(phrase_counts(blocks, min_count)), "phrase-counts")
     return scored(counts, totals).join(covered(counts, covered_percent), ["lang", "phrase"], "left_anti")
 
 

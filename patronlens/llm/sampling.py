@@ -17,8 +17,8 @@ def labelled_sample(
 ) -> DataFrame:
     """``doc_id, text, label`` of at most ``rows_per_label`` rows of each label.
 
-    Rows are taken in the order of a hash of their id, from texts of at most ``max_bytes``
-    bytes, so the sample fits into memory whatever the tables hold; labels are a few
+    Rows are taken in the order of a hash of their id, the id, a hash of their text and the text,
+    whatever the partitions, from texts of at most ``max_bytes`` bytes, so the sample fits into memory whatever the tables hold; labels are a few
     classes. Only the fit uses it; scores are computed for all rows. Null labels, ids and
     texts are left out. Twice as many ids are drawn first, since some of them belong to
     longer or missing texts.
@@ -42,10 +42,14 @@ def labelled_sample(
         .drop("_rank")
     )
     texts = docs.where(F.octet_length(text) <= max_bytes).select(doc_id, F.col(text).alias("text"))
+    # An id may have many texts, and equal rows are interchangeable.
+    by_text = Window.partitionBy("label").orderBy(
+        F.pmod(order, F.lit(scale)), order, doc_id, F.xxhash64("text"), "text"
+    )
     # ``drawn`` has 2 * rows_per_label rows per label at most, hence the hint.
     return (
         texts.join(F.broadcast(drawn), doc_id)
-        .withColumn("_rank", rank)
+        .withColumn("_rank", F.row_number().over(by_text))
         .where(F.col("_rank") <= rows_per_label)
         .select(F.col(doc_id).alias("doc_id"), "text", "label")
     )

@@ -16,40 +16,71 @@ def clean(text):
     return [w for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w]
 
 
+OPENS = r"[!-/:-@\[-`{-~¡«»¿‐-‧]"
+COMMON = {w.capitalize() for w in d._COMMON}
+
+
 def template(text):
-    text = regex.sub(r"(?<![^ \t\n\x0b\f\r])[^ \t\n\x0b\f\r0-9]*+[0-9][^ \t\n\x0b\f\r]*+", d.NUMBER, text or "")
-    text = regex.sub(rf"(?<=[\p{{L}}\p{{N}},{d.NUMBER}] )\p{{Lu}}\p{{Ll}}[\p{{L}}\p{{M}}'-]*+", d.NAME, text)
-    words = clean(text)
-    after = [False, *(w == d.NUMBER for w in words)]
-    return [d.UNIT if w in d.UNITS and (len(w) > 1 and w != "in" or n) else w for w, n in zip(words, after)]
+    """Template words, token by token."""
+    found = []
+    for token in re.split(r"[ \t\n\x0b\f\r]+", text or ""):
+        name = regex.fullmatch(rf"({OPENS}{{0,9}})(\p{{Lu}}\p{{Ll}}[\p{{L}}\p{{M}}'’-]*+)(.*)", token)
+        if re.search("[0-9]", token):
+            token = d.NUMBER
+        elif name and name[2] not in COMMON:
+            token = name[1] + d.NAME + name[3]
+        found += clean(token)
+    after = [False, *(w == d.NUMBER for w in found)]
+    return [d.UNIT if w in d.UNITS and (len(w) > 1 and w != "in" or n) else w for w, n in zip(found, after)]
 
 
 def plain_leaks(doc, item):
     """Similarity of an item by comparing all windows of both."""
     doc_t, item_t, doc_p, item_p = template(doc), template(item), clean(doc or ""), clean(item or "")
+    assert len(doc_t) == len(doc_p) and len(item_t) == len(item_p)
     size = d.WINDOW if len(item_t) >= 2 * d.WINDOW - 1 else len(item_t)
     if size < d.WINDOW and len(doc_t) != size or not size:
         return 0.0
-    diagonals = {}
+    marks = (d.NAME, d.NUMBER, d.UNIT)
+    diagonals, with_word = {}, set()
     for i in range(len(doc_t) - size + 1):
         for j in range(len(item_t) - size + 1):
-            if doc_t[i : i + size] == item_t[j : j + size]:
-                places, pairs = diagonals.setdefault(i - j, (set(), set()))
-                places.add(j)
-                marks = (k for k in range(size) if item_t[j + k] in (d.NAME, d.NUMBER, d.UNIT))
-                pairs.update((item_p[j + k], doc_p[i + k]) for k in marks)
+            ours, theirs = doc_t[i : i + size], item_t[j : j + size]
+            literal = doc_p[i : i + size] == item_p[j : j + size]
+            if literal or ours == theirs:
+                slots = [j + k for k in range(size) if item_t[j + k] in marks]
+                diagonals.setdefault(i - j, {})[j] = [(s, item_p[s], doc_p[i - j + s]) for s in slots]
+                if literal or any(w not in marks for w in theirs):
+                    with_word.add(i - j)
     found = set()
-    for places, pairs in diagonals.values():
-        if len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs):
-            found |= places
+    for shift in with_word:
+        hits, votes = diagonals[shift], {}
+        for _, a, b in {s for slots in hits.values() for s in slots}:
+            votes.setdefault(a, []).append(b)
+        usual = {a: max(set(bs), key=lambda b: (bs.count(b), a == b, b)) for a, bs in votes.items()}
+        for j, slots in hits.items():
+            if all(usual[a] == b for _, a, b in slots) or all(a == b for _, a, b in slots):
+                found.add(j)
     return len(found) / (len(item_t) - size + 1)
 
 
+def keyed(spark, docs):
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    return frame.withColumn("doc_key", F.col("doc_id").cast("string"))
+
+
 def leaks(spark, docs, items):
-    docs = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    found = d.find_leaks(docs.withColumn("doc_key", F.col("doc_id").cast("string")), items)
-    return {(int(r.doc_key), r.item_id): r for r in found.collect()}
+    return {(int(r.doc_key), r.item_id): r for r in d.find_leaks(keyed(spark, docs), items).collect()}
+
+
+def agrees(got, docs, items):
+    """Whether exactly the leaks of brute force are found, with their similarities."""
+    want = {(i, j): plain_leaks(doc, item) for i, doc in enumerate(docs) for j, item in enumerate(items)}
+    want = {k: s for k, s in want.items() if s >= 0.8}
+    assert set(got) == set(want)
+    assert all(got[k].similarity == pytest.approx(s) for k, s in want.items())
+    return want
 
 
 QUESTION = "Alice drove 120 km to see Bob in Paris, then 45 km more; how many km did Alice drive in 3 hours?"
@@ -70,13 +101,9 @@ def test_changed_parameters(spark):
         "word " * 30_000 + QUESTION,
     ]
     got = leaks(spark, docs, [QUESTION])
-    assert {k[0] for k in got} >= {0, 1, 3, 10}
+    assert {k[0] for k in got} >= {0, 1, 2, 3, 10}
     assert got[0, 0].changed_slots == 0 and got[1, 0].changed_slots >= 3
-    for i, doc in enumerate(docs):
-        similarity = plain_leaks(doc, QUESTION)
-        assert ((i, 0) in got) == (similarity >= 0.8), (i, similarity)
-        if (i, 0) in got:
-            assert got[i, 0].similarity == pytest.approx(similarity)
+    agrees(got, docs, [QUESTION])
 
 
 @pytest.mark.parametrize("listed", [0, 50_000])
@@ -85,8 +112,8 @@ def test_short_items(spark, listed, monkeypatch):
     items = ["one two three", "a b c d e f", "1 2 3 4 5 6 7 8", "x", None, ""]
     docs = ["one two three", "zero one two three four", "q a b c d e f q", "q q q a b c d e", "9 8 7 6 5 4 3 2", "x", "1"]
     got = leaks(spark, docs, items)
-    want = {(i, j) for i, doc in enumerate(docs) for j, item in enumerate(items) if plain_leaks(doc, item) >= 0.8}
-    assert set(got) == want and (0, 0) in want and (2, 1) in want and (1, 0) not in want
+    want = agrees(got, docs, items)
+    assert (0, 0) in want and (2, 1) in want and (1, 0) not in want
 
 
 @pytest.mark.parametrize("listed", [0, 50_000])
@@ -102,8 +129,7 @@ def test_every_alignment(spark, listed, monkeypatch):
             for low, high in ((0, 0), (1, 0), (0, 1), (1, 1), (2, 3), (3, 2), (0, 5)):
                 docs.append("pad " * shift + " ".join(words[low : len(words) - high]) + " tail of it")
     got = leaks(spark, docs, items)
-    want = {(i, j) for i, doc in enumerate(docs) for j, item in enumerate(items) if plain_leaks(doc, item) >= 0.8}
-    assert set(got) == want and len(want) > 100
+    assert len(agrees(got, docs, items)) > 100
 
 
 def test_whole_table(spark):
@@ -111,14 +137,15 @@ def test_whole_table(spark):
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
     index = {}
     for item in items:
-        t = template(item.text)
-        for j in range(len(t) - 4):
-            index.setdefault(tuple(t[j : j + 5]), set()).add(item.item_id)
+        for words in (template(item.text), clean(item.text)):
+            for j in range(len(words) - 4):
+                index.setdefault(tuple(words[j : j + 5]), set()).add(item.item_id)
     texts = {i.item_id: i.text for i in items}
     want = {}
     for doc in docs:
-        t = template(doc.text)
-        near = set().union(*[index.get(tuple(t[j : j + 5]), set()) for j in range(len(t) - 4)], set())
+        near = set()
+        for words in (template(doc.text), clean(doc.text)):
+            near.update(*[index.get(tuple(words[j : j + 5]), ()) for j in range(len(words) - 4)])
         for item_id in near:
             similarity = plain_leaks(doc.text, texts[item_id])
             if similarity >= 0.8:
@@ -150,27 +177,6 @@ COUNTED = (
 )
 
 
-def plain_majority(doc, item):
-    """Similarity of an item where only windows against the majority mapping do not count."""
-    doc_t, item_t, doc_p, item_p = template(doc), template(item), clean(doc), clean(item)
-    diagonals = {}
-    for i in range(len(doc_t) - 4):
-        for j in range(len(item_t) - 4):
-            if doc_t[i : i + 5] == item_t[j : j + 5]:
-                slots = [j + k for k in range(5) if item_t[j + k] in (d.NAME, d.NUMBER, d.UNIT)]
-                diagonals.setdefault(i - j, {})[j] = [(s, item_p[s], doc_p[i - j + s]) for s in slots]
-    found = set()
-    for shift, hits in diagonals.items():
-        votes = {}
-        for _, a, b in {s for slots in hits.values() for s in slots}:
-            votes.setdefault(a, []).append(b)
-        usual = {a: max(set(bs), key=lambda b: (bs.count(b), a == b, b)) for a, bs in votes.items()}
-        for j, slots in hits.items():
-            if all(usual[a] == b for _, a, b in slots) or all(a == b for _, a, b in slots):
-                found.add(j)
-    return len(found) / (len(item_t) - 4)
-
-
 def test_slots_that_coincide_or_change_once(spark):
     def numbers(*values):
         found = iter(values)
@@ -184,15 +190,9 @@ def test_slots_that_coincide_or_change_once(spark):
         numbers("3", "4", "5", "5") + " tail",
         COUNTED.replace("apples", "plums").replace("baskets", "bags"),
     ]
-    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    frame = frame.withColumn("doc_key", F.col("doc_id").cast("string"))
-    items = spark.createDataFrame([(0, COUNTED)], "item_id long, text string")
-    got = {int(r.doc_key): r for r in d.find_leaks(frame, items, majority=True).collect()}
-    want = {i: plain_majority(doc, COUNTED) for i, doc in enumerate(docs)}
-    assert {0, 1, 2, 3, 4} == set(got) == {i for i, s in want.items() if s >= 0.8}
-    assert all(r.similarity == pytest.approx(want[i]) for i, r in got.items())
-    assert got[0].similarity == 1 and got[0].changed_slots == 3
-    assert not leaks(spark, docs[:3], [COUNTED])
+    got = leaks(spark, docs, [COUNTED])
+    assert {i for i, _ in agrees(got, docs, [COUNTED])} == {0, 1, 2, 3, 4}
+    assert got[0, 0].similarity == 1 and got[0, 0].changed_slots == 3
 
 
 def test_query_and_pipeline_use_the_majority(spark, tmp_path):
@@ -224,16 +224,48 @@ def test_names_at_any_place(spark):
         "",
         None,
     ]
-    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    frame = frame.withColumn("doc_key", F.col("doc_id").cast("string"))
-    items = spark.createDataFrame([(0, NAMED), (1, "Mary sees Tom in Rome")], "item_id long, text string")
-    found = d.find_leaks(frame, items, majority=True, any_place=True).collect()
-    got = {(int(r.doc_key), r.item_id): r for r in found}
-    assert set(got) == {(i, 0) for i in range(8)}
+    items = [NAMED, "Mary sees Tom in Rome"]
+    got = leaks(spark, docs, items)
+    assert set(agrees(got, docs, items)) == {(i, 0) for i in range(8)}
     assert all(r.similarity == 1 for r in got.values())
     assert got[5, 0].changed_slots == got[6, 0].changed_slots == 0 and got[1, 0].changed_slots == 4
-    before = {int(r.doc_key) for r in d.find_leaks(frame, items, majority=True).collect()}
-    assert not before & {2, 5, 6}
+
+
+def test_the_query_finds_copies_that_differ_in_case_blanks_and_names(spark, tmp_path):
+    swapped = NAMED.replace("Mary", "Eve").replace("Tom", "Ben")
+    rows = list(enumerate([NAMED, NAMED.replace(" Mary", "\nMary"), NAMED.upper(), swapped, "nothing of it"]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(5, NAMED)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    found = queries.op6_decontamination(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in found} == {0, 1, 2, 3} and all(r.similarity == 1 for r in found)
+
+
+TABLE = "the sums of the year are 3 4 5 6 7 8 9 10 11 and they close the old book of our small shop"
+
+
+def test_windows_of_placeholders_alone(spark):
+    """They count beside a hit with a word, and say nothing by themselves."""
+    other = TABLE.replace("3 4 5 6 7 8 9 10 11", "13 14 15 16 17 18 19 20 21")
+    numbers = " ".join(map(str, range(3, 40)))
+    swapped = " ".join(map(str, range(50, 90)))
+    docs = [TABLE, other, "x " + TABLE.upper() + " y", numbers, swapped, "see " + swapped + " and the sums of the year"]
+    items = [TABLE, numbers]
+    got = leaks(spark, docs, items)
+    assert set(agrees(got, docs, items)) == {(0, 0), (1, 0), (2, 0), (3, 1)}
+
+
+def test_documents_of_numbers_do_not_multiply(spark):
+    """Documents of numbers against items of numbers meet in no join."""
+    items = [f"item {'abcdefgh'[i % 8]} {i} " + " ".join(str(n * i) for n in range(39)) for i in range(2, 20)]
+    docs = [" ".join(str(n + i) for n in range(400)) for i in range(30)]
+    items_frame = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    windows = d.item_windows(items_frame)
+    words = d.with_template(keyed(spark, docs).withColumn("plain", d.plain_words(F.col("text"))), "text")
+    ours = d._windows_with_slots(words, 5, "doc_at", "doc_values", all_values=True)
+    assert ours.where("open").count() == 30 * 396
+    joined = ours.where("not open").join(windows.where("not open").select("window"), "window")
+    assert joined.count() < 30 * 396
+    assert leaks(spark, docs, items) == {}
 
 
 @pytest.mark.parametrize("listed", [0, 50_000])
@@ -242,11 +274,21 @@ def test_every_alignment_of_mixed_windows(spark, listed, monkeypatch):
     monkeypatch.setattr(d, "LISTED_WINDOWS", listed)
     item = "old farmers Bob see near town 5 while dancing"
     docs = ["pad " * n + item.replace("Bob", "bob").replace("5", "6") + " tail" for n in range(9)]
-    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    frame = frame.withColumn("doc_key", F.col("doc_id").cast("string"))
-    items = spark.createDataFrame([(0, item)], "item_id long, text string")
-    got = {int(r.doc_key): r.similarity for r in d.find_leaks(frame, items, majority=True, any_place=True).collect()}
-    assert got == dict.fromkeys(range(9), 0.8)
+    got = leaks(spark, docs, [item])
+    agrees(got, docs, [item])
+    assert {k[0]: r.similarity for k, r in got.items()} == dict.fromkeys(range(9), 0.8)
+
+
+@pytest.mark.parametrize("listed", [0, 50_000])
+def test_every_alignment_beside_placeholders(spark, listed, monkeypatch):
+    """Items most of whose windows hold placeholders alone."""
+    monkeypatch.setattr(d, "LISTED_WINDOWS", listed)
+    item = "1 2 3 4 5 6 7 8 sum them up"
+    docs = ["pad " * n + item.replace("1 2", "5 9") + " tail" for n in range(6)]
+    docs += ["pad " * n + "21 22 23 24 25 26 27 28 sum them up at once" for n in range(6)]
+    docs += ["pad " * n + "21 22 23 24 25 26 27 28 29 and them up" for n in range(3)]
+    got = leaks(spark, docs, [item])
+    assert {k[0] for k in agrees(got, docs, [item])} >= set(range(6, 12))
 
 
 def test_pipeline_finds_names_at_any_place(spark, tmp_path):

@@ -1,0 +1,167 @@
+import random
+import re
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+from llm_sql import matches_sql
+from pyspark.sql import functions as F
+
+from patronlens.llm import phrases
+
+DDL = "text string, lang string"
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute_force(rows, min_count, percent=100, longest=5):
+    """Every collocation as ``lang, phrase, a, l, r, n, score``, sorted."""
+    counts, totals = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", lowered(text)):
+            words = re.findall("[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for k in range(1, longest + 1):
+                counts.update((lang, tuple(words[i : i + k])) for i in range(len(words) - k + 1))
+    frequent = {key: n for key, n in counts.items() if n >= min_count and len(key[1]) > 1}
+    inner = {}
+    for (lang, words), n in frequent.items():
+        for size in range(2, len(words)):
+            for i in range(len(words) - size + 1):
+                key = (lang, words[i : i + size])
+                inner[key] = max(inner.get(key, 0), n)
+    found = []
+    for (lang, words), a in frequent.items():
+        if 100 * inner.get((lang, words), 0) >= percent * a:
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = counts[lang, words[:k]], counts[lang, words[k:]]
+            cuts.append((1000 * a * totals[lang] // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        found.append((lang, " ".join(words), a, left, right, totals[lang], score))
+    return sorted(found)
+
+
+def mined(df, **options):
+    rows = phrases.collocations(df, **options).collect()
+    return sorted((r.lang, r.phrase, r.a, r.l, r.r, r.n, r.score) for r in rows)
+
+
+def random_rows(seed, n=60):
+    pick = random.Random(seed)
+    words = ["a", "b", "c", "the", "The", "é", "\x01x", "x\x1fy", "Zürich", "東京", "a-b", "0"]
+    marks = [" ", " ", " ", "  ", "\t", " . ", ", ", "\n", "!", "\r\n", " ;: "]
+    rows = []
+    for _ in range(n):
+        size = pick.choice([0, 1, 3, 30])
+        text = "".join(pick.choice(words[: pick.choice([2, 12])]) + pick.choice(marks) for _ in range(size))
+        rows.append((pick.choice([text, text, None, ""]), pick.choice(["en", "de", None, "und", ""])))
+    return rows + rows[:7]
+
+
+@pytest.mark.parametrize(("seed", "min_count", "budget"), [(1, 2, 1), (2, 3, 5), (3, 2, 40), (4, 5, 1 << 20)])
+def test_against_brute_force(spark, seed, min_count, budget):
+    rows = random_rows(seed)
+    df = spark.createDataFrame(rows, DDL).repartition(5)
+    expected = brute_force(rows, min_count)
+    assert expected and mined(df, min_count=min_count, budget=budget) == expected
+
+
+def blocks_of(spark, rows, budget, min_count=2):
+    df = spark.createDataFrame([(t or "", x or "und") for t, x in rows], DDL).repartition(3)
+    words = phrases.word_counts(df).where(F.col("n") >= min_count)
+    return phrases.suffix_blocks(df, words, min_count, 5, budget)
+
+
+def test_prefixes_are_extended_beyond_the_budget(spark):
+    rows = [(f"of the {w} end", "en") for w in ("aa", "bb", "cc") for _ in range(4)] + [("of the", "en")] * 3
+    rows += [("of the aa end of all", "en")] * 5
+    blocks = blocks_of(spark, rows, budget=6).collect()
+    assert {r.depth for r in blocks} >= {2, 3, 4} and len({(r.depth, r.part) for r in blocks}) > 4
+    whole = blocks_of(spark, rows, budget=1000).collect()
+    assert {(r.depth, r.part) for r in whole} == {(2, 0)}
+    for found in (blocks, whole):
+        counts = {}
+        for row in found:
+            for suffix in row.suffixes.split(b"\xff"):
+                counts.setdefault(suffix, set()).add((row.depth, row.part))
+        assert all(len(groups) == 1 for groups in counts.values())
+    for budget in (6, 1000):
+        found = phrases.phrase_counts(blocks_of(spark, rows, budget), 4).collect()
+        counts = {r.phrase: r.n for r in found}
+        assert len(counts) == len(found)
+        assert counts["of the"] == 20 and counts["of the aa"] == counts["of the aa end"] == 9
+        assert counts["the bb end"] == 4 and counts["of the aa end of"] == 5 and counts["end of all"] == 5
+
+
+def test_groups_keep_to_the_budget(spark):
+    rows = random_rows(5, 150)
+    sizes = Counter()
+    for row in blocks_of(spark, rows, budget=30).collect():
+        counts = [int(n) for n in memoryview(row.counts).cast("q")]
+        sizes[row.depth, row.part] += sum(counts)
+    full = [n for (depth, _), n in sizes.items() if depth < 5]
+    assert len(sizes) > 5 and max(full) <= 60
+
+
+def test_a_phrase_inside_a_nearly_as_frequent_one(spark):
+    rows = [("new york city", "en")] * 9 + [("new york", "en")] + [("x y", "en")] * 10
+    df = spark.createDataFrame(rows, DDL)
+    for percent in (100, 90, 91):
+        assert mined(df, min_count=2, covered_percent=percent) == brute_force(rows, 2, percent)
+    assert {r[1] for r in mined(df, min_count=2, covered_percent=90)} == {"new york city", "x y"}
+
+
+def test_products_beyond_64_bits(spark):
+    big = 10**13
+    counts = spark.createDataFrame(
+        [("en", "a", 1, big), ("en", "b", 1, big + 1), ("en", "a b", 2, big - 7)],
+        "lang string, phrase string, words int, n long",
+    )
+    totals = spark.createDataFrame([("en", 10**15 + 3)], "lang string, n long")
+    (row,) = phrases.scored(counts, totals).collect()
+    assert row.score == 1000 * (big - 7) * (10**15 + 3) // (big * (big + 1))
+
+
+def test_rank_and_ties(spark):
+    rows = [("en", f"p{i}", i % 3, 1, 1, 9, i % 5) for i in range(60)]
+    df = spark.createDataFrame(rows, "lang string, phrase string, a long, l long, r long, n long, score long")
+    got = [(r.rank, r.phrase) for r in phrases.strongest(df, top=25, spread=4).orderBy("rank").collect()]
+    best = sorted(rows, key=lambda r: (-r[6], -r[2], r[1].encode()))[:25]
+    assert got == [(i + 1, r[1]) for i, r in enumerate(best)]
+
+
+def test_empty_table_and_clashing_columns(spark):
+    assert mined(spark.createDataFrame([], DDL)) == []
+    assert mined(spark.createDataFrame([(None, "en"), ("", None), (" .\t", "de")], DDL), min_count=1) == []
+    rows = random_rows(8)
+    names = ["phrase", "words", "suffix", "n", "a", "l", "r", "score", "rank", "part", "prefix", "depth", "hash"]
+    wide = spark.createDataFrame(rows, DDL).withColumns({c: F.lit("mine") for c in names})
+    assert mined(wide, min_count=3) == brute_force(rows, 3)
+
+
+def test_long_texts_are_cut_between_pieces():
+    text = b"\xff".join(b"w%d x" % i for i in range(2000))
+    parts = list(phrases._cut(text, 100))
+    assert len(parts) > 50 and b"\xff".join(parts) == text
+    assert list(phrases._cut(b"x" * 500, 100)) == [b"x" * 500]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"], "text": ["A b. " * 500]})
+    found = list(phrases._chunks([batch], limit=64))
+    assert len(found) > 10 and sum(words.count(b"a") for _, words in found) == 500
+
+
+def test_filter_has_no_false_negatives(spark):
+    numbers = [(i * 0x9E3779B97F4A7C15 % (1 << 64)) - (1 << 63) for i in range(3000)]
+    built = phrases.build_filter(spark.createDataFrame([(n,) for n in numbers], "hash long"), "hash")
+    own = pa.array(numbers, pa.int64()).to_numpy().view("uint64")
+    assert built.holds(own).all()
+    assert built.holds(own * 3 + 1).mean() < 0.02
+
+
+def test_query_against_sql(spark):
+    rows = matches_sql(spark, "op13_phrases", "/root/testdata/sf0.01")
+    assert {r.lang for r in rows} >= {"en"} and len(rows) > 20

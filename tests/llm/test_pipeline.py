@@ -3,12 +3,14 @@ import base64
 import public_tokenizers
 import pytest
 import tiktoken
-from test_decontaminate import plain_leaks, template
+from pyspark.sql import functions as F
+from test_decontaminate import clean, plain_leaks, template
 from test_pii import base_spans
 from test_simhash import plain_classes
 
 import corpus_pipeline as pipeline
 from patronlens.llm import quality
+from patronlens.llm.sampling import labelled_sample
 from patronlens.workspace import stage
 
 SF = "/root/testdata/sf0.01"
@@ -57,13 +59,14 @@ def test_decontamination(spark, steps):
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     index = {}
     for item in items:
-        t = template(item)
-        for j in range(len(t) - 4):
-            index.setdefault(tuple(t[j : j + 5]), set()).add(item)
+        for t in (template(item), clean(item)):
+            for j in range(len(t) - 4):
+                index.setdefault(tuple(t[j : j + 5]), set()).add(item)
     leaked = set()
     for k, r in before.items():
-        t = template(r.text)
-        near = set().union(*[index.get(tuple(t[j : j + 5]), set()) for j in range(len(t) - 4)], set())
+        near = set()
+        for t in (template(r.text), clean(r.text)):
+            near.update(*[index.get(tuple(t[j : j + 5]), ()) for j in range(len(t) - 4)])
         if any(plain_leaks(r.text, item) >= 0.8 for item in near):
             leaked.add(k)
     assert leaked and after == {k: r for k, r in before.items() if k not in leaked}
@@ -108,3 +111,34 @@ def test_odd_rows(spark, tmp_path):
     assert docs.count() == len(found) and None not in found
     assert 1 in found and found[4].text == "call [EMAIL] now" and found[4].n_chars == 16
     assert len(found.keys() & {2, 3}) <= 1
+
+
+def test_no_stage_touches_extra_columns(spark):
+    """Extra columns with the names that stages and operators make pass the first four stages."""
+    names = (
+        "keep expected_grade tail_probability _row row order rest doc_key pii_spans pii_sure pii_candidates label "
+        "fingerprint component_id words plain item_id windows similarity _rank seg none"
+    ).split()
+    good = "The quick brown fox jumps over the lazy dog and runs away into the deep green forest again."
+    rows = [(i, f"{good} number {'abcdefgh'[i] * 9} {'xyzuvwrt'[i] * 7} mail a{i}@b.cd", "en", "s", 1) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    docs = docs.withColumns({c: F.concat(F.lit(f"mine {c} "), "doc_id") for c in names})
+    count = docs.count()
+    for name, apply in pipeline.STAGES[:-1]:
+        docs = stage(apply(spark, docs, "/root/testdata/sf0.001"), name)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+        assert docs.schema["n_chars"].dataType.simpleString() == "int"
+        found = docs.collect()
+        assert 0 < len(found) <= count
+        assert all(r[c] == f"mine {c} {r.doc_id}" for r in found for c in names), name
+    assert all("[EMAIL]" in r.text and r.n_chars == len(r.text) for r in found)
+
+
+def test_sample_is_the_same_under_any_partitioning(spark):
+    docs = spark.range(4000).selectExpr("id % 10 as doc_id", "concat('text ', id div 10) as text")
+    labels = spark.range(10).selectExpr("id as doc_id", "id % 2 as toxic")
+    taken = [
+        sorted(tuple(r) for r in labelled_sample(docs.repartition(n, "text"), labels, "toxic", 300, 100).collect())
+        for n in (1, 7)
+    ]
+    assert taken[0] == taken[1] and len(taken[0]) == 600
