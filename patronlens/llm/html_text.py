@@ -2,20 +2,24 @@
 
 Markup is stripped so that every block of a page becomes a line. Lines have a weight: the
 length of their text outside links. Boilerplate (menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts) weighs nothing, and where a page declares its article
-only lines inside it have weight; there a class name marks boilerplate only if it says nothing
-else, and never on headings, paragraphs, sections and inline elements. Weights are summed over windows of lines; the main text
-reaches from the first surge, where the sums rise above a threshold, to the last dive, where
-they fall below it. The threshold is a fixed share of a window of the page's usual lines, so
-short articles are found as well as long ones and one huge paragraph does not hide the
-others; it is zero where the article is declared.
+adverts, forms, comments, scripts) weighs nothing. Where a page declares its article, a line inside
+weighs ``DECLARED`` times as much, and at least as a usual line of the page does; there a class
+name marks boilerplate only if it says nothing else, and never on headings, paragraphs, sections
+and inline elements. Weights are summed over windows of lines; the main text reaches from the first
+surge, where the sums rise above a threshold, to the last dive, where they fall below it. The
+threshold is a fixed share of a window of the page's usual lines, so short articles are
+found as well as long ones and one huge paragraph does not hide the others. Where most lines are
+declared they set the threshold, and lines beside them must reach it by themselves; a short teaser
+that is declared does not hide a long text that is not.
 
 Text is whole: character references are decoded, white space within a block becomes one
-blank, blocks are joined by a line feed, nothing else is cut. Null and empty pages give
-an empty text. Malformed markup never fails: an element that is not closed ends with the
-page, except that boilerplate without an end stops at the next article, heading or paragraph,
-a head at the first tag or text of the body, and of buttons, lists of options, embedded and
-replaced elements without an end only the tag goes.
+blank, blocks are joined by a line feed, nothing else is cut. Tags are read as browsers do: a quote
+opens a value only right after ``=``, an unquoted value ends at white space or ``>``. Null and
+empty pages give an empty text; repeated pages give equal texts. Malformed markup never fails: an
+element that is not closed ends with the page, except that boilerplate without an end stops at the
+next article, heading or paragraph, a head at the first tag or text of the body, of buttons,
+lists of options, embedded and replaced elements without an end only the tag goes, and a quote
+without an end is a character of a name.
 """
 
 from __future__ import annotations
@@ -34,6 +38,12 @@ from patronlens.llm.textbytes import pieces
 WINDOW = 3
 SURGE_SHARE = 0.2
 FULL_LINE = 100
+DECLARED = 8
+
+#: What stands in a tag after its name.
+_ATTRIBUTES = (
+    r"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+"
+)
 
 #: Elements that hold no text of the page, but do not run to its end when they are not closed.
 _UNSEEN = "noscript|template|svg|iframe|select|button|object"
@@ -60,14 +70,16 @@ _HEAD = (
 )
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>script|style|textarea)\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)"
     rf"|{_HEAD}"
-    rf"|<(?P<unseen>{_UNSEEN})\b(?P<inside>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^>]*+)>"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"|<(?P<unseen>{_UNSEEN})\b(?P<inside>{_ATTRIBUTES})>"
+    rf"|<(?P<close>/?)(?P<name>[a-zA-Z][\w:-]*+)(?P<rest>{_ATTRIBUTES})>"
     r"|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"([\w:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(
+    r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+)))?+"
+)
 
 #: Element names and words in class names that mark boilerplate.
 INLINE = frozenset(
@@ -253,9 +265,25 @@ def _usual(weights: list[int]) -> int:
     half, at = sum(min(w, FULL_LINE) for w in ordered) / 2, 0
     for w in ordered:
         at += min(w, FULL_LINE)
-        if at >= half:
+        if at > half:
             return w
-    return 0
+    return ordered[-1] if ordered else 0
+
+
+def _sums(weights: list[int], window: int) -> tuple[list[int], list[int]]:
+    """Running totals, and the sum of the window that begins at each line."""
+    total = [0]
+    for w in weights:
+        total.append(total[-1] + w)
+    n = len(weights)
+    return total, [total[min(n, i + window)] - total[i] for i in range(n)]
+
+
+def threshold(weights: list[int], share: float, window: int, joined: bool) -> float:
+    """What a window sum must exceed: ``share`` of the highest one or, ``joined``, of that of usual lines
+    where it is lower."""
+    highest = max(_sums(weights, window)[1], default=0)
+    return share * (min(highest, window * _usual(weights)) if joined else highest)
 
 
 def surge_and_dive(
@@ -265,12 +293,8 @@ def surge_and_dive(
     ``share`` of the highest; (0, 0) if there is no weight at all. ``joined`` asks for all from
     the first stretch to the last, above ``share`` of a window of usual lines."""
     n = len(weights)
-    total = [0]
-    for w in weights:
-        total.append(total[-1] + w)
-    sums = [total[min(n, i + window)] - total[i] for i in range(n)]
-    highest = max(sums, default=0)
-    least = share * (min(highest, window * _usual(weights)) if joined else highest)
+    total, sums = _sums(weights, window)
+    least = threshold(weights, share, window, joined)
     best, start = (0, 0, 0), None
     first: int | None = None
     for i in range(n + 1):
@@ -289,17 +313,37 @@ def surge_and_dive(
     return best[1], best[2]
 
 
+def weights_of(found: list[Line]) -> list[int]:
+    """Weights of the lines of a page; those of a declared article are raised."""
+    if not any(line.article for line in found):
+        return [line.weight for line in found]
+    # Links inside an article are text.
+    own = [len(line.text) if line.article else line.weight for line in found]
+    least = _usual(own)
+    return [DECLARED * max(w, least) if line.article else w for w, line in zip(own, found, strict=True)]
+
+
+def _dense(weights: list[int], least: float, window: int = WINDOW) -> list[bool]:
+    """Which lines lie in a window whose sum is above ``least``, between its first and its last weight."""
+    found = [False] * len(weights)
+    for i in range(len(weights)):
+        held = [j for j in range(i, min(len(weights), i + window)) if weights[j]]
+        if sum(weights[j] for j in held) > least:
+            found[held[0] : held[-1] + 1] = [True] * (held[-1] + 1 - held[0])
+    return found
+
+
 def main_text(page: str | None) -> str:
-    """Main text of one page, empty if it has none."""
+    """Main text of one page, empty if it has none. Beside a declared article a line is kept only
+    where lines outside the article reach the threshold by themselves."""
     found = [line for line in lines(page or "") if not line.boilerplate]
-    declared = any(line.article for line in found)
-    if declared:
-        # Only lines of the declared article have weight; links inside it are text.
-        weights = [len(line.text) if line.article else 0 for line in found]
-    else:
-        weights = [line.weight for line in found]
-    low, high = surge_and_dive(weights, 0 if declared else SURGE_SHARE, joined=True)
-    return "\n".join(line.text for line in found[low:high] if line.article or not declared)
+    weights = weights_of(found)
+    low, high = surge_and_dive(weights, joined=True)
+    if any(line.article for line in found):
+        others = [0 if line.article else w for line, w in zip(found, weights, strict=True)]
+        dense = _dense(others, threshold(weights, SURGE_SHARE, WINDOW, joined=True))
+        return "\n".join(found[i].text for i in range(low, high) if found[i].article or dense[i])
+    return "\n".join(line.text for line in found[low:high])
 
 
 def extract(df: DataFrame, page: str = "html") -> DataFrame:

@@ -106,8 +106,8 @@ def test_frames(spark):
 @pytest.mark.parametrize(
     ("page", "weights", "want"),
     [
-        ("<p>head</p><article><h1>T</h1><p>a <a href=1>b</a></p></article><p>" + LONG, [0, 1, 3, 0], "T\na b"),
-        ("<article>a</article>" + "<p>x</p>" * 4 + "<article>bcd</article>", [1, 0, 0, 0, 0, 3], "a\nbcd"),
+        ("<p>head</p><article><h1>T</h1><p>a <a href=1>b</a></p></article><p>" + LONG, [3, 3, 3, 3], "T\na b"),
+        ("<article>a</article>" + "<p>x</p>" * 4 + "<article>bcd</article>", [3, 1, 1, 1, 1, 3], "a\nbcd"),
         ("<p>one</p>", [3], "one"),
     ],
 )
@@ -214,3 +214,33 @@ def test_class_names_inside_an_article(name, inside, want):
 def test_class_names_beside_an_article():
     page = "<main><article><div class='related'>x</div></article><div class='related'>no</div></main>"
     assert main_text(page) == "x"
+
+
+PARAGRAPHS = "".join(f"<p>{'word ' * 60}</p>" for _ in range(10))
+
+
+def test_a_declared_teaser_does_not_hide_the_text():
+    """The windows decide: ten long paragraphs stay although a short article is declared before them."""
+    text = main_text(f"<article>Top story</article><div>{PARAGRAPHS}</div><footer>no</footer>")
+    assert text.split("\n") == ["Top story", *["word " * 59 + "word"] * 10]
+    assert main_text(f"<article>{PARAGRAPHS}</article><div>" + "<p>beside it</p>" * 3 + "</div>").count("\n") == 9
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<article><a title=it's href=x>link</a><p>two</p><p>don't</p></article>", "link\ntwo\ndon't"),
+        ('<article><p>x</p><img alt="5" screen"><p>y</p></article>', "x\ny"),
+        ('<article><p>x</p><p title="a>two</p></article>', "x\ntwo"),
+        ('<article><p title="a>b">x</p><p title=\'a>b\' b>y</p></article>', "x\ny"),
+        ("<article><p a = b/c>x</p><br/><p a=>y</p></article>", "x\ny"),
+        ('<article><script data-x="a>b">no</script><p =x>y</p></article>', "y"),
+    ],
+)
+def test_attributes_as_browsers_read_them(page, want):
+    assert main_text(page) == want
+
+
+def test_many_quotes_take_no_time():
+    page = "<article>" + "<p a=\"b' c='d\" e>x</p>" * 3000 + "<p " + "a='\"" * 20_000 + "</article>"
+    assert main_text(page).count("x") >= 3000
