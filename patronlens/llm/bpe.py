@@ -6,10 +6,13 @@ last merge of each token when its own bytes are merged by rank. Within a longer
 piece the bytes of a token merge in the same order, hence no other split ever makes it.
 
 A blank before a non-blank always starts a match of the pattern, so texts are first
-split there. Each word is cut by the pattern and encoded once while it stays in a
-cache of two generations, whose size never changes a result.
+split there. Each word of at most ``CACHED_BYTES`` bytes is cut by the pattern and encoded once
+while it stays in a cache of two generations, each of at most ``CACHE_BYTES``; longer words, such as
+texts without blanks, are never kept. The cache never changes a result. Batches are worked off in
+pieces of about ``BATCH_BYTES`` bytes of text.
 
-Null and empty texts have no tokens. Columns of the input stay; an input column of the
+Null and empty texts have no tokens. Texts of any length are encoded whole; repeated rows give equal
+rows; an empty table gives none. Columns of the input stay; an input column of the
 same name as an output column is replaced.
 """
 
@@ -27,8 +30,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_WORDS = 120_000
+from patronlens.llm.textbytes import pieces
+
+CACHED_BYTES = 64
+CACHE_BYTES = 24 << 20
+_ENTRY_BYTES = 280  # of the objects of one entry, besides their contents
 BATCH_ROWS = 256
+BATCH_BYTES = 1 << 20
 
 Encoded = tuple[str, bytes]
 
@@ -89,6 +97,7 @@ class ByteBpe:
         self._even = re.compile(r" (?=\S)")
         self._recent: dict[str, Encoded] = {}
         self._older: dict[str, Encoded] = {}
+        self._recent_bytes = 0
 
     def _encode_part(self, part: str) -> Encoded:
         """Ids as text and the bytes that they decode to, for a text cut by the pattern."""
@@ -105,11 +114,23 @@ class ByteBpe:
     def _known(self, word: str) -> Encoded:
         """The encoding of a blank and ``word`` when it is not among the recent ones."""
         found = self._older.get(word) or self._encode_part(" " + word)
-        if len(self._recent) >= CACHE_WORDS:
-            self._older, self._recent = self._recent, {}
-        self._recent[word] = found
+        if len(word) > CACHED_BYTES or len(found[1]) > CACHED_BYTES + 1:
+            return found
+        if self._recent_bytes >= CACHE_BYTES:
+            self._older, self._recent, self._recent_bytes = self._recent, {}, 0
+        if word not in self._recent:
+            self._recent[word] = found
+            self._recent_bytes += _ENTRY_BYTES + 4 * len(word) + len(found[0]) + len(found[1])
         return found
 
+    def cached_bytes(self) -> int:
+        """About what both generations of the cache hold."""
+        return sum(
+            _ENTRY_BYTES + 4 * len(word) + len(ids) + len(decoded)
+            for kept in (self._recent, self._older)
+            for word, (ids, decoded) in kept.items()
+        )
+
     def _encoded(self, text: str) -> list[Encoded]:
         """The encodings of the parts of a non-empty text, in order."""
         first, *words = self._even.split(text) if self._uneven.search(text) else text.split(" ")
@@ -158,7 +179,15 @@ def _shared(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
-def _with_columns(df: DataFrame, fields: list[T.StructField], per_batch) -> DataFrame:
+def _parts(batch: pa.RecordBatch, text: str | None) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, cut by bytes of text where there is one."""
+    whole = [batch] if text is None else pieces(batch, text, BATCH_BYTES)
+    for part in whole:
+        for low in range(0, part.num_rows, BATCH_ROWS):
+            yield part.slice(low, BATCH_ROWS)
+
+
+def _with_columns(df: DataFrame, fields: list[T.StructField], per_batch, text: str | None = None) -> DataFrame:
     """Append columns made by ``per_batch(record batch) -> list of Arrow arrays``."""
     names = {f.name.lower() for f in fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in names]
@@ -167,8 +196,7 @@ def _with_columns(df: DataFrame, fields: list[T.StructField], per_batch) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = [i for i, name in enumerate(source) if name.lower() not in names]
         for batch in batches:
-            for low in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(low, BATCH_ROWS)
+            for part in _parts(batch, text):
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in keep), *per_batch(part)],
                     names=[*(f.name for f in kept), *(f.name for f in fields)],
@@ -191,7 +219,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
         T.StructField("token_ids", T.ArrayType(T.IntegerType())),
         T.StructField("token_ends", T.ArrayType(T.LongType())),
     ]
-    return _with_columns(df, fields, columns)
+    return _with_columns(df, fields, columns, text)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids") -> DataFrame:
@@ -222,7 +250,7 @@ def encode_checked(df: DataFrame, path: str, pattern: str, text: str = "text") -
         T.StructField("n_tokens", T.LongType()),
         T.StructField("round_trip", T.BooleanType()),
     ]
-    return _with_columns(df, fields, columns)
+    return _with_columns(df, fields, columns, text)
 
 
 def digest(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -245,4 +273,4 @@ def digest(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
         T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType()),
     ]
-    return _with_columns(df, fields, columns).drop(text)
+    return _with_columns(df, fields, columns, text).drop(text)

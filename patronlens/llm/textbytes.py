@@ -123,7 +123,7 @@ def text_batch(texts: pa.Array) -> TextBatch:
 def pieces(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a record batch into parts of about ``limit`` bytes of text; a longer text is a
     part of its own. Memory per step then follows the longest text, not the batch."""
-    sizes = np.diff(text_batch(batch.column(column)).offsets)
+    sizes = np.diff(text_batch(batch.column(batch.schema.names.index(column))).offsets)
     part = np.cumsum(sizes) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for low, high in zip(cuts, cuts[1:], strict=False):

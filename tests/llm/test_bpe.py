@@ -47,7 +47,7 @@ def test_long_runs(coder, reference, text):
 
 
 def test_cache_size_never_matters(coder, reference, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 900)
     text = " ".join(f"word{i % 7} and{i}" for i in range(60))
     assert coder.encode(text) == reference.encode_ordinary(text)
 
@@ -74,3 +74,38 @@ def test_frames(spark, reference):
         assert digests[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert digests[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
     assert bpe.digest(df.where(F.lit(False)), PATH, PATTERN).count() == 0
+
+
+def test_texts_without_blanks_do_not_fill_the_cache(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 200_000)
+    own = bpe.ByteBpe(bpe.read_ranks(PATH), PATTERN)
+    for i in range(5000):
+        own.encode(f"x{i}" + "\u4e2d\u6587" * 300 + f" QUJD{i}" * 3 + " " + f"{i:x}" * 40)
+    assert own.cached_bytes() < 2 * 200_000 + 2000
+    assert own.cached_bytes() == sum(map(len_of, ((w, e) for kept in (own._recent, own._older) for w, e in kept.items())))
+
+
+def len_of(entry):
+    word, (ids, decoded) = entry
+    return bpe._ENTRY_BYTES + 4 * len(word) + len(ids) + len(decoded)
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 700_000, "b" * 700_000, None, "c"], "n": [1, 2, 3, 4]})
+    parts = list(bpe._parts(batch, "text"))
+    assert [p.num_rows for p in parts] == [1, 3] and sum(p.num_rows for p in bpe._parts(batch, None)) == 4
+
+
+def test_whole_table_against_the_second_library(spark, reference):
+    from patronlens.llm import queries
+
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    rows = queries.op1_byte_bpe(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        ids = reference.encode_ordinary(docs[r.doc_id] or "")
+        listed = ",".join(map(str, ids))
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(listed.encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256((docs[r.doc_id] or "").encode()).hexdigest()
