@@ -46,7 +46,9 @@ BITS = 18
 SPAN_PROBABILITY = 0.5
 _STEPS = 40
 _CHUNK = 512
-_SKETCH = 8
+_SKETCH = 64
+SHINGLE_WORDS = 5
+COPY_SIMILARITY = 0.8
 _MIN_TOXIC, _MIN_TOXIC_SHARE, _MIN_RATIO = 5, 0.02, 15.0
 _PREFIXES, _SUFFIXES = (3, 4, 5, 6, 7, 8), (3, 4)
 KINDS = 1 + len(_PREFIXES) + len(_SUFFIXES)
@@ -258,26 +260,44 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(summaries(inside, first) @ self.calibration, -30, 30)))
 
 
+def _shingles(words: np.ndarray) -> np.ndarray:
+    """Distinct hashes of each ``SHINGLE_WORDS`` words, or of all words of a shorter text."""
+    length = min(SHINGLE_WORDS, len(words))
+    starts = np.arange(len(words) - length + 1 if length else 0)
+    return np.unique(mix(SliceHashes(words).of(starts, starts + length)))
+
+
 def without_copies(features: np.ndarray, first: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Which sample rows to learn from: of near copies with the same label only the first.
 
-    A text copied often would make all its words look typical of its label. Two texts count
-    as copies if half of their ``_SKETCH`` smallest word hashes agree.
+    A text copied often would make all its words look typical of its label. Two texts are copies
+    if ``COPY_SIMILARITY`` of their shingles agree. Rows that share half of their ``_SKETCH``
+    smallest shingles are looked at, and compared by all of them; the sample is bounded.
     """
     seen: dict[tuple[int, int], list[int]] = {}
-    keep = np.ones(len(toxic), bool)
+    kept: dict[int, np.ndarray] = {}
     words = mix(features[0].astype(np.uint64))
     for row, (low, high) in enumerate(zip(first, first[1:], strict=False)):
-        sketch = np.unique(words[low:high])[:_SKETCH].tolist()
-        before = Counter(r for w in sketch for r in seen.get((int(toxic[row]), w), ()))
-        if before and 2 * before.most_common(1)[0][1] >= len(sketch):
-            keep[row] = False
-        else:
-            for w in sketch:
-                seen.setdefault((int(toxic[row]), w), []).append(row)
+        own, label = _shingles(words[low:high]), int(toxic[row])
+        sketch = own[:_SKETCH].tolist()
+        shared = Counter(r for s in sketch for r in seen.get((label, s), ()))
+        near = (kept[r] for r, n in shared.most_common() if 2 * n >= len(sketch))
+        if any(_similarity(own, other) >= COPY_SIMILARITY for other in near):
+            continue
+        kept[row] = own
+        for s in sketch:
+            seen.setdefault((label, s), []).append(row)
+    keep = np.zeros(len(toxic), bool)
+    keep[list(kept)] = True
     return keep
 
 
+def _similarity(one: np.ndarray, other: np.ndarray) -> float:
+    """Jaccard similarity of two arrays of distinct values."""
+    both = len(np.intersect1d(one, other, assume_unique=True))
+    return both / max(1, len(one) + len(other) - both)
+
+
 def fit_model(texts: pa.Array, toxic: np.ndarray, prior: float | None = None) -> ToxicityModel:
     """Fit tagger and calibration; ``prior`` is the share of toxic labels outside the sample."""
     share = float(toxic.mean()) if len(toxic) else 0.0

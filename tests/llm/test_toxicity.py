@@ -94,3 +94,25 @@ def test_parts_of_a_batch_do_not_matter():
     for text, score in zip(texts, together):
         alone, own = model.tokens(text_batch(pa.array([text])))
         assert np.isclose(model.scores(own, alone.first)[0], score)
+
+
+def test_only_near_copies_are_left_out_of_the_sample():
+    import random
+
+    from patronlens.llm.textbytes import text_batch
+    from patronlens.llm.toxicity import token_features, without_copies
+
+    pick = random.Random(4)
+    common = [f"w{i}" for i in range(300)]
+    own = lambda: [pick.choice(common) for _ in range(400)]
+    texts = [own() for _ in range(60)]
+    near = [[*t[:390], "other", *t[391:]] for t in texts[:20]]
+    half = [[*t[:200], *own()[:200]] for t in texts[20:40]]
+    every = [" ".join(t) for t in (*texts, *near, *half)] + ["one two", "one two", "", "", "one"]
+    tokens, features = token_features(text_batch(pa.array(every)))
+    kept = without_copies(features, tokens.first, np.zeros(len(every), np.int64))
+    assert kept[:60].all() and not kept[60:80].any() and kept[80:100].all()
+    assert kept[100:].tolist() == [True, False, True, True, True]
+    labels = np.zeros(len(every), np.int64)
+    labels[60:80] = 1
+    assert without_copies(features, tokens.first, labels)[60:80].all()
