@@ -60,16 +60,20 @@ select customer_id, score_date, model_run_id, ltv_score, churn_score, churn_risk
  coalesce(anomaly_flag, false) anomaly_flag, anomaly_detail, scored_at, {RUN} _run_date from {source} where score_date = {RUN}"""
 
 
+def _accepted_raw(table: str) -> str:
+    """Raw rows that the loader takes: orders without a customer break a not-null rule."""
+    return f"raw_{table}" + (" where customer_id is not null" if table == "orders" else "")
+
+
 def _checksum_sql(table: str, keys: tuple[str, ...]) -> str:
     """Row count and order-free checksum of each column of the newest versions of a raw table."""
-    where = " where customer_id is not null" if table == "orders" else ""
     columns = [c.split()[0] for c in RAW_DDL[table].split(", ")]
     sums = ", ".join(
         f"struct_pack(c := '{c}', s := sum(cast('0x' || substr(md5(coalesce(cast({c} as varchar), '')), 1, 8) as bigint)))"
         for c in columns
     )
     newest = (
-        f"select * from raw_{table}{where} qualify row_number() over "
+        f"select * from {_accepted_raw(table)} qualify row_number() over "
         f"(partition by {', '.join(keys)} order by _ingested_at desc) = 1"
     )
     return (
@@ -79,7 +83,8 @@ def _checksum_sql(table: str, keys: tuple[str, ...]) -> str:
 
 
 def _rejects_sql() -> str:
-    """Rows of the faulty raw tables that break a declared not-null or range rule, or a shared email."""
+    """Rows of the faulty raw tables that break a declared not-null or range rule, or a shared email. In
+    the second batch: rows whose email is stored under another customer."""
     optional = {"tickets": {"resolved_at"}}
     ranges = {
         "order_items": [("quantity", "positive", "quantity > 0"), ("unit_price_usd", "not_negative", "unit_price_usd >= 0")],
@@ -100,13 +105,34 @@ def _rejects_sql() -> str:
             found.append(("email", "unique", f"customer_id <> {owner}"))
         for column, rule, broken in found:
             selects.append(
-                f"select '{table}' table_name, '{column}' failing_column, '{rule}' failing_expectation, "
+                f"select 1 batch, '{table}' table_name, '{column}' failing_column, '{rule}' failing_expectation, "
                 f"cast(to_json(list(k order by k)) as varchar) sample_failing_rows from (select distinct {key} k "
                 f"from fraw_{table} where {broken} order by 1 limit 20) having count(*) > 0"
             )
+    owners = "select email, min(customer_id) owner from fraw_customers where email is not null group by 1"
+    again = "select customer_id, email from fraw_customers where acquisition_channel = 'direct'"
+    selects.append(
+        "select 2 batch, 'customers' table_name, 'email' failing_column, 'unique' failing_expectation, "
+        "cast(to_json(list(k order by k)) as varchar) sample_failing_rows from (select distinct k from ("
+        f"select customer_id k, email from ({again}) union all select customer_id || '-twin', email from ({again})) "
+        f"join ({owners}) using (email) where k <> owner order by 1 limit 20) having count(*) > 0"
+    )
     return "\nunion all ".join(selects)
 
 
+def _maintained_sql() -> str:
+    """The order metrics of ten run dates, each computed from all its orders."""
+    withdrawn = f"{RUN} - 4"
+    selects = []
+    for age in range(9, -1, -1):
+        day = f"({RUN} - {age})"
+        gone = f"order_status = 'cancelled' and cast(ordered_at as date) between {withdrawn} - 40 and {withdrawn} - 1"
+        kept = f"cast(ordered_at as date) <= {day}" + (f" and not ({gone})" if age <= 4 else "")
+        text = CTES["int_customer_orders"].replace(RUN, day).strip()
+        selects.append(text.replace("from int_orders_with_items", f"from (select * from int_orders_with_items where {kept})"))
+    return " union all ".join(f"select * replace (cast(_run_date as date) as _run_date) from ({text})" for text in selects)
+
+
 def _split_sql(rows: str, row_id: str, stratum: str) -> str:
     """A fifth (rounded up) held out, shared among the strata by largest remainder; as one
     table if a stratum has one row or there are fewer held-out rows than strata."""
@@ -187,8 +213,17 @@ from stg_orders group by 1""",
 }
 
 
-def _check_select(table: str, cte: str, checks, parents: dict[str, str]) -> list[str]:
-    """Report rows of one table, one SELECT per check."""
+def _sample(rows: str) -> str:
+    """JSON array of up to 20 keys ``k`` of ``rows``: the smallest digests of 256 classes of keys."""
+    return (
+        "(select cast(to_json(list(k order by k)) as varchar) from (select min_by(k, (d, k)) k, min((d, k)) least from ("
+        f"select k, cast('0x' || substr(md5(k), 1, 8) as bigint) d from ({rows})) group by d % 256 order by least limit 20) "
+        "having count(*) > 0)"
+    )
+
+
+def _check_select(table: str, cte: str, checks, parents: dict[str, str], row_keys=None) -> list[str]:
+    """Report rows of one table, one SELECT per check; with the key columns, a sample too."""
     rows = []
 
     def quoted(value) -> str:
@@ -227,20 +262,34 @@ def _check_select(table: str, cte: str, checks, parents: dict[str, str]) -> list
                 bad = f"(select count(*) from {cte} where {column} is not null and {column} not in (select {key} from {parents[parent]}))"
             case "recency":
                 elements, bad = "1", f"(select cast(coalesce(max({column}) < {RUN} - 1, false) as integer) from {cte})"
+        sample = ""
+        if row_keys:
+            parts = ", ".join(f"cast({k} as varchar)" for k in (check.columns if check.name == "unique" else row_keys))
+            key, shown = f"concat_ws(':', {parts})", "cast(null as varchar)"
+            if where:
+                shown = _sample(f"select {key} k from {cte} where {where}")
+            elif check.name == "unique":
+                shown = _sample(f"select {key} k from {cte} where {present} group by {keys} having count(*) > 1")
+            sample = f", {shown} sample_failing_rows"
         if where:
             bad = f"(select count(*) from {cte} where {where})"
         rows.append(
             f"select '{table}' table_name, '{check.name}' check_name, '{check.label}' column_name, '{check.severity}' severity, "
-            f"cast({elements.format(c=cte)} as bigint) element_count, cast({bad} as bigint) unexpected_count, {mostly} mostly"
+            f"cast({elements.format(c=cte)} as bigint) element_count, cast({bad} as bigint) unexpected_count, {mostly} mostly{sample}"
         )
     return rows
 
 
-def _report(suites: dict, ctes: dict[str, str]) -> str:
-    rows = [row for table, checks in suites.items() for row in _check_select(table, ctes[table], checks, ctes)]
+def _report(suites: dict, ctes: dict[str, str], row_keys: dict | None = None) -> str:
+    rows = [
+        row
+        for table, checks in suites.items()
+        for row in _check_select(table, ctes[table], checks, ctes, row_keys and row_keys[table])
+    ]
+    sample = ", sample_failing_rows" if row_keys else ""
     return (
         "select table_name, check_name, column_name, severity, element_count, unexpected_count, "
-        "element_count - unexpected_count >= element_count * mostly success from ("
+        f"element_count - unexpected_count >= element_count * mostly success{sample} from ("
         + " union all ".join(rows)
         + ")"
     )
@@ -275,6 +324,11 @@ def _statements() -> dict[str, str]:
             ("mart_customer_360", "customer_360"),
         ]
     )
+    loaded = "select " + " + ".join(f"(select count(*) from {_accepted_raw(t)})" for t in RAW_KEYS)
+    newest_raw = {
+        t: f"{_accepted_raw(t)} qualify row_number() over (partition by {', '.join(keys)} order by _ingested_at desc) = 1"
+        for t, keys in RAW_KEYS.items()
+    }
     load = " union all ".join(_checksum_sql(t, keys) for t, keys in RAW_KEYS.items())
     negatives = " union all ".join(
         f"select '{m}' model_name, '{c}' column_name, {k} record_key, cast({c} as decimal(18,2)) offending_value from {t} where {c} < 0"
@@ -321,6 +375,11 @@ select order_id, customer_id, case when cast(ordered_at as date) >= {RUN} - 365
  total_amount_usd, item_count, avg_item_value_usd, ordered_at,
  case when cast(ordered_at as date) >= {RUN} - 365 then {RUN} else {PRIOR} end _run_date from mart_orders""",
         "incremental_replace_partition": "select * from int_customer_orders union all select * from prior_customer_orders",
+        "maintained_orders": _maintained_sql(),
+        "maintained_others": """
+select 'tickets' as name, customer_id as key, count(*) filter (where status = 'open') as value from stg_tickets group by 2
+union all select 'sessions', session_id, epoch_us(max(occurred_at))//1000000 - epoch_us(min(occurred_at))//1000000 from stg_events group by 2
+union all select 'events', customer_id, epoch_us(max(occurred_at))//1000000 from stg_events group by 2""",
         "load_summary": load,
         "pipeline_tables": pipeline,
         "known_parent_orders": "select order_id, customer_id, total_amount_usd from fraw_orders where customer_id in (select customer_id from fraw_customers)",
@@ -329,8 +388,22 @@ select session_id run_id, min(cast(occurred_at as date)) run_date, 'session' job
  arg_max(case event_type when 'purchase' then 'success' when 'error' then 'failed' else 'running' end, occurred_at) status,
  min(occurred_at) started_at, max(occurred_at) filter (where event_type in ('purchase','error')) completed_at,
  cast(max(hour(occurred_at)) filter (where event_type in ('purchase','error')) as integer) duration_seconds,
- max(cast(event_id as bigint)) filter (where event_type in ('purchase','error')) rows_ingested, cast(null as varchar) notes
+ max(cast(event_id as bigint)) filter (where event_type in ('purchase','error')) rows_ingested, cast(null as varchar) notes,
+ cast(max(minute(occurred_at)) filter (where event_type in ('purchase','error')) as bigint) rows_transformed,
+ max(30) filter (where event_type in ('purchase','error')) qg_tests_total,
+ max(case event_type when 'purchase' then 30 when 'error' then 29 end) qg_tests_passed,
+ max(case event_type when 'purchase' then 0 when 'error' then 1 end) qg_tests_failed,
+ max(occurred_at) filter (where event_type = 'error') sla_breach_at
 from stg_events group by 1""",
+        "daily_job": f"""
+with days as (select unnest([{PRIOR}, {RUN}]) run_date), people as (select count(*) n from customer_360),
+failed as (select count(*) n from ({_report(raw_suites(), {t: f"(select * from {c})" for t, c in newest_raw.items()})}) where not success)
+select name, run_date, n row_count from days cross join (
+ select 'mart_customer_360' as name, n from people union all select 'ml_scores', n from people
+ union all select 'daily_insights', 1 union all select 'jobs that wrote', 3
+ union all select 'rows loaded', ({loaded}) union all select 'checks failed', n from failed)
+union all select 'mart_ml_scores', {RUN}, n from people
+union all select 'tickets with a topic', {RUN}, count(*) from stg_tickets""",
         "expectation_report": report,
         "load_rejects": _rejects_sql(),
         "segment_inactive": "select customer_id from customer_360 where order_frequency_365d = 0",
@@ -343,8 +416,8 @@ select run_date, count(*) row_count, 'daily_anomalies' table_name from daily_sco
 union all select unnest([{PRIOR}, {RUN}]), 1, 'daily_insights'""",
         "dq_failures": f"""
 select {RUN} run_date, 'expectation' failure_type, 'raw' source_domain, table_name, 'raw_suites' checkpoint_or_test_name,
- column_name failing_column, check_name failing_expectation, cast(null as varchar) sample_failing_rows, {SCORED} logged_at
-from ({report}) where not success""",
+ column_name failing_column, check_name failing_expectation, sample_failing_rows, {SCORED} logged_at
+from ({_report(raw_suites(), raw_ctes, RAW_KEYS)}) where not success""",
         "model_check_report": _report(model_suites(), model_ctes),
         "orphan_fk_report": orphan_union,
         "orphan_orders": _orphans("fstg_orders", "order_id"),

@@ -1,4 +1,5 @@
-"""Churn risk of active customers: a class-balanced random forest."""
+"""Churn risk of active customers: a class-balanced random forest, grown on counted cells of equal
+binned features."""
 
 from __future__ import annotations
 
@@ -6,18 +7,17 @@ import logging
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.functions.dates import as_run_date
 from patronlens.functions.numbers import is_true, number_or, require_columns, to_number
-from patronlens.models.features import encoded
+from patronlens.models import grid, trees as growth
+from patronlens.models.features import category
 from patronlens.models.metrics import classification_metrics
 from patronlens.models.tiers import risk_tier, rounded_score
 from patronlens.operators.split import with_split
-from patronlens.workspace import scratch_root, stage
+from patronlens.workspace import stage
 
 log = logging.getLogger(__name__)
 
@@ -72,9 +72,16 @@ def _scored(df: DataFrame, probability: Column) -> DataFrame:
 
 def _train_and_score(features: DataFrame, day: date, trees: int) -> Churn:
     active = features.where(is_true(features, ACTIVITY))
-    keep = [F.col("customer_id"), churn_label().alias("label")]
-    wide, names = encoded(active, churn_features(), CATEGORICAL, keep)
-    table = stage(wide, "churn-active")
+    numeric = churn_features()
+    categories = {c: category(c).alias(c) for c in CATEGORICAL if c in features.columns}
+    wide = active.select(
+        "customer_id",
+        churn_label().alias("label"),
+        *[value.cast("double").alias(name) for name, value in numeric.items()],
+        *categories.values(),
+    )
+    wide = stage(wide, "churn-active")
+    table, bins = grid.binned(wide, "customer_id", list(numeric), list(categories), ["customer_id", "label"], "churn-bins")
     classes = {row.label: row["count"] for row in table.groupBy("label").count().collect()}
     rows = sum(classes.values())
     params = {
@@ -82,7 +89,7 @@ def _train_and_score(features: DataFrame, day: date, trees: int) -> Churn:
         "n_estimators": trees,
         "max_depth": MAX_DEPTH,
         "random_state": SEED,
-        "feature_list": names,
+        "feature_list": bins.names,
         "training_sample_count": rows,
         "run_date": day.isoformat(),
     }
@@ -98,25 +105,19 @@ def _train_and_score(features: DataFrame, day: date, trees: int) -> Churn:
     if in_sample:
         split = table.withColumn("is_validation", F.lit(False))
     else:
-        split = with_split(table, "customer_id", "label")
-    training = split.where(~F.col("is_validation"))
-    trained = {r.label: r["count"] for r in training.groupBy("label").count().collect()}
-    weight = F.lit(0.0)
-    for label, count in trained.items():
-        balanced = sum(trained.values()) / (len(trained) * count)
-        weight = F.when(F.col("label") == label, balanced).otherwise(weight)
-    model = RandomForestClassifier(
-        featuresCol="features",
-        labelCol="label",
-        weightCol="weight",
-        numTrees=trees,
-        maxDepth=MAX_DEPTH,
-        featureSubsetStrategy="sqrt",
-        seed=SEED,
-    ).fit(training.withColumn("weight", weight))
-    model = model.copy()  # without the training summary, which cannot be shipped to tasks
-    probability = F.element_at(vector_to_array("probability"), 2)
-    predicted = model.transform(split).withColumn("raw_score", probability)
+        split = stage(with_split(table, "customer_id", "label"), "churn-split")
+    count = lambda label: F.count_if(~F.col("is_validation") & (F.col("label") == label))
+    cells = grid.counted_cells(split, bins.keys, {"stays": count(0), "leaves": count(1)})
+    stays, leaves = (cells.column(c).to_numpy() for c in ("stays", "leaves"))
+    every = int(stays.sum() + leaves.sum())
+    balanced = tuple(every / (2 * max(1, int(c.sum()))) for c in (stays, leaves))
+    spark = features.sparkSession
+    votes = growth.forest_votes(spark, bins.matrix(cells), stays, leaves, balanced, trees, MAX_DEPTH, SEED)
+    votes = stage(votes, "churn-votes")
+    share = F.col("votes") / F.lit(float(trees * growth.VOTE_UNIT))
+    raw = votes.where("cell >= 0").select("cell", share.alias("raw_score"))
+    importances = {bins.names[r.feature]: round(r.share, 6) for r in votes.where("feature >= 0").select("feature", share.alias("share")).collect()}
+    predicted = grid.on_rows(split, bins.keys, cells, raw)
     predicted = predicted.withColumn("churn_score", rounded_score(F.col("raw_score")))
     held_out = predicted.where(F.col("is_validation") | F.lit(in_sample))
     measured = classification_metrics(held_out, "label", "raw_score").first().asDict()
@@ -128,7 +129,7 @@ def _train_and_score(features: DataFrame, day: date, trees: int) -> Churn:
         ),
         {**params, "validation": "in_sample" if in_sample else "holdout"},
         measured,
-        {n: round(float(w), 6) for n, w in zip(names, model.featureImportances.toArray())},
+        importances,
     )
 
 
@@ -139,7 +140,6 @@ def train_and_score(
     caller keeps yesterday's. A missing column is an error of the caller."""
     require_columns(features, {"customer_id", ACTIVITY, *NUMERIC})
     day = as_run_date(run_date)
-    scratch_root(features.sparkSession)
     try:
         return _train_and_score(features, day, trees)
     except Exception:

@@ -1,5 +1,5 @@
 """Lifetime value: gradient-boosted trees on customers with orders, cohort means for
-the others."""
+the others. The trees are grown on counted cells of equal binned features."""
 
 from __future__ import annotations
 
@@ -7,16 +7,16 @@ import logging
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.functions.dates import as_run_date
 from patronlens.functions.numbers import number_or, require_columns
-from patronlens.models.features import average_order_value, category, encoded
+from patronlens.models import grid, trees as growth
+from patronlens.models.features import average_order_value, category
 from patronlens.models.metrics import regression_metrics
 from patronlens.operators.split import with_split
-from patronlens.workspace import scratch_root, stage
+from patronlens.workspace import stage
 
 log = logging.getLogger(__name__)
 
@@ -83,7 +83,6 @@ def train_and_score(
     """A non-negative ``ltv_score`` per customer of ``features`` (a written table)."""
     require_columns(features, REQUIRED)
     day = as_run_date(run_date)
-    scratch_root(features.sparkSession)  # the trees' lineage is cut there
     if features.where(has_history()).isEmpty():
         log.warning("no customers with orders on %s", day)
         return Ltv(features.select("customer_id", F.lit(0.0).alias("ltv_score")))
@@ -93,24 +92,33 @@ def train_and_score(
         "avg_order_value": average_order_value(),
         "customer_tenure_days": number_or(F.col("customer_tenure_days"), 0),
     }
-    keep = [F.col("customer_id"), category(CHANNEL).alias("channel"), target().alias("target")]
-    wide, names = encoded(features.where(has_history()), numeric, CATEGORICAL, keep)
-    history = stage(wide, "ltv-history")
+    categories = {c: category(c).alias(c) for c in CATEGORICAL if c in features.columns}
+    wide = features.where(has_history()).select(
+        "customer_id",
+        category(CHANNEL).alias("channel"),
+        target().alias("target"),
+        *[value.cast("double").alias(name) for name, value in numeric.items()],
+        *categories.values(),
+    )
+    wide = stage(wide, "ltv-history")
+    history, bins = grid.binned(
+        wide, "customer_id", list(numeric), list(categories), ["customer_id", "channel", "target"], "ltv-bins"
+    )
     rows = history.count()
     if rows < MIN_ROWS_FOR_SPLIT:
         split = history.withColumn("is_validation", F.lit(False))
     else:
-        split = with_split(history, "customer_id", "channel")
+        split = stage(with_split(history, "customer_id", "channel"), "ltv-split")
     training = split.where(~F.col("is_validation"))
-    model = GBTRegressor(
-        featuresCol="features",
-        labelCol="target",
-        maxIter=trees,
-        stepSize=LEARNING_RATE,
-        maxDepth=MAX_DEPTH,
-        seed=SEED,
-    ).fit(training)
-    predicted = model.transform(split).withColumn(
+    known = F.when(~F.col("is_validation"), F.col("target").cast("decimal(24,4)"))
+    cells = grid.counted_cells(
+        split, bins.keys, {"n": F.count(known), "total": F.coalesce(F.sum(known), F.lit(0)).cast("double")}
+    )
+    counts = (cells.column(c).to_numpy().astype(float) for c in ("n", "total"))
+    fitted = growth.boosted_cells(
+        features.sparkSession, bins.matrix(cells), *counts, trees, LEARNING_RATE, MAX_DEPTH
+    )
+    predicted = grid.on_rows(split, bins.keys, cells, fitted).withColumn(
         "ltv_score", F.greatest("prediction", F.lit(0.0))
     )
     in_sample = rows < MIN_ROWS_FOR_SPLIT
@@ -125,7 +133,7 @@ def train_and_score(
             "n_estimators": trees,
             "learning_rate": LEARNING_RATE,
             "max_depth": MAX_DEPTH,
-            "feature_list": names,
+            "feature_list": bins.names,
             "train_date_range": f"{day - timedelta(days=365)}/{day}",
             "validation": "in_sample" if in_sample else "holdout",
             "training_sample_count": rows,

@@ -21,10 +21,17 @@ def with_log1p(df: DataFrame, columns: Sequence[str] = MONETARY_COLUMNS) -> Data
     )
 
 
+#: Most values of a category that become columns of their own.
+MAX_CATEGORIES = 1000
+
+
 def categories_of(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values, each of which becomes a column."""
+    """Sorted distinct values, each of which becomes a column; an error if there are too many."""
     found = df.select(F.col(column).cast("string").alias("v")).where("v is not null").distinct()
-    return sorted(row.v for row in found.collect())
+    values = sorted(row.v for row in found.limit(MAX_CATEGORIES + 1).collect())
+    if len(values) > MAX_CATEGORIES:
+        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values: name the categories to encode")
+    return values
 
 
 def one_hot(
@@ -36,7 +43,8 @@ def one_hot(
 ) -> DataFrame:
     """Replace each column by 0/1 columns ``<column>_<value>``, in value order, after
     the other columns. A null is 0 everywhere. ``categories`` saves the pass that
-    looks up the values. Models use sparse vectors instead (``models.features.encoded``)."""
+    looks up the values, which may be ``MAX_CATEGORIES`` at most. Models count cells instead
+    (``models.grid``)."""
     if not ignore_missing:
         require_columns(df, columns)
     present = [c for c in columns if c in df.columns]

@@ -4,6 +4,11 @@ All row-level checks of a table share one scan and one map-side aggregate. Each
 uniqueness check counts rows per key and each relationship check counts child
 rows per key before joining, so hot keys stay cheap. Null values fail only the
 not-null checks; an empty table passes value checks.
+
+With row keys a report also has a sample of the failing rows, from the same scan: keys fall into
+``SAMPLE_CLASSES`` classes by their digest, each class keeps the failing key with the smallest
+digest, and the ``SAMPLE_ROWS`` smallest of these are shown. Counts and samples are one
+aggregate, combined before its shuffle, however many rows fail.
 """
 
 from __future__ import annotations
@@ -12,18 +17,21 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 from decimal import Decimal
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.operators.orphans import orphan_total
+from patronlens.operators.orphans import orphan_total, rows_per_key
 
 REPORT_DDL = (
     "table_name string, check_name string, column_name string, severity string, "
     "element_count long, unexpected_count long, success boolean"
 )
 
+SAMPLE_ROWS = 20
+SAMPLE_CLASSES = 256
+
 
 @dataclass(frozen=True)
 class Check:
@@ -102,7 +110,10 @@ def _passes(elements: Column, unexpected: Column, mostly: Decimal) -> Column:
     return (elements - unexpected) >= elements * share
 
 
-def _result(check: Check, table: str, elements: Column, unexpected: Column) -> Column:
+def _result(
+    check: Check, table: str, elements: Column, unexpected: Column, sample: Column | None = None
+) -> Column:
+    shown = [] if sample is None else [sample.alias("sample_failing_rows")]
     return F.struct(
         F.lit(table).alias("table_name"),
         F.lit(check.name).alias("check_name"),
@@ -111,7 +122,55 @@ def _result(check: Check, table: str, elements: Column, unexpected: Column) -> C
         elements.cast("long").alias("element_count"),
         unexpected.cast("long").alias("unexpected_count"),
         F.coalesce(_passes(elements, unexpected, check.mostly), F.lit(False)).alias("success"),
+        *shown,
+    )
+
+
+def _key_digest(key: Column) -> Column:
+    """The first 32 bits of the key's MD5."""
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def _classed(key: Column) -> Column:
+    return _key_digest(key) % SAMPLE_CLASSES
+
+
+def _smallest(key: Column, fails: Column) -> Column:
+    """The failing key of a class with the smallest digest."""
+    return F.min(F.when(fails, F.struct(_key_digest(key).alias("digest"), key.alias("key"))))
+
+
+def _shown(firsts: Column) -> Column:
+    """The sample as a JSON array of keys, from the smallest of each class; null if none fails."""
+    few = F.slice(F.array_sort(F.array_compact(firsts)), 1, SAMPLE_ROWS)
+    keys = F.to_json(F.array_sort(F.transform(few, lambda x: x["key"])))
+    return F.when(F.size(few) > 0, keys)
+
+
+def _row_results(df: DataFrame, table: str, checks: Sequence[Check], key: Column) -> DataFrame:
+    """Row-level checks with samples: every row is counted as number -1 and as the number of
+    each check that it fails."""
+    present = set(df.columns)
+    known = [(i, c) for i, c in enumerate(checks) if present.issuperset(c.columns)]
+    failed = [F.when(F.coalesce(c.fails(), F.lit(False)), F.lit(i)) for i, c in known]
+    numbers = F.explode(F.array_compact(F.array(F.lit(-1), *failed))).alias("number")
+    rows = df.select(F.coalesce(key, F.lit("")).alias("key"), numbers)
+    wrong = F.col("number") >= 0
+    class_ = F.when(wrong, _classed(F.col("key"))).otherwise(F.lit(-1)).alias("class")
+    per_class = rows.groupBy("number", class_).agg(
+        F.count(F.lit(1)).alias("n"), _smallest(F.col("key"), wrong).alias("first")
+    )
+    per_check = per_class.groupBy("number").agg(F.sum("n").alias("n"), _shown(F.collect_list("first")).alias("sample"))
+    found = per_check.agg(
+        F.map_from_entries(F.collect_list(F.struct("number", F.struct("n", "sample")))).alias("found")
     )
+    total = F.coalesce(F.element_at("found", F.lit(-1))["n"], F.lit(0))
+    results = []
+    for i, check in enumerate(checks):
+        mine = F.element_at("found", F.lit(i))
+        count = F.coalesce(mine["n"], F.lit(0)) if present.issuperset(check.columns) else F.lit(None).cast("long")
+        results.append(_result(check, table, total, count, mine["sample"]))
+    return found.select(F.inline(F.array(*results)))
 
 
 def _scan_results(df: DataFrame, table: str, checks: Sequence[Check], as_of: date) -> DataFrame:
@@ -141,7 +200,7 @@ def _scan_results(df: DataFrame, table: str, checks: Sequence[Check], as_of: dat
     return df.agg(*totals).select(F.inline(F.array(*results)))
 
 
-def _unique_result(df: DataFrame, table: str, check: Check) -> DataFrame:
+def _unique_result(df: DataFrame, table: str, check: Check, sampled: bool = False) -> DataFrame:
     if not set(df.columns).issuperset(check.columns):
         unknown = F.lit(None).cast("long")
         return df.agg(F.count(F.lit(1)).alias("n")).select(
@@ -149,18 +208,40 @@ def _unique_result(df: DataFrame, table: str, check: Check) -> DataFrame:
         )
     rows = df.select(*check.columns).dropna()
     per_key = rows.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
-    totals = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("elements"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("repeated"),
+    key = F.concat_ws(":", *[F.col(c).cast("string") for c in check.columns])
+    return _counted_keys(per_key, F.col("n") > 1, key, table, check, sampled)
+
+
+def _counted_keys(
+    per_key: DataFrame, fails: Column, key: Column, table: str, check: Check, sampled: bool
+) -> DataFrame:
+    """The result of a check on keys that are counted in ``n``."""
+
+    def total(rows: Column) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0))
+
+    if not sampled:
+        totals = per_key.agg(total(F.col("n")).alias("elements"), total(F.when(fails, F.col("n"))).alias("wrong"))
+        return totals.select(F.inline(F.array(_result(check, table, F.col("elements"), F.col("wrong")))))
+    classes = per_key.groupBy(_classed(key).alias("class")).agg(
+        F.sum("n").alias("n"), F.sum(F.when(fails, F.col("n"))).alias("bad"), _smallest(key, fails).alias("first")
+    )
+    totals = classes.agg(
+        total(F.col("n")).alias("elements"),
+        total(F.col("bad")).alias("wrong"),
+        _shown(F.collect_list("first")).alias("sample"),
     )
-    result = _result(check, table, F.col("elements"), F.col("repeated"))
-    return totals.select(F.inline(F.array(result)))
+    return totals.select(F.inline(F.array(_result(check, table, F.col("elements"), F.col("wrong"), F.col("sample")))))
 
 
 def _parent_result(
-    df: DataFrame, table: str, check: Check, tables: Mapping[str, DataFrame]
+    df: DataFrame, table: str, check: Check, tables: Mapping[str, DataFrame], sampled: bool = False
 ) -> DataFrame:
     parent, key = check.parent
+    if sampled:
+        marked = rows_per_key(df, check.columns[0], tables[parent], key, skip_null_keys=True)
+        value = F.col("key").cast("string")
+        return _counted_keys(marked, F.col("known").isNull(), value, table, check, sampled)
     total = orphan_total(table, df, check.columns[0], tables[parent], key, skip_null_keys=True)
     result = _result(check, table, F.col("child_count"), F.col("orphan_count"))
     return total.select(F.inline(F.array(result)))
@@ -172,21 +253,36 @@ def check_table(
     checks: Sequence[Check],
     as_of: date,
     tables: Mapping[str, DataFrame] | None = None,
+    row_key: Column | None = None,
 ) -> DataFrame:
-    """One report row per check."""
-    scanned = [c for c in checks if c.kind in ("rows", "exists", "recent")]
-    parts = [_scan_results(df, table, scanned, as_of)] if scanned else []
-    parts += [_unique_result(df, table, c) for c in checks if c.kind == "unique"]
-    parts += [_parent_result(df, table, c, tables or {}) for c in checks if c.kind == "parent"]
-    return reduce(DataFrame.unionByName, parts)
+    """One report row per check, with a sample of the failing rows' keys if ``row_key`` is given. A check on
+    keys, unique or relationship, shows those instead."""
+    sampled = row_key is not None
+    rows = [c for c in checks if c.kind == "rows"]
+    scanned = [c for c in checks if c.kind in ("exists", "recent") or c.kind == "rows" and not sampled]
+    parts = [_row_results(df, table, rows, row_key)] if rows and sampled else []
+    if scanned:
+        plain = _scan_results(df, table, scanned, as_of)
+        parts.append(plain.withColumn("sample_failing_rows", F.lit(None).cast("string")) if sampled else plain)
+    parts += [_unique_result(df, table, c, sampled) for c in checks if c.kind == "unique"]
+    parts += [_parent_result(df, table, c, tables or {}, sampled) for c in checks if c.kind == "parent"]
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
 
 
 def check_tables(
-    tables: Mapping[str, DataFrame], suites: Mapping[str, Sequence[Check]], as_of: date
+    tables: Mapping[str, DataFrame],
+    suites: Mapping[str, Sequence[Check]],
+    as_of: date,
+    row_keys: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """The report of all suites. ``tables`` may hold further parent tables."""
+    """The report of all suites. ``tables`` may hold further parent tables; with ``row_keys``, the key
+    columns per table, the report has samples."""
+
+    def key(table: str) -> Column | None:
+        return F.concat_ws(":", *[F.col(k).cast("string") for k in row_keys[table]]) if row_keys else None
+
     parts = [
-        check_table(table, tables[table], checks, as_of, tables) for table, checks in suites.items()
+        check_table(table, tables[table], checks, as_of, tables, key(table)) for table, checks in suites.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -56,7 +56,8 @@ ML_SCORES_DDL = (
 
 RUN_EVENT_DDL = (
     "run_id string, run_date date, job_name string, status string, event_at timestamp, "
-    "rows_ingested long, duration_seconds int, notes string"
+    "rows_ingested long, duration_seconds int, notes string, rows_transformed long, "
+    "qg_tests_total int, qg_tests_passed int, qg_tests_failed int, sla_breach_at timestamp"
 )
 
 DQ_FAILURE_DDL = (

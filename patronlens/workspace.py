@@ -58,6 +58,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
 
 
+def content_length(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    files, target = _hadoop_path(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder; whether there was one."""
     files, target = _hadoop_path(spark, path)

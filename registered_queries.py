@@ -30,17 +30,18 @@ from patronlens.operators.encode import MONETARY_COLUMNS, clip, one_hot, with_lo
 from patronlens.operators.orphans import orphan_rows
 from patronlens.operators.split import with_split
 from patronlens.operators.upsert import replace_by_key
-from patronlens.plans import marts
+from patronlens.plans import maintained, marts, staging
 from patronlens.plans.build import Layers
-from patronlens.plans.ingest import DOMAIN_OF, load_all, write_upserted
+from patronlens.plans.daily import run_day
+from patronlens.plans.ingest import DOMAIN_OF, checked_batches, load_all, write_all, write_indexes, write_upserted
 from patronlens.plans.pipeline import build_layers
 from patronlens.quality import assertions
 from patronlens.quality.checks import check_tables, columns_needed
-from patronlens.quality.constraints import all_rejections, with_broken_rules
+from patronlens.quality.constraints import accepted, all_rejections
 from patronlens.quality.gate import failure_rows
 from patronlens.quality.suites import model_suites, raw_suites, staging_suites
 from patronlens.runlog import run_states
-from patronlens.schema import ML_SCORES_DDL, struct
+from patronlens.schema import ML_SCORES_DDL, RAW_KEYS, RUN_EVENT_DDL, struct
 from patronlens.sources import sample_tables, seeds
 from patronlens.sources.raw import with_known_parent
 from patronlens.sources.sample_tables import LOADED_AT, RUN_DATE, raw_tables
@@ -225,7 +226,7 @@ def incremental_replace_by_key(spark, sf_dir):
     store = TableStore(spark, scratch_path(spark, "replace"))
     replace_orders = partial(replace_by_key, keys=["order_id"])
     for rows in (yesterday, today):
-        store.publish(store.write_buckets("mart_orders", rows, ["order_id"], replace_orders)[0])
+        store.publish(store.merge_keyed("mart_orders", rows, ["order_id"], replace_orders)[0])
     return store.read("mart_orders")
 
 
@@ -241,6 +242,46 @@ def incremental_replace_partition(spark, sf_dir):
     return store.read_partitioned(table, ddl_of(daily.schema))
 
 
+@query
+def maintained_orders(spark, sf_dir):
+    """Order metrics of ten run dates, each carried on from the one before. A date brings the orders of
+    its day; on the sixth, cancelled orders of the forty days before are withdrawn."""
+    orders = stage(layers(spark, sf_dir).int_orders_with_items, "maintained-source")
+    day = F.to_date("ordered_at")
+    store = TableStore(spark, scratch_path(spark, "maintained"))
+    found = []
+    for age in range(9, -1, -1):
+        run_date = RUN_DATE - timedelta(days=age)
+        fresh = orders.where(day == F.lit(run_date) if found else day <= F.lit(run_date))
+        recent = day.between(F.lit(run_date - timedelta(days=40)), F.lit(run_date - timedelta(days=1)))
+        gone = orders.where(recent & (F.col("order_status") == "cancelled")) if age == 4 else None
+        found.append(maintained.advance_orders(store, run_date, fresh, gone))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def maintained_others(spark, sf_dir):
+    """Open tickets per customer, and sessions, kept over three batches: older tickets, the others, and
+    the pending ones again as closed; events by their day."""
+    built = layers(spark, sf_dir)
+    tickets = stage(built.stg_tickets.select("ticket_id", "customer_id", "status", "priority"), "tickets")
+    events = stage(staging.stg_events(built.raw.events, wide=False), "events")
+    store = TableStore(spark, scratch_path(spark, "maintained-others"))
+    waiting = tickets.where("status = 'in_progress'")
+    closed = waiting.withColumn("status", F.lit("closed"))
+    batches = [(tickets.where("priority = 'high'"), None), (tickets.where("priority <> 'high'"), None), (closed, waiting)]
+    for number, (fresh, replaced) in enumerate(batches):
+        parts = maintained.advance_tickets(store, fresh, replaced)
+        today = events.where(F.day("occurred_at") % 3 == number)
+        store.publish(parts | maintained.advance_events(store, today))
+    open_ = store.read("state_customer_tickets").select(F.col("customer_id").alias("key"), F.col("open_ticket_count").alias("value"))
+    seconds = F.unix_timestamp("session_end") - F.unix_timestamp("session_start")
+    sessions = store.read("state_sessions").select(F.col("session_id").alias("key"), seconds.alias("value"))
+    latest = store.read("state_customer_events").select("customer_id", F.unix_timestamp("last_event_at"))
+    parts = [df.select(F.lit(name).alias("name"), "*") for name, df in (("tickets", open_), ("sessions", sessions), ("events", latest.toDF("key", "value")))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def load_summary(spark, sf_dir):
     """All raw tables loaded twice as a whole; rows and a checksum per published column."""
@@ -311,10 +352,49 @@ def run_log_current(spark, sf_dir):
         F.when(done, F.col("event_id").cast("long")).alias("rows_ingested"),
         F.when(done, F.hour("occurred_at")).alias("duration_seconds"),
         F.lit(None).cast("string").alias("notes"),
+        F.when(done, F.minute("occurred_at").cast("long")).alias("rows_transformed"),
+        F.when(done, F.lit(30)).alias("qg_tests_total"),
+        F.when(status == "success", F.lit(30)).when(status == "failed", F.lit(29)).alias("qg_tests_passed"),
+        F.when(status == "success", F.lit(0)).when(status == "failed", F.lit(1)).alias("qg_tests_failed"),
+        F.when(status == "failed", F.col("occurred_at")).alias("sla_breach_at"),
     )
     return run_states(events)
 
 
+@query
+def daily_job(spark, sf_dir):
+    """The daily job on two dates with the real models: rows and dates of what it stores, and what
+    the run log says of the jobs."""
+    store = TableStore(spark, scratch_path(spark, "daily"))
+    raw = raw_tables(spark, sf_dir)
+    for run_date in (RUN_DATE - timedelta(days=1), RUN_DATE):
+        run_day(store, raw, run_date, SCORED_AT)
+
+    def counted(name: str, df: DataFrame, day: str, what: str = "true") -> DataFrame:
+        return df.where(what).groupBy(F.col(day).alias("run_date")).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("name"), "run_date", "row_count"
+        )
+
+    scores = store.read_partitioned(scoring.SCORE_TABLE, ML_SCORES_DDL)
+    jobs = run_states(store.read_log("run_events", RUN_EVENT_DDL)).where("status = 'success'")
+    transformed = F.col("rows_transformed").isNotNull()
+    parts = [
+        counted("mart_customer_360", store.read("mart_customer_360"), "_run_date"),
+        counted("ml_scores", scores, "score_date", "segment_label is not null and ltv_score >= 0"),
+        counted("mart_ml_scores", store.read(scoring.MART_TABLE), "_run_date"),
+        counted("tickets with a topic", store.read("mart_support_tickets"), "_run_date", "cluster_label <> ''"),
+        counted("daily_insights", store.read_partitioned(outputs.INSIGHT_TABLE, outputs.INSIGHT_DDL), "run_date"),
+        jobs.where("job_name = 'load_all'").select(
+            F.lit("rows loaded").alias("name"), "run_date", F.col("rows_ingested").alias("row_count")
+        ),
+        jobs.where("job_name = 'load_all'").select(
+            F.lit("checks failed").alias("name"), "run_date", F.col("qg_tests_failed").cast("long").alias("row_count")
+        ),
+        counted("jobs that wrote", jobs.where(transformed), "run_date"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # Data quality, on tables with injected bad rows.
 
 
@@ -326,17 +406,31 @@ def expectation_report(spark, sf_dir):
 
 @query
 def load_rejects(spark, sf_dir):
-    """What the loader keeps out of the faulty sample, with the first keys."""
-    flagged = {
-        t: with_broken_rules(t, df) for t, df in raw_tables(spark, sf_dir, faults=True).items()
-    }
-    found = all_rejections(flagged, DOMAIN_OF, RUN_DATE, SCORED_AT)
-    return found.select("table_name", "failing_column", "failing_expectation", "sample_failing_rows")
+    """What the loader keeps out of the faulty sample, and then out of a second batch that brings some
+    customers again, under their own id and under another one with the same email."""
+    store = TableStore(spark, scratch_path(spark, "rejects"))
+    first = checked_batches(store, dict(raw_tables(spark, sf_dir, faults=True).items()))
+    good = {"customers": accepted(first["customers"])}
+    store.publish(write_all(store, good)[0] | write_indexes(store, good))
+    again = sample_tables.customers(spark, sf_dir, faults=True).where("acquisition_channel = 'direct'")
+    twins = again.withColumn("customer_id", F.concat("customer_id", F.lit("-twin")))
+    fresh = again.withColumns({c: F.concat(F.lit("new-"), c) for c in ("customer_id", "email")})
+    fresh = fresh.where("email <> 'new-shared@example.com'")
+    batch = again.unionByName(twins).unionByName(fresh)
+    second = checked_batches(store, {"customers": batch})
+    found = [
+        all_rejections(flagged, DOMAIN_OF, RUN_DATE, SCORED_AT).withColumn("batch", F.lit(number))
+        for number, flagged in ((1, first), (2, second))
+    ]
+    names = ("batch", "table_name", "failing_column", "failing_expectation", "sample_failing_rows")
+    return found[0].unionByName(found[1]).select(*names)
 
 
 @query
 def dq_failures(spark, sf_dir):
-    report = expectation_report(spark, sf_dir)
+    """Failed checks with keys of failing rows, found in the same scan."""
+    raw = dict(raw_tables(spark, sf_dir, faults=True).items())
+    report = check_tables(raw, raw_suites(), RUN_DATE, RAW_KEYS)
     return failure_rows(report, RUN_DATE, "raw", "raw_suites", SCORED_AT)
 
 
@@ -784,13 +878,11 @@ def ticket_topics(spark, sf_dir):
 
 # What is exact about the trained models, compared with SQL.
 
-FEW_TREES = 5
-
 
 @query
 def segment_inactive(spark, sf_dir):
     """Customers that segmentation leaves out."""
-    found = segmentation.train_and_score(features(spark, sf_dir), RUN_DATE, restarts=2).scores
+    found = segmentation.train_and_score(features(spark, sf_dir), RUN_DATE).scores
     return found.where(F.col("segment_label") == segmentation.INACTIVE).select("customer_id")
 
 
@@ -798,7 +890,7 @@ def segment_inactive(spark, sf_dir):
 def ltv_bounds(spark, sf_dir):
     """Scores per channel, and how many are null or negative."""
     chosen = features(spark, sf_dir)
-    scores = ltv.train_and_score(chosen, RUN_DATE, trees=FEW_TREES).scores
+    scores = ltv.train_and_score(chosen, RUN_DATE).scores
     joined = chosen.select("customer_id", category(ltv.CHANNEL).alias("channel")).join(scores, "customer_id")
     return joined.groupBy("channel").agg(
         F.count(F.lit(1)).alias("customers"),
@@ -809,7 +901,7 @@ def ltv_bounds(spark, sf_dir):
 @query
 def churn_bounds(spark, sf_dir):
     """Which customers are scored, and whether score and tier agree."""
-    scores = churn.train_and_score(features(spark, sf_dir), RUN_DATE, trees=FEW_TREES).scores
+    scores = churn.train_and_score(features(spark, sf_dir), RUN_DATE).scores
     fits = F.col("churn_score").between(0, 1) & (
         F.col("churn_risk_tier") == risk_tier(F.col("churn_score"))
     )
@@ -819,9 +911,7 @@ def churn_bounds(spark, sf_dir):
 @query
 def ml_score_bounds(spark, sf_dir):
     """One score row per customer; churn for the active ones, a segment for all."""
-    scores = scoring.score_customers(
-        features(spark, sf_dir), RUN_DATE, SCORED_AT, ltv_trees=FEW_TREES, churn_trees=FEW_TREES, restarts=2
-    )
+    scores = scoring.score_customers(features(spark, sf_dir), RUN_DATE, SCORED_AT)
     return scores.select(
         "customer_id",
         F.col("churn_score").isNotNull().alias("has_churn"),

@@ -11,7 +11,7 @@ from patronlens.operators.upsert import replace_by_key, upsert
 from patronlens.plans.ingest import ingest_domain, load_all
 from patronlens.plans.pipeline import build_layers
 from patronlens.runlog import EVENT_TABLE, mark_failed, record, record_deadline_miss, run_states
-from patronlens.schema import RAW_DDL, RUN_EVENT_DDL, raw_schema
+from patronlens.schema import DQ_FAILURE_DDL, RAW_DDL, RUN_EVENT_DDL, raw_schema
 from patronlens.sources.raw import RawTables, read_database, read_raw, with_known_parent
 from patronlens.sources.seeds import SEED_DDL, read_seed
 from patronlens.sources.tables import TableStore, layer_of
@@ -115,6 +115,37 @@ def test_domain_loads_need_customers_first(spark, store):
     assert ("ingest_events", "failed") in by_job and ("ingest_orders", "sla_miss") in by_job
 
 
+def customers_of(spark, *rows):
+    audit = (LOADED_AT, RUN_DATE)
+    made = [(k, "n", email, "organic", "US", date(2026, 1, 1), *audit) for k, email in rows]
+    return spark.createDataFrame(made, raw_schema("customers"))
+
+
+def test_an_email_belongs_to_one_customer_across_loads(spark, store):
+    def load(*rows):
+        ingest_domain(store, "crm", {"customers": customers_of(spark, *rows)}, RUN_DATE)
+        return {r.customer_id: r.email for r in store.read("customers").collect()}
+
+    assert load(("a", "x"), ("b", "y")) == {"a": "x", "b": "y"}
+    # c is rejected, a and b may repeat themselves, b takes a new value and so frees its old one
+    assert load(("c", "x"), ("a", "x"), ("b", "z")) == {"a": "x", "b": "z"}
+    assert load(("c", "y"), ("d", "z")) == {"a": "x", "b": "z", "c": "y"}
+    assert load(("e", "y"), ("f", "f"), ("g", "f")) == {"a": "x", "b": "z", "c": "y", "f": "f"}
+    index = {r.value: r.key for r in store.read("customers__email").collect()}
+    assert index == {"x": "a", "z": "b", "y": "c", "f": "f"}
+    logged = store.read_log("dq_failures", DQ_FAILURE_DDL).where("failing_expectation = 'unique'").collect()
+    assert sorted(r.sample_failing_rows for r in logged) == ['["c"]', '["d"]', '["e","g"]']
+
+
+def test_a_closed_gate_stops_a_domain_load(spark, store):
+    good = customers_of(spark, ("a", "x"))
+    bad = good.withColumn("country_code", F.lit("USA"))
+    with pytest.raises(ValueError, match="gate"):
+        ingest_domain(store, "crm", {"customers": bad}, RUN_DATE)
+    assert not store.exists("customers") and not store.exists("customers__email")
+    assert ingest_domain(store, "crm", {"customers": bad}, RUN_DATE, gate=False) == 1
+
+
 def test_an_empty_parent_is_an_error(spark):
     raw = small_raw(spark)
     known = with_known_parent(raw.orders, "order_id", "customer_id", raw.customers.limit(1))
@@ -205,23 +236,6 @@ def test_runs_in_flight_are_marked_failed(spark, store):
     assert sorted(r.status for r in states(store)) == ["failed", "failed", "running", "success"]
 
 
-def folders(store, table):
-    return {part: store._entries(table)[part][0] for part in store.parts(table)}
-
-
-def test_untouched_buckets_keep_their_files(spark, store):
-    rows = [(f"k{i}", i, LOADED_AT) for i in range(200)]
-    for batch in (rows, [("k3", 30, LATER), ("k4", 40, LATER)]):
-        before = folders(store, "t")
-        parts, _ = store.write_buckets("t", table(spark, *batch), ["k"], lambda old, new: upsert(old, new, ["k"]), 16)
-        store.publish(parts)
-    after = folders(store, "t")
-    changed = {part for part in after if after[part] != before[part]}
-    assert after.keys() == before.keys() and len(after) == 16 and 1 <= len(changed) <= 2
-    values = {r.k: r.v for r in store.read("t").collect()}
-    assert values == {f"k{i}": {3: 30, 4: 40}.get(i, i) for i in range(200)}
-
-
 def test_parts_become_visible_together_and_old_ones_go(spark, store):
     for number in range(4):
         written = store.write_part("m", "2026-07-01", spark.range(number + 1))
@@ -235,15 +249,3 @@ def test_parts_become_visible_together_and_old_ones_go(spark, store):
     assert store.read("m").count() == 9 and store.read("a").count() == 30
     with pytest.raises(ValueError):
         store.drop_old(keep=0)
-
-
-def test_an_empty_batch_changes_nothing(spark, store):
-    def merge(old, new):
-        return upsert(old, new, ["k"])
-
-    parts, whole = store.write_buckets("t", table(spark, ("a", 1, LOADED_AT)), ["k"], merge)
-    store.publish(parts)
-    parts, whole = store.write_buckets("t", table(spark).limit(0), ["k"], merge)
-    assert parts == {} and whole.count() == 1
-    store.publish(parts)
-    assert store.read("t").count() == 1
