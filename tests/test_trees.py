@@ -93,7 +93,7 @@ def test_boosting_is_as_good_as_on_rows(spark, shoppers):
 def test_forest_is_as_good_as_on_rows(spark, shoppers):
     scores = []
     for parts in (1, 4):
-        rows, bins, cells = cells_of(shoppers, {"low": F.count_if("label = 0"), "high": F.count_if("label = 1")}, parts)
+        rows, bins, cells = cells_of(shoppers, {"low": F.count_if(F.col("label") == 0), "high": F.count_if(F.col("label") == 1)}, parts)
         low, high = (cells.column(c).to_numpy() for c in ("low", "high"))
         votes = trees.forest_votes(spark, bins.matrix(cells), low, high, (1.0, 1.0), 40, 8, 42)
         share = votes.where("cell >= 0").select("cell", (F.col("votes") / (40.0 * trees.VOTE_UNIT)).alias("score"))
