@@ -16,8 +16,9 @@ from patronlens.operators.anomaly import daily_anomalies, daily_metrics
 from patronlens.plans import staging
 from patronlens.plans.ingest import load_all
 from patronlens.plans.pipeline import CUSTOMER_360, build_layers
-from patronlens.runlog import RunResult, logged_run
-from patronlens.schema import RAW_KEYS
+from patronlens.quality.gate import FAILURE_TABLE
+from patronlens.runlog import EVENT_TABLE, RunResult, logged_run
+from patronlens.schema import DQ_FAILURE_DDL, RAW_KEYS, RUN_EVENT_DDL
 from patronlens.sources.raw import RawTables
 from patronlens.sources.tables import TableStore
 from patronlens.workspace import in_parallel, stage
@@ -72,10 +73,12 @@ def side_outputs(store: TableStore, tables: dict[str, DataFrame], run_date: date
 
 
 def tidy(store: TableStore, keep: int = KEPT_PUBLICATIONS) -> int:
-    """Put small files of the raw tables together and delete what the last ``keep`` publications do
-    not show; the number of files and folders that went."""
+    """Put small files of the raw tables and logs together and delete what the last ``keep``
+    publications do not show; the number of files and folders that went."""
     for table, keys in RAW_KEYS.items():
         store.publish(store.compact(table, keys))
+    for table, ddl in ((EVENT_TABLE, RUN_EVENT_DDL), (FAILURE_TABLE, DQ_FAILURE_DDL)):
+        store.compact_log(table, ddl)
     return store.drop_old(keep)
 
 

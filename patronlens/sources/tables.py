@@ -23,13 +23,14 @@ from pyspark.sql import functions as F
 
 from patronlens.sources import keyed
 from patronlens.sources.keyed import Layout, StoredFile, ddl_of
-from patronlens.workspace import child_names, delete_path, path_exists
+from patronlens.workspace import child_names, content_length, delete_path, path_exists
 
 PUBLICATION_DDL = (
     "publication long, table_name string, path string, ddl string, bucket int, bytes long, rows long, buckets int"
 )
 
 PART = "@"  # between the names of a table and of its part
+LOG = "log:"  # before the name of a log in a publication
 
 
 @dataclass(frozen=True)
@@ -262,12 +263,33 @@ class TableStore:
     def _partitioned_path(self, table: str) -> str:
         return f"{self.root}/{layer_of(table, 'ml')}/{table}"
 
+    # Logs: every append is a file in the folder of the log's generation. Compaction writes all rows
+    # anew, publishes them, and begins the next generation.
+
+    def _log(self, table: str) -> tuple[Entry | None, str]:
+        """The compacted part of a log, if any, and the folder that new rows go to."""
+        entry = self._current()[1].get(f"{LOG}{table}")
+        return entry, f"{self.root}/observability/{table}/generation-{entry.buckets if entry else 0}"
+
     def append(self, table: str, df: DataFrame) -> None:
         """Add rows to a log table."""
-        df.write.mode("append").parquet(f"{self.root}/observability/{table}")
+        df.write.mode("append").parquet(self._log(table)[1])
 
     def read_log(self, table: str, ddl: str) -> DataFrame:
-        path = f"{self.root}/observability/{table}"
-        if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).parquet(path)
+        entry, folder = self._log(table)
+        paths = [f"{self.root}/{entry.path}"] if entry else []
+        paths += [folder] if path_exists(self.spark, folder) else []
+        return self.spark.read.schema(ddl).parquet(*paths) if paths else self.spark.createDataFrame([], ddl)
+
+    def compact_log(self, table: str, ddl: str) -> None:
+        """Write the rows of a log as few files and publish them; the rows stay as they are, and earlier
+        publications still read the files they know."""
+        entry, folder = self._log(table)
+        if not path_exists(self.spark, folder):
+            return
+        size = content_length(self.spark, folder)
+        size += content_length(self.spark, f"{self.root}/{entry.path}") if entry else 0
+        path = f"observability/{table}/{uuid.uuid4().hex}"
+        files = max(1, -(-size // self.layout.file_bytes))
+        self.read_log(table, ddl).coalesce(files).write.parquet(f"{self.root}/{path}")
+        self.publish({f"{LOG}{table}": Entry(path, ddl, buckets=self.publication() + 1)})

@@ -249,3 +249,22 @@ def test_parts_become_visible_together_and_old_ones_go(spark, store):
     assert store.read("m").count() == 9 and store.read("a").count() == 30
     with pytest.raises(ValueError):
         store.drop_old(keep=0)
+
+
+def test_logs_are_put_together(spark, store):
+    ddl = "n int, note string"
+    events = lambda: sorted(r.n for r in store.read_log("x", ddl).collect())
+    store.compact_log("x", ddl)  # nothing to do
+    for n in range(6):
+        store.append("x", spark.createDataFrame([(n, "a")], ddl).coalesce(1))
+    store.publish({"other": store.write("other", spark.range(1))})
+    number, before = store.publication(), store.read_log("x", ddl)
+    assert len(before.inputFiles()) == 6
+    store.compact_log("x", ddl)
+    assert len(store.read_log("x", ddl).inputFiles()) == 1 and events() == list(range(6))
+    store.append("x", spark.createDataFrame([(6, "b")], ddl))
+    store.compact_log("x", ddl)
+    store.append("x", spark.createDataFrame([(7, "b")], ddl).coalesce(1))
+    assert events() == list(range(8)) and len(store.read_log("x", ddl).inputFiles()) == 2
+    assert before.count() == 6 == store.as_of(number).read_log("x", ddl).count()
+    assert store.drop_old(keep=1) == 1 and events() == list(range(8))
