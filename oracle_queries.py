@@ -396,7 +396,7 @@ select session_id run_id, min(cast(occurred_at as date)) run_date, 'session' job
  max(occurred_at) filter (where event_type = 'error') sla_breach_at
 from stg_events group by 1""",
         "daily_job": f"""
-select * from (with days as (select unnest([{PRIOR}, {RUN}]) run_date), people as (select count(*) n from customer_360),
+select * from (with days as (select {RUN} run_date), people as (select count(*) n from customer_360),
 failed as (select count(*) n from ({_report(raw_suites(), {t: f"(select * from {c})" for t, c in newest_raw.items()})}) where not success)
 select name, run_date, n row_count from days cross join (
  select 'mart_customer_360' as name, n from people union all select 'ml_scores', n from people

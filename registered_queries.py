@@ -363,12 +363,10 @@ def run_log_current(spark, sf_dir):
 
 @query
 def daily_job(spark, sf_dir):
-    """The daily job on two dates with the real models: rows and dates of what it stores, and what
-    the run log says of the jobs."""
+    """The daily job with the real models: rows and dates of what it stores, and what the run log says
+    of the jobs."""
     store = TableStore(spark, scratch_path(spark, "daily"))
-    raw = raw_tables(spark, sf_dir)
-    for run_date in (RUN_DATE - timedelta(days=1), RUN_DATE):
-        run_day(store, raw, run_date, SCORED_AT)
+    run_day(store, raw_tables(spark, sf_dir), RUN_DATE, SCORED_AT)
 
     def counted(name: str, df: DataFrame, day: str, what: str = "true") -> DataFrame:
         return df.where(what).groupBy(F.col(day).alias("run_date")).agg(F.count(F.lit(1)).alias("row_count")).select(
