@@ -82,6 +82,16 @@ def _checksum_sql(table: str, keys: tuple[str, ...]) -> str:
     )
 
 
+def _newest_faulty(table: str, keys: tuple[str, ...]) -> str:
+    """Newest version per key of a faulty raw table; ties go to the greatest values."""
+    columns = [c.split()[0] for c in RAW_DDL[table].split(", ")]
+    order = ["_ingested_at", *(c for c in columns if c not in {*keys, "_ingested_at"})]
+    return (
+        f"(select * from fraw_{table} qualify row_number() over (partition by {', '.join(keys)} "
+        f"order by {', '.join(f'{c} desc nulls last' for c in order)}) = 1)"
+    )
+
+
 def _rejects_sql() -> str:
     """Rows of the faulty raw tables that break a declared not-null or range rule, or a shared email. In
     the second batch: rows whose email is stored under another customer."""
@@ -329,6 +339,18 @@ def _statements() -> dict[str, str]:
         t: f"{_accepted_raw(t)} qualify row_number() over (partition by {', '.join(keys)} order by _ingested_at desc) = 1"
         for t, keys in RAW_KEYS.items()
     }
+    stored_raw = {t: _newest_faulty(t, keys) for t, keys in RAW_KEYS.items()}
+    stored_orphans = " union all ".join(
+        f"select '{t}' table_name, 'reference' check_name, '{k}' column_name, count(*) element_count, "
+        f"count(*) filter (where {k} is null or {k} not in (select {k} from {stored_raw[p]} where {k} is not null)) unexpected_count, "
+        f"cast(null as varchar) sample_failing_rows from {stored_raw[t]}"
+        for t, k, p in (
+            ("orders", "customer_id", "customers"),
+            ("order_items", "order_id", "orders"),
+            ("events", "customer_id", "customers"),
+            ("tickets", "customer_id", "customers"),
+        )
+    )
     load = " union all ".join(_checksum_sql(t, keys) for t, keys in RAW_KEYS.items())
     negatives = " union all ".join(
         f"select '{m}' model_name, '{c}' column_name, {k} record_key, cast({c} as decimal(18,2)) offending_value from {t} where {c} < 0"
@@ -418,6 +440,8 @@ union all select unnest([{PRIOR}, {RUN}]), 1, 'daily_insights'""",
 select {RUN} run_date, 'expectation' failure_type, 'raw' source_domain, table_name, 'raw_suites' checkpoint_or_test_name,
  column_name failing_column, check_name failing_expectation, sample_failing_rows, {SCORED} logged_at
 from ({_report(raw_suites(), raw_ctes, RAW_KEYS)}) where not success""",
+        "maintained_checks": "select table_name, check_name, column_name, element_count, unexpected_count, sample_failing_rows "
+        f"from ({_report(raw_suites(), stored_raw, RAW_KEYS)}) union all {stored_orphans}",
         "model_check_report": _report(model_suites(), model_ctes),
         "orphan_fk_report": orphan_union,
         "orphan_orders": _orphans("fstg_orders", "order_id"),

@@ -17,6 +17,7 @@ from patronlens.plans import staging
 from patronlens.plans.ingest import load_all
 from patronlens.plans.pipeline import CUSTOMER_360, build_layers
 from patronlens.quality.gate import FAILURE_TABLE
+from patronlens.quality.stored import compact_counts
 from patronlens.runlog import EVENT_TABLE, RunResult, logged_run
 from patronlens.schema import DQ_FAILURE_DDL, RAW_KEYS, RUN_EVENT_DDL
 from patronlens.sources.raw import RawTables
@@ -77,6 +78,7 @@ def tidy(store: TableStore, keep: int = KEPT_PUBLICATIONS) -> int:
     publications do not show; the number of files and folders that went."""
     for table, keys in RAW_KEYS.items():
         store.publish(store.compact(table, keys))
+    store.publish(compact_counts(store))
     for table, ddl in ((EVENT_TABLE, RUN_EVENT_DDL), (FAILURE_TABLE, DQ_FAILURE_DDL)):
         store.compact_log(table, ddl)
     return store.drop_old(keep)

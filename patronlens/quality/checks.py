@@ -131,16 +131,16 @@ def _key_digest(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def _classed(key: Column) -> Column:
+def classed(key: Column) -> Column:
     return _key_digest(key) % SAMPLE_CLASSES
 
 
-def _smallest(key: Column, fails: Column) -> Column:
+def smallest(key: Column, fails: Column) -> Column:
     """The failing key of a class with the smallest digest."""
     return F.min(F.when(fails, F.struct(_key_digest(key).alias("digest"), key.alias("key"))))
 
 
-def _shown(firsts: Column) -> Column:
+def shown(firsts: Column) -> Column:
     """The sample as a JSON array of keys, from the smallest of each class; null if none fails."""
     few = F.slice(F.array_sort(F.array_compact(firsts)), 1, SAMPLE_ROWS)
     keys = F.to_json(F.array_sort(F.transform(few, lambda x: x["key"])))
@@ -156,11 +156,11 @@ def _row_results(df: DataFrame, table: str, checks: Sequence[Check], key: Column
     numbers = F.explode(F.array_compact(F.array(F.lit(-1), *failed))).alias("number")
     rows = df.select(F.coalesce(key, F.lit("")).alias("key"), numbers)
     wrong = F.col("number") >= 0
-    class_ = F.when(wrong, _classed(F.col("key"))).otherwise(F.lit(-1)).alias("class")
+    class_ = F.when(wrong, classed(F.col("key"))).otherwise(F.lit(-1)).alias("class")
     per_class = rows.groupBy("number", class_).agg(
-        F.count(F.lit(1)).alias("n"), _smallest(F.col("key"), wrong).alias("first")
+        F.count(F.lit(1)).alias("n"), smallest(F.col("key"), wrong).alias("first")
     )
-    per_check = per_class.groupBy("number").agg(F.sum("n").alias("n"), _shown(F.collect_list("first")).alias("sample"))
+    per_check = per_class.groupBy("number").agg(F.sum("n").alias("n"), shown(F.collect_list("first")).alias("sample"))
     found = per_check.agg(
         F.map_from_entries(F.collect_list(F.struct("number", F.struct("n", "sample")))).alias("found")
     )
@@ -223,13 +223,13 @@ def _counted_keys(
     if not sampled:
         totals = per_key.agg(total(F.col("n")).alias("elements"), total(F.when(fails, F.col("n"))).alias("wrong"))
         return totals.select(F.inline(F.array(_result(check, table, F.col("elements"), F.col("wrong")))))
-    classes = per_key.groupBy(_classed(key).alias("class")).agg(
-        F.sum("n").alias("n"), F.sum(F.when(fails, F.col("n"))).alias("bad"), _smallest(key, fails).alias("first")
+    classes = per_key.groupBy(classed(key).alias("class")).agg(
+        F.sum("n").alias("n"), F.sum(F.when(fails, F.col("n"))).alias("bad"), smallest(key, fails).alias("first")
     )
     totals = classes.agg(
         total(F.col("n")).alias("elements"),
         total(F.col("bad")).alias("wrong"),
-        _shown(F.collect_list("first")).alias("sample"),
+        shown(F.collect_list("first")).alias("sample"),
     )
     return totals.select(F.inline(F.array(_result(check, table, F.col("elements"), F.col("wrong"), F.col("sample")))))
 

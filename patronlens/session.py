@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from pathlib import Path
+from threading import Lock
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 PIPELINE_CONF = {
@@ -33,12 +35,17 @@ def create_session(
 
 
 _shipped_to: set[str] = set()
+_shipping = Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package's modules to the Python workers of the session, once, so that functions
     of the package run there whatever folder or host a worker starts in."""
-    context = spark.sparkContext
+    with _shipping:
+        _ship_once(spark.sparkContext)
+
+
+def _ship_once(context: SparkContext) -> None:
     if context.applicationId in _shipped_to:
         return
     root = Path(__file__).resolve().parent

@@ -99,6 +99,9 @@ class TableStore:
         number = max((row.publication for row in rows), default=0)
         return number, {r.table_name: Entry(*[r[f] for f in fields]) for r in rows if r.path is not None}
 
+    def tables(self) -> list[str]:
+        return sorted({name.split(PART)[0] for name in self._current()[1] if not name.startswith(LOG)})
+
     def exists(self, table: str) -> bool:
         return any(name.split(PART)[0] == table for name in self._current()[1])
 
@@ -131,7 +134,16 @@ class TableStore:
 
     def files(self, table: str) -> list[StoredFile]:
         """The visible files of a keyed table."""
-        found = sorted(self._entries(table).items())
+        return self.files_with_changes(table, {})
+
+    def files_with_changes(self, table: str, changed: Written) -> list[StoredFile]:
+        """The files of a keyed table once ``changed`` is published."""
+        entries = self._entries(table)
+        for name, entry in changed.items():
+            owner, _, part = name.partition(PART)
+            if owner == table:
+                entries[part] = entry
+        found = [(p, e) for p, e in sorted(entries.items(), key=lambda item: item[0]) if e.path is not None]
         return [StoredFile(p, e.path, e.bucket, e.bytes, e.rows, e.buckets, e.ddl) for p, e in found]
 
     def scan_files(self, files: Iterable[StoredFile]) -> DataFrame | None:
@@ -143,15 +155,19 @@ class TableStore:
         batch: DataFrame,
         keys: Sequence[str],
         merge: Callable[[DataFrame, DataFrame], DataFrame],
+        afresh: bool = False,
     ) -> tuple[Written, DataFrame]:
         """Merge ``batch`` into the files of a keyed table that may hold its keys, unpublished.
 
         ``merge(stored rows, batch rows)`` sees those files only and must return rows of their
-        keys and of the batch's. Returns what changes and a scan of the whole table with it.
+        keys and of the batch's. Returns what changes and a scan of the whole table with it. With
+        ``afresh`` the batch takes the place of all stored rows.
         """
         files = self.files(table)
         folder = keyed.new_folder(layer_of(table, "raw"), table)
-        gone, fresh = keyed.merge_batch(self, table, folder, files, batch, keys, merge, self.layout)
+        old = [] if afresh else files
+        gone, fresh = keyed.merge_batch(self, table, folder, old, batch, keys, merge, self.layout)
+        gone = files if afresh else gone
         paths = {f.path for f in gone}
         whole = self.scan_files([*(f for f in files if f.path not in paths), *fresh])
         empty = self.spark.createDataFrame([], batch.schema)

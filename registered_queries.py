@@ -33,12 +33,21 @@ from patronlens.operators.upsert import replace_by_key
 from patronlens.plans import maintained, marts, staging
 from patronlens.plans.build import Layers
 from patronlens.plans.daily import run_day
-from patronlens.plans.ingest import DOMAIN_OF, checked_batches, load_all, write_all, write_indexes, write_upserted
+from patronlens.plans.ingest import (
+    DOMAIN_OF,
+    checked_batches,
+    live_tables,
+    load_all,
+    write_all,
+    write_indexes,
+    write_upserted,
+)
 from patronlens.plans.pipeline import build_layers
 from patronlens.quality import assertions
 from patronlens.quality.checks import check_tables, columns_needed
 from patronlens.quality.constraints import accepted, all_rejections
 from patronlens.quality.gate import failure_rows
+from patronlens.quality.stored import StoredChecks
 from patronlens.quality.suites import model_suites, raw_suites, staging_suites
 from patronlens.runlog import run_states
 from patronlens.schema import ML_SCORES_DDL, RAW_KEYS, RUN_EVENT_DDL, struct
@@ -424,6 +433,34 @@ def load_rejects(spark, sf_dir):
     return found[0].unionByName(found[1]).select(*names)
 
 
+@query
+def maintained_checks(spark, sf_dir):
+    """The expectation report and the orphans per relation after three loads of the faulty sample, each
+    carried on from the files before. Parents come last, so references have orphans at first."""
+    raw = dict(raw_tables(spark, sf_dir, faults=True).items())
+    store = TableStore(spark, scratch_path(spark, "maintained-checks"))
+    loads = [{"order_items", "events"}, {"orders", "tickets", "campaigns"}, {"customers"}]
+    for tables in loads:
+        batches = {t: raw[t] for t in raw if t in tables}
+        parts, loaded = write_all(store, batches)
+        scans = {t: loaded[t] if t in loaded else store.read_if_exists(t) for t in raw}
+        empty = {t: raw[t].limit(0) for t, df in scans.items() if df is None}
+        checks = StoredChecks(store, live_tables(store, parts, scans | empty))
+        orphans = checks.orphans(assertions.RAW_REFERENCES)
+        report = checks.report(raw_suites(), RUN_DATE, RAW_KEYS)
+        store.publish(parts | checks.written)
+    names = ("table_name", "check_name", "column_name", "element_count", "unexpected_count", "sample_failing_rows")
+    relations = orphans.select(
+        F.substring_index("relation", ".", 1).alias("table_name"),
+        F.lit("reference").alias("check_name"),
+        F.substring_index("relation", ".", -1).alias("column_name"),
+        F.col("child_count").alias("element_count"),
+        F.col("orphan_count").alias("unexpected_count"),
+        F.lit(None).cast("string").alias("sample_failing_rows"),
+    )
+    return report.select(*names).unionByName(relations)
+
+
 @query
 def dq_failures(spark, sf_dir):
     """Failed checks with keys of failing rows, found in the same scan."""
