@@ -11,7 +11,8 @@ all texts, cut off at five words:
    is extended by one word, and again, for which the texts are read again; then consecutive
    prefixes, in the order of their hashes, are put together until a group is full.
 3. The texts are read once more. What a task finds is counted, equal suffixes once, and
-   sent to the groups in blocks.
+   sent to the groups in blocks. Tasks hold words as numbers and bytes in Arrow arrays, and what
+   waits in them is bounded by bytes.
 4. Each group's subtree is built alone, from its sorted suffixes: a node's frequency is the sum of
    its leaves. Nodes above an extended prefix get the totals of several groups, which are added.
 
@@ -31,8 +32,8 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,7 +48,9 @@ TOP = 2000
 GROUP_SUFFIXES = 500_000
 MAX_GROUPS = 1 << 20
 CHUNK_BYTES = 8 << 20
-KEPT_ENTRIES = 400_000
+KEPT_BYTES = 32 << 20
+KEPT_HASHES = 4_000_000
+BLOCK_ROWS = 100_000
 MAX_FILTER_BITS = 27
 UNKNOWN_LANGUAGE = "und"
 
@@ -73,10 +76,12 @@ def _cut(text: bytes, limit: int) -> Iterator[bytes]:
     yield text[start:]
 
 
-def _chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[str, list[bytes]]]:
-    """Language and words, with ``_BREAK`` between pieces, of some texts at a time."""
+def _chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[str, bytes]]:
+    """Language and joined texts, with ``_BREAK`` between pieces, of some texts at a time. What waits
+    is ``limit`` bytes and one part at most, whatever the number of languages."""
     waiting: dict[str, list[bytes]] = {}
     sizes: Counter[str] = Counter()
+    total = 0
     for batch in batches:
         texts = batch.column("text").cast(pa.large_binary())
         for lang, text in zip(batch.column("lang").to_pylist(), texts, strict=True):
@@ -84,70 +89,82 @@ def _chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iter
             for part in _cut(whole, limit) if len(whole) > limit else (whole,):
                 waiting.setdefault(lang, []).append(part)
                 sizes[lang] += len(part) + 1
-                if sizes[lang] > limit:
-                    yield lang, _words(waiting.pop(lang))
-                    del sizes[lang]
-    for lang, parts in waiting.items():
-        yield lang, _words(parts)
+                total += len(part) + 1
+                if total > limit:
+                    largest = max(sizes, key=sizes.__getitem__)
+                    total -= sizes.pop(largest)
+                    yield largest, _BREAK.join(waiting.pop(largest))
+    while waiting:
+        lang, parts = waiting.popitem()
+        yield lang, _BREAK.join(parts)
+
+
+def _encoded(text: bytes) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """Number of each word of a chunk, and the different words by number; 0 is the break between
+    pieces. Only bytes and numbers are held, no object per word."""
+    spaced = b"\xff " + text.replace(_BREAK, b" \xff ")
+    ends = pa.py_buffer(np.array([0, len(spaced)], np.int64))
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), 1, [None, ends, pa.py_buffer(spaced)])
+    words = pc.split_pattern(whole, " ").values
+    words = words.filter(pc.greater(pc.binary_length(words), 0)).dictionary_encode()
+    return words.indices.to_numpy(), words.dictionary
+
+
+class _Sums:
+    """Tables of counts ``n``, added up where all other columns are equal and given out when they are many bytes."""
 
+    def __init__(self) -> None:
+        self.waiting: list[pa.Table] = []
+        self.size = 0
 
-def _words(parts: list[bytes]) -> list[bytes]:
-    return _BREAK.join(parts).replace(_BREAK, b" \xff ").split()
-
-
-def _counted_strings(name: str, counts: dict[str, Counter[bytes]]) -> Iterator[pa.RecordBatch]:
-    for lang, found in counts.items():
-        keys = pa.array(list(found.keys()), pa.binary()).cast(pa.string())
-        columns = [pa.array([lang] * len(found), pa.string()), keys, pa.array(list(found.values()), pa.int64())]
-        batch = pa.RecordBatch.from_arrays(columns, ["lang", name, "n"])
-        yield from (batch.slice(i, 50_000) for i in range(0, len(found), 50_000))
-
-
-class _Kept:
-    """Counts of byte strings per language, given out when there are too many."""
-
-    def __init__(self, name: str):
-        self.name, self.counts, self.size = name, {}, 0
+    def add(self, table: pa.Table) -> Iterator[pa.Table]:
+        self.waiting.append(table)
+        self.size += table.nbytes
+        if self.size > KEPT_BYTES:
+            summed = self._summed()
+            if summed.nbytes > KEPT_BYTES // 2:
+                yield summed
+            else:
+                self.waiting, self.size = [summed], summed.nbytes
+
+    def rest(self) -> Iterator[pa.Table]:
+        if self.waiting:
+            yield self._summed()
+
+    def _summed(self) -> pa.Table:
+        whole = pa.concat_tables(self.waiting)
+        self.waiting, self.size = [], 0
+        return _added_up(whole)
 
-    def add(self, lang: str, found: Counter[bytes] | dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-        own = self.counts.setdefault(lang, Counter())
-        before = len(own)
-        own.update(found)
-        self.size += len(own) - before
-        if self.size > KEPT_ENTRIES:
-            yield from self.rest()
 
-    def rest(self) -> Iterator[pa.RecordBatch]:
-        yield from _counted_strings(self.name, self.counts)
-        self.counts, self.size = {}, 0
+def _added_up(table: pa.Table) -> pa.Table:
+    keys = [name for name in table.column_names if name != "n"]
+    summed = table.group_by(keys, use_threads=False).aggregate([("n", "sum")])
+    return summed.select([*keys, "n_sum"]).rename_columns([*keys, "n"])
 
 
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept = _Kept("word")
-    for lang, words in _chunks(batches):
-        found = Counter(words)
-        found.pop(_BREAK, None)
-        yield from kept.add(lang, found)
-    yield from kept.rest()
+    kept = _Sums()
+    for lang, text in _chunks(batches):
+        ids, words = _encoded(text)
+        n = np.bincount(ids, minlength=len(words))
+        table = pa.table({"lang": pa.repeat(lang, len(n) - 1), "word": words[1:], "n": pa.array(n[1:], pa.int64())})
+        yield from _word_batches(kept.add(table))
+    yield from _word_batches(kept.rest())
 
 
-class _Numbers:
-    """Numbers of words from 1 on, and their hashes; 0 is the break between pieces."""
-
-    def __init__(self) -> None:
-        self.clear()
+def _word_batches(tables: Iterable[pa.Table]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+    for table in tables:
+        for batch in table.to_batches(max_chunksize=50_000):
+            yield batch.cast(schema)
 
-    def clear(self) -> None:
-        self.known, self.hashes = {_BREAK: 0}, np.zeros(1, np.uint64)
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > KEPT_ENTRIES:
-            self.clear()
-        fresh = list(set(words).difference(self.known))
-        self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
-        added = np.fromiter(map(xxhash.xxh64_intdigest, fresh), np.uint64, len(fresh))
-        self.hashes = np.concatenate([self.hashes, added])
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+def _hashes(words: pa.LargeBinaryArray) -> np.ndarray:
+    """Hashes of the words of a chunk by number."""
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words))
+    hashes[0] = 0
+    return hashes
 
 
 def _seed(lang: str) -> np.uint64:
@@ -207,40 +224,45 @@ def _word_hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs_of(ids: np.ndarray, hashes: np.ndarray, frequent: Filter) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each two neighbours, and whether both are frequent words of one piece."""
+    """Places and hashes of each two neighbours that are frequent words of one piece."""
     good = frequent.holds(hashes)[ids] & (ids > 0)
-    return _pair_hashes(hashes[ids[:-1]], hashes[ids[1:]]), good[:-1] & good[1:]
+    places = np.flatnonzero(good[:-1] & good[1:])
+    return places, _pair_hashes(hashes[ids[places]], hashes[ids[places + 1]])
 
 
 class _HashCounts:
     """Counts of 64-bit hashes, given out when there are many."""
 
     def __init__(self) -> None:
-        self.waiting: list[np.ndarray] = []
+        self.waiting = np.empty(KEPT_HASHES, np.uint64)
         self.size = 0
 
     def add(self, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.waiting.append(hashes)
-        self.size += len(hashes)
-        if self.size > 4_000_000:
-            yield from self.rest()
+        while len(hashes):
+            own, hashes = np.split(hashes, [len(self.waiting) - self.size])
+            self.waiting[self.size : self.size + len(own)] = own
+            self.size += len(own)
+            if self.size == len(self.waiting):
+                yield from self.rest()
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        found, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+        held = self.waiting[: self.size]
+        held.sort()
+        starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+        found, n = held[starts], np.diff(starts, append=self.size)
+        self.size = 0
         batch = pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], ["hash", "n"])
-        self.waiting, self.size = [], 0
         yield from (batch.slice(i, 200_000) for i in range(0, len(found), 200_000))
 
 
 def _pair_counter(frequent) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, kept = _Numbers(), _HashCounts()
-        for lang, words in _chunks(batches):
-            ids = numbers.of(words)
-            pairs, good = _pairs_of(ids, numbers.hashes ^ _seed(lang), frequent.value)
-            yield from kept.add(pairs[good])
+        kept = _HashCounts()
+        for lang, text in _chunks(batches):
+            ids, words = _encoded(text)
+            yield from kept.add(_pairs_of(ids, _hashes(words) ^ _seed(lang), frequent.value)[1])
         yield from kept.rest()
 
     return count
@@ -272,44 +294,46 @@ class Prefixes:
         return depth, part
 
 
+_NOTHING = pa.scalar(b"", pa.large_binary())
+
+
 class _Suffixes:
     """Finds the suffixes of chunks of words whose neighbours are frequent together."""
 
     def __init__(self, frequent: Filter, pairs: Filter, longest: int):
         self.frequent, self.pairs, self.longest = frequent, pairs, longest
-        self.numbers = _Numbers()
-
-    def of(self, lang: str, words: list[bytes]) -> None:
-        """Set ``starts``, and for each the hash of two words, the hashes of the later ones and ``length``."""
-        longest = self.longest
-        ids = self.numbers.of(words)
-        own = self.numbers.hashes ^ _seed(lang)
-        hashes, good = _pairs_of(ids, own, self.frequent)
-        linked = np.zeros(len(ids) + longest, bool)
-        linked[: len(good)] = good
-        linked[: len(good)][good] = self.pairs.holds(hashes[good])
-        self.starts = starts = np.flatnonzero(linked[: len(ids)])
-        self.pair = hashes[starts].view(np.int64) if len(starts) else np.zeros(0, np.int64)
-        padded = np.concatenate([ids, np.zeros(longest, np.int64)])
-        own[0] = 0
+
+    def of(self, lang: str, text: bytes) -> None:
+        """Set the ``ids`` of the words of each different suffix, place by place (0: none), how often it
+        occurs (``n``), the hash of its first two words (``pair``) and of each ``later`` one."""
+        ids, words = _encoded(text)
+        own = _hashes(words) ^ _seed(lang)
+        places, hashes = _pairs_of(ids, own, self.frequent)
+        starts = places[self.pairs.holds(hashes)]
+        linked = np.zeros(len(ids) + self.longest, bool)
+        linked[starts] = True
+        padded = np.concatenate([ids, np.zeros(self.longest, ids.dtype)])
+        columns = [padded[starts], padded[starts + 1]]
         goes_on = np.ones(len(starts), bool)
-        self.length = np.full(len(starts), 2, np.int64)
-        self.later_ids, self.later = [padded[starts + 1]], []
-        for d in range(2, longest):
-            goes_on = goes_on & linked[starts + d - 1]
-            self.length += goes_on
-            self.later_ids.append(np.where(goes_on, padded[starts + d], 0))
-            self.later.append(own[self.later_ids[-1]])
-        self.first_ids = padded[starts]
-
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """Place of one of each equal suffixes, and how often it occurs. Compared word by word."""
-        key = self.first_ids
-        for following in self.later_ids:
-            # Equal suffixes so far have one number; with the next word, or none, they are told apart.
-            key = np.unique((key << 32) | following, return_inverse=True)[1]
-        _, first, n = np.unique(key, return_index=True, return_counts=True)
-        return first, n
+        for d in range(2, self.longest):
+            goes_on &= linked[starts + d - 1]
+            columns.append(np.where(goes_on, padded[starts + d], 0))
+        # Suffixes are equal if all their words are: counted by the numbers of the words.
+        names = [str(place) for place in range(len(columns))]
+        table = pa.table([*columns, np.ones(len(starts), np.int64)], [*names, "n"])
+        table = _added_up(table).combine_chunks()
+        self.ids = [table[name].to_numpy() for name in names]
+        self.n = table["n"].to_numpy()
+        own[0] = 0
+        self.pair = _pair_hashes(own[self.ids[0]], own[self.ids[1]]).view(np.int64)
+        self.later = [own[place] for place in self.ids[2:]]
+        # Every word ends with a blank: a suffix is a prefix of another just as its bytes are.
+        ended = pc.binary_join_element_wise(words[1:], _NOTHING, pa.scalar(b" ", pa.large_binary()))
+        self.ended = pa.concat_arrays([pa.array([b""], pa.large_binary()), ended])
+
+    def strings(self, rows: slice) -> pa.LargeBinaryArray:
+        """Some of the suffixes."""
+        return pc.binary_join_element_wise(*(self.ended.take(pa.array(place[rows])) for place in self.ids), _NOTHING)
 
 
 def _prefix_counter(frequent, pairs, prefixes: Prefixes, longest: int):
@@ -318,13 +342,13 @@ def _prefix_counter(frequent, pairs, prefixes: Prefixes, longest: int):
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, kept = _Suffixes(frequent.value, pairs.value, longest), _HashCounts()
-        for lang, words in _chunks(batches):
-            found.of(lang, words)
-            below, hashes = np.ones(len(found.starts), bool), found.pair
+        for lang, text in _chunks(batches):
+            found.of(lang, text)
+            below, hashes = np.ones(len(found.n), bool), found.pair
             for level, following in enumerate(found.later[: len(prefixes.starts)]):
                 below &= prefixes.is_extended(level, hashes)
                 hashes = _pair_hashes(hashes.view(np.uint64), following).view(np.int64)
-            yield from kept.add(hashes[below].view(np.uint64))
+            yield from kept.add(np.repeat(hashes[below].view(np.uint64), found.n[below]))
         yield from kept.rest()
 
     return count
@@ -334,38 +358,33 @@ def _block_maker(frequent, pairs, prefixes: Prefixes, longest: int):
     """Blocks of counted suffixes, one per language and group, whenever a task holds enough of them."""
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _Suffixes(frequent.value, pairs.value, longest)
-        kept: dict[tuple[str, int, int], dict[bytes, int]] = {}
-        size = 0
-        for lang, words in _chunks(batches):
-            found.of(lang, words)
-            first, n = found.distinct()
-            depth, part = prefixes.groups(found.pair[first], [later[first] for later in found.later])
-            ends = found.starts[first] + found.length[first]
-            rows = zip(depth.tolist(), part.tolist(), found.starts[first].tolist(), ends.tolist(), n.tolist(), strict=True)
-            for d, p, start, end, count in rows:
-                own = kept.get((lang, d, p))
-                if own is None:
-                    own = kept[lang, d, p] = {}
-                # Every word ends with a blank: a suffix is a prefix of another just as its bytes are.
-                suffix = b" ".join(words[start:end]) + b" "
-                before = own.get(suffix)
-                own[suffix] = count + (before or 0)
-                size += before is None
-            if size > KEPT_ENTRIES:
-                yield from _blocks(kept)
-                kept, size = {}, 0
-        yield from _blocks(kept)
+        found, kept = _Suffixes(frequent.value, pairs.value, longest), _Sums()
+        for lang, text in _chunks(batches):
+            found.of(lang, text)
+            for low in range(0, len(found.n), BLOCK_ROWS):
+                own = slice(low, low + BLOCK_ROWS)
+                depth, part = prefixes.groups(found.pair[own], [later[own] for later in found.later])
+                columns = {"lang": pa.repeat(lang, len(part)), "depth": depth, "part": part}
+                columns |= {"suffix": found.strings(own), "n": found.n[own]}
+                yield from _blocks(kept.add(pa.table(columns)))
+        yield from _blocks(kept.rest())
 
     return make
 
 
-def _blocks(kept: dict[tuple[str, int, int], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
-    for (lang, depth, part), found in kept.items():
-        counts = np.fromiter(found.values(), np.int64, len(found))
-        row = {"lang": [lang], "depth": [depth], "part": [part]}
-        row |= {"suffixes": [_BREAK.join(found)], "counts": [counts.tobytes()]}
-        yield pa.RecordBatch.from_pydict(row, _BLOCK)
+def _blocks(tables: Iterable[pa.Table]) -> Iterator[pa.RecordBatch]:
+    keys = ["lang", "depth", "part"]
+    for table in tables:
+        table = table.sort_by([(key, "ascending") for key in keys]).combine_chunks()
+        ends = _added_up(table.select([*keys, "n"]).set_column(3, "n", pa.repeat(1, len(table))))
+        high = 0
+        for row in ends.sort_by([(key, "ascending") for key in keys]).to_pylist():
+            own = table.slice(high, row.pop("n"))
+            high += len(own)
+            suffixes = pa.LargeListArray.from_arrays([0, len(own)], own["suffix"].combine_chunks())
+            row["suffixes"] = pc.binary_join(suffixes, pa.scalar(_BREAK, pa.large_binary()))[0].as_py()
+            row["counts"] = own["n"].to_numpy().tobytes()
+            yield pa.RecordBatch.from_pylist([row], _BLOCK)
 
 
 _BLOCK = pa.schema(
@@ -427,21 +446,24 @@ def suffix_blocks(texts: DataFrame, frequent_words: DataFrame, min_count: int, l
     return texts.mapInArrow(_block_maker(words, pairs, prefixes, longest), _BLOCK_DDL)
 
 
-def _leaves(rows: pd.DataFrame) -> dict[str, dict[bytes, int]]:
-    """Counted suffixes per language of all blocks of a group."""
-    found: dict[str, dict[bytes, int]] = {}
-    for lang, suffixes, counts in zip(rows["lang"], rows["suffixes"], rows["counts"], strict=True):
-        own = found.setdefault(lang, {})
-        for suffix, n in zip(suffixes.split(_BREAK), np.frombuffer(counts, np.int64).tolist(), strict=True):
-            own[suffix] = own.get(suffix, 0) + n
-    return found
+def _leaves(blocks: pa.Table) -> pa.Table:
+    """``lang, suffix, n``: counted suffixes of all blocks of a group, in the order of their bytes."""
+    found = []
+    for lang, suffixes, counts in zip(blocks["lang"], blocks["suffixes"], blocks["counts"], strict=True):
+        own = pc.split_pattern(pa.array([suffixes.as_py()], pa.large_binary()), _BREAK).values
+        n = pa.array(np.frombuffer(counts.as_py(), np.int64))
+        found.append(pa.table({"lang": pa.repeat(lang, len(own)), "suffix": own, "n": n}))
+    return _added_up(pa.concat_tables(found)).sort_by([("lang", "ascending"), ("suffix", "ascending")])
+
+
+_NODES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
 
 
-def _subtree(min_count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _subtree(min_count: int) -> Callable[[pa.Table], pa.Table]:
     """Nodes of two words and more of a group's subtree, with the sums of their leaves."""
 
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        depth = int(rows["depth"].iloc[0])
+    def build(blocks: pa.Table) -> pa.Table:
+        depth = blocks["depth"][0].as_py()
         found: list[tuple[str, str, int, int]] = []
         path: list[bytes] = []  # words from the root to the open node
         totals: list[int] = []
@@ -456,8 +478,12 @@ def _subtree(min_count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                 if totals:
                     totals[-1] += n
 
-        for lang, leaves in _leaves(rows).items():
-            for suffix in sorted(leaves):
+        last = ""
+        for batch in _leaves(blocks).to_batches(max_chunksize=10_000):
+            for lang, suffix, n in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if lang != last:
+                    close(0, last)
+                    last = lang
                 words = suffix.split(b" ")[:-1]
                 same, most = 0, min(len(path), len(words))
                 while same < most and path[same] == words[same]:
@@ -465,9 +491,10 @@ def _subtree(min_count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                 close(same, lang)
                 path.extend(words[same:])
                 totals.extend([0] * (len(words) - same))
-                totals[-1] += leaves[suffix]
-            close(0, lang)
-        return pd.DataFrame(found, columns=["lang", "phrase", "words", "n"])
+                totals[-1] += n
+        close(0, last)
+        columns = zip(*found, strict=True) if found else ([], [], [], [])
+        return pa.table([pa.array(c, t) for c, t in zip(columns, _NODES.types, strict=True)], _NODES)
 
     return build
 
@@ -475,7 +502,7 @@ def _subtree(min_count: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 def phrase_counts(blocks: DataFrame, min_count: int) -> DataFrame:
     """``lang, phrase, words, n`` of all phrases of two words and more that are frequent enough."""
     schema = "lang string, phrase string, words int, n long"
-    nodes = blocks.groupBy("depth", "part").applyInPandas(_subtree(min_count), schema)
+    nodes = blocks.groupBy("depth", "part").applyInArrow(_subtree(min_count), schema)
     whole = nodes.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
     return whole.where(F.col("n") >= min_count)
 

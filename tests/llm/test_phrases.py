@@ -1,6 +1,9 @@
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -154,6 +157,59 @@ def test_long_texts_are_cut_between_pieces():
     assert len(found) > 10 and sum(words.count(b"a") for _, words in found) == 500
 
 
+def test_what_waits_is_bounded_over_all_languages():
+    fed = []
+
+    def batches():
+        for i in range(300):
+            fed.append(len("Some words. "))
+            yield pa.RecordBatch.from_pydict({"lang": [f"l{i % 150}"], "text": ["Some words. "]})
+
+    waiting = []
+    found = []
+    for lang, text in phrases._chunks(batches(), limit=64):
+        waiting.append(sum(fed) - sum(len(text) for _, text in found))
+        found.append((lang, text))
+    assert max(waiting) < 120
+    assert sum(text.count(b"words") for _, text in found) == 300 and len({lang for lang, _ in found}) == 150
+
+
+MEMORY = """
+import random, resource, sys
+import numpy as np, pyarrow as pa
+from patronlens.llm import phrases
+class All:
+    def holds(self, hashes):
+        return np.ones(len(hashes), bool)
+class Shared:
+    value = All()
+pick = random.Random(1)
+words = [f"w{int(pick.paretovariate(0.7))}" for _ in range(200_000)]
+def batches():
+    for i in range(24):
+        text = " ".join(pick.choices(words, k=170_000))
+        yield pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text]})
+prefixes = phrases.Prefixes((np.zeros(0, np.int64),), (np.zeros(1, np.int64),))
+maker = {
+    "words": phrases._count_words,
+    "pairs": phrases._pair_counter(Shared),
+    "blocks": phrases._block_maker(Shared, Shared, prefixes, 5),
+}[sys.argv[1]]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for batch in maker(batches()):
+    del batch
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+@pytest.mark.parametrize(("pass_", "megabytes"), [("words", 200), ("pairs", 265), ("blocks", 560)])
+def test_memory_of_a_task(pass_, megabytes):
+    """Two such tasks, with the interpreters, stand beside the JVM of an executor."""
+    root = Path(phrases.__file__).parents[2]
+    done = subprocess.run([sys.executable, "-c", MEMORY, pass_], cwd=root, capture_output=True, text=True, check=True)
+    assert int(done.stdout) < megabytes
+
+
 def test_filter_has_no_false_negatives(spark):
     numbers = [(i * 0x9E3779B97F4A7C15 % (1 << 64)) - (1 << 63) for i in range(3000)]
     built = phrases.build_filter(spark.createDataFrame([(n,) for n in numbers], "hash long"), "hash")
