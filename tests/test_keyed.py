@@ -1,9 +1,11 @@
 """Keyed tables: growing buckets, file filters, compaction."""
 
 import random
+import tracemalloc
 from datetime import timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +60,51 @@ def test_filters_have_no_false_negatives():
         assert may_hold(made, pick.integers(0, 1 << 63, 20_000, dtype=np.uint64)).mean() < 0.002
 
 
+def test_filters_are_made_and_read_in_bounded_memory():
+    """Beyond the hashes a task holds the filter and a few of them at a time, not eight places of each."""
+    hashes = np.random.default_rng(2).integers(0, 1 << 63, 1_000_000, dtype=np.uint64)
+    blocks = [pa.record_batch({"file": ["f"], "bucket": [0], "bytes": [9], "hashes": [hashes.tobytes()]})]
+    tracemalloc.start()
+    (described,) = keyed._described(iter(blocks))
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    filter_ = described.column("filter")[0].as_py()
+    wanted = [(0, "f", filter_), (0, None, hashes[:512].tobytes()), (0, None, hashes.tobytes())]
+    schema = pa.schema([("bucket", pa.int32()), ("file", pa.string()), ("data", pa.binary())])
+    tracemalloc.reset_peak()
+    found = list(keyed._probed(iter([keyed._batch(wanted, schema)])))
+    tracemalloc.stop()
+    assert [b.column("file").to_pylist() for b in found] == [["f"]]
+    assert described.column("rows").to_pylist() == [1_000_000] and may_hold(filter_, hashes[:1000]).all()
+
+
+def test_hashes_travel_in_blocks_of_one_file():
+    schema = pa.schema([("file", pa.string()), ("bucket", pa.int32()), ("hashes", pa.binary())])
+    rows = [(f"f{i % 3}" if i < 4000 else "f9", i % 3, i) for i in range(9000)]
+    columns = [list(c) for c in zip(*rows, strict=True)]
+    batches = [
+        pa.record_batch([pa.array(c[i : i + 2500], t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64()), strict=True)], names=["file", "bucket", "hash"])
+        for i in range(0, 9000, 2500)
+    ]
+    made = [r for b in keyed._blocks(schema)(iter([*batches, batches[0].slice(0, 0)])) for r in b.to_pylist()]
+    assert all(len(r["hashes"]) <= 8 * keyed.BLOCK for r in made) and len(made) < 9000 // keyed.BLOCK + 8
+    back = [(r["file"], r["bucket"], int(h)) for r in made for h in np.frombuffer(r["hashes"], np.int64)]
+    assert sorted(back) == sorted(rows)
+
+
+def test_files_of_large_and_repeated_batches_are_found(spark, tmp_path):
+    """Several filters longer than a piece in one bucket, several buckets, blocks of many keys, keys that repeat."""
+    store = TableStore(spark, str(tmp_path / "s"), Layout(bucket_bytes=400_000, file_bytes=100_000))
+    load(store, numbers(spark, 0, 20_000))
+    files = store.files("t")
+    assert max(f.rows for f in files) * keyed.BITS_PER_KEY // 8 > keyed.PIECE_BYTES and max(f.buckets for f in files) > 1
+    again = numbers(spark, 5_000, 9_000).unionByName(numbers(spark, 5_000, 9_000))
+    assert {f.path for f in keyed.files_with(store, files, again, ["k"])} == {f.path for f in files}
+    one = numbers(spark, 123, 124)
+    assert 1 <= len(keyed.files_with(store, files, one, ["k"])) <= 2
+    assert keyed.files_with(store, files, numbers(spark, 0, 0), ["k"]) == []
+    assert sum(f.rows for f in files) == 20_000
+
+
 def test_a_table_grows_by_splits_and_equals_a_plain_upsert(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"), Layout(bucket_bytes=60_000, file_bytes=30_000))
     plain = numbers(spark, 0, 0)
