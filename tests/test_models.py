@@ -347,6 +347,34 @@ def test_anomalies_need_thirty_days(spark):
     assert (detail.metric, detail.observed, detail.severity) == ("m", Decimal(100), "Critical")
 
 
+def test_confidences_are_cosines_to_cluster_means(spark):
+    """Compared with plain sums over tickets; no ticket is joined or shuffled by its id for them."""
+    rng = np.random.default_rng(3)
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(90)]
+    texts = [" ".join(rng.choice(words[30 * (i % 3) : 30 * (i % 3) + 30], int(rng.integers(1, 40)))) for i in range(150)] + [None, "7"]
+    df = spark.createDataFrame([(f"t{i}", text) for i, text in enumerate(texts)], "ticket_id string, description string")
+    made = topics.ticket_topics(df.repartition(3), topics=3)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "ticket_id" in line]
+    found = {r.ticket_id: r for r in made.collect()}
+    bags = [{w: t.split().count(w) for w in t.split()} if t and t != "7" else {} for t in texts]
+    seen = {w: sum(w in bag for bag in bags) for bag in bags for w in bag}
+    vectors = []
+    for bag in bags:
+        v = {w: n * np.log((len(texts) + 1) / (seen[w] + 1)) for w, n in bag.items()}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        vectors.append({w: x / size for w, x in v.items()})
+    sums = {}
+    for i, v in enumerate(vectors):
+        for w, x in v.items():
+            sums[found[f"t{i}"].cluster_id, w] = sums.get((found[f"t{i}"].cluster_id, w), 0) + x
+    for i, v in enumerate(vectors):
+        c = found[f"t{i}"].cluster_id
+        norm = np.sqrt(sum(x * x for (k, _), x in sums.items() if k == c))
+        expected = sum(x * sums[c, w] for w, x in v.items()) / norm if v else 0
+        assert abs(float(found[f"t{i}"].cluster_confidence) - expected) < 1e-4
+
+
 def test_topics_and_insight(spark):
     texts = ["refund money card charge"] * 6 + ["parcel late courier lost"] * 6 + [None, ""]
     rows = [(f"t{i}", text) for i, text in enumerate(texts)]
