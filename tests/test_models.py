@@ -371,7 +371,7 @@ def test_confidences_are_cosines_to_cluster_means(spark):
     for i, v in enumerate(vectors):
         c = found[f"t{i}"].cluster_id
         norm = np.sqrt(sum(x * x for (k, _), x in sums.items() if k == c))
-        expected = sum(x * sums[c, w] for w, x in v.items()) / norm if v else 0
+        expected = sum(x * sums[c, w] for w, x in v.items()) / norm if v else 1
         assert abs(float(found[f"t{i}"].cluster_confidence) - expected) < 1e-4
 
 
